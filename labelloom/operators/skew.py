@@ -1,0 +1,59 @@
+"""Users with so many rows that one task could not hold them in a window.
+
+Aggregates need none of this: they combine before the shuffle. The per-event traces do, because a
+window puts all rows of its key into one task. Rows of such users are cut into time slices; what a
+slice needs from the slices before it is small and is computed by a mergeable aggregate.
+"""
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of one user that a single task may hold.
+ROWS_PER_TASK = 2_000_000
+# How many users can be cut at once, and the size of the sketch that finds them. A user it misses
+# has less than about 0.1 % of all rows and is handled whole: slower, same result.
+MAX_HEAVY_USERS = 1_000
+_SKETCH_ITEMS = 20_000
+# Slices are equal in time, not in rows; cutting finer leaves room for busy hours.
+_SLICE_FACTOR = 8
+
+
+def heavy_users(events: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
+    """``uid, first_ts, slice_ms`` of the users to be cut, or None when there are none.
+
+    Runs a one-pass frequency sketch, which shuffles one sketch per input task whatever the number
+    of users. At most MAX_HEAVY_USERS rows come back to the driver, so the frame is safe to
+    broadcast. It is built from those values and therefore the same wherever it is used again.
+    """
+    top = events.select(F.expr(f"approx_top_k(uid, {MAX_HEAVY_USERS}, {_SKETCH_ITEMS})").alias("top")).first()
+    candidates = [r["item"] for r in (top["top"] or []) if r["count"] > rows_per_task]
+    if not candidates:
+        return None
+    sizes = (
+        events.where(F.col("uid").isin(candidates))
+        .groupBy("uid")
+        .agg(F.count("*").alias("n"), F.min("ts_ms").alias("first_ts"), F.max("ts_ms").alias("last_ts"))
+        .where(F.col("n") > rows_per_task)
+        .collect()
+    )
+    rows = []
+    for s in sizes:
+        slices = -(-s["n"] // rows_per_task) * _SLICE_FACTOR
+        rows.append((s["uid"], s["first_ts"], max(1, -(-(s["last_ts"] - s["first_ts"] + 1) // slices))))
+    if not rows:
+        return None
+    return events.sparkSession.createDataFrame(rows, "uid string, first_ts bigint, slice_ms bigint")
+
+
+def without(events: DataFrame, heavy: DataFrame) -> DataFrame:
+    return events.join(F.broadcast(heavy.select("uid")), "uid", "left_anti")
+
+
+def sliced(events: DataFrame, heavy: DataFrame) -> DataFrame:
+    """Rows of the heavy users with their ``slice``; slices follow time order."""
+    cut = F.call_function("div", F.col("ts_ms") - F.col("first_ts"), F.col("slice_ms"))
+    return (
+        events.join(F.broadcast(heavy), "uid")
+        .withColumn("slice", cut)
+        .drop("first_ts", "slice_ms")
+    )
