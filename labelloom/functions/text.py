@@ -25,9 +25,10 @@ def clock_text(ts_ms: Column, zone: str | None = None) -> Column:
     """``yyyyMMddHHmmss`` of an epoch-ms column, in ``zone`` or else in the session zone."""
     if zone is None:
         return F.date_format(F.timestamp_millis(ts_ms), "yyyyMMddHHmmss")
-    # Zone-free arithmetic up to the target zone: the session zone has no say here.
+    # Zone-free timestamps all the way, read off their text form: the session zone has no say.
     utc = F.timestamp_add("MILLISECOND", ts_ms, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
-    return F.date_format(F.convert_timezone(F.lit("UTC"), F.lit(zone), utc), "yyyyMMddHHmmss")
+    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc).cast("string")
+    return F.translate(F.substring(local, 1, 19), "-: ", "")
 
 
 def last_action_text(channel: Column, biz: Column, ts_ms: Column, zone: str | None = None) -> Column:

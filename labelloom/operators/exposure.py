@@ -48,8 +48,11 @@ def counts_of_array(queue: Column) -> list[Column]:
     def first(biz: str) -> Column:
         return F.array_position(queue, biz)
 
+    def count(biz: str) -> Column:
+        return (F.size(queue) - F.size(F.array_remove(queue, biz))).cast("bigint")
+
     return [
-        *[F.size(F.filter(queue, lambda x, b=b: x == b)).cast("bigint").alias(f"n_{b}") for b in dims.EXPOSED_BIZ],
+        *[count(b).alias(f"n_{b}") for b in dims.EXPOSED_BIZ],
         # The one whose first entry is later leads; a missing one has position 0.
         (first("number") >= first("xiaomi")).alias("number_first"),
     ]
@@ -117,46 +120,33 @@ def queue_trace(
     gap_ms: int = dims.IDLE_GAP_MS,
     rows_per_task: int = skew.ROWS_PER_TASK,
 ) -> DataFrame:
-    """``uid, ts_ms, event_id, queue``: the queue (oldest first) after every exposure."""
-    entries = F.collect_list("biz")
-    return _over_queue(exposures, {"queue": entries}, length, gap_ms, rows_per_task)
-
+    """``uid, ts_ms, event_id, queue``: the queue (oldest first) after every exposure.
 
-def counts_trace(
-    exposures: DataFrame,
-    length: int = dims.QUEUE_LENGTH,
-    gap_ms: int = dims.IDLE_GAP_MS,
-    rows_per_task: int = skew.ROWS_PER_TASK,
-) -> DataFrame:
-    """``uid, ts_ms, event_id`` and the count of each business in the queue after every exposure."""
-    counts = {f"n_{b}": F.count(F.when(F.col("biz") == b, 1)) for b in dims.EXPOSED_BIZ}
-    return _over_queue(exposures, counts, length, gap_ms, rows_per_task)
-
-
-def _over_queue(
-    exposures: DataFrame, aggregates: dict[str, Column], length: int, gap_ms: int, rows_per_task: int
-) -> DataFrame:
+    One shuffle and one sort on the user. Users too large for one task are cut into time slices.
+    """
     rows = exposures.select("uid", "biz", "ts_ms", "event_id")
     heavy = skew.heavy_users(rows, rows_per_task)
     if heavy is None:
-        return _queue_frame(rows, ["uid"], aggregates, length, gap_ms)
-    small = _queue_frame(skew.without(rows, heavy), ["uid"], aggregates, length, gap_ms)
+        return _queues(rows, ["uid"], length, gap_ms)
+    small = _queues(skew.without(rows, heavy), ["uid"], length, gap_ms)
     large = skew.sliced(rows, heavy).withColumn("lead_in", F.lit(False))
     large = large.unionByName(_lead_in(large, length))
-    traced = _queue_frame(large, ["uid", "slice"], aggregates, length, gap_ms, carry=["lead_in"])
+    traced = _queues(large, ["uid", "slice"], length, gap_ms, carry=("lead_in",))
     return small.unionByName(traced.where(~F.col("lead_in")).drop("lead_in"))
 
 
-def _queue_frame(
-    rows: DataFrame, keys: list[str], aggregates: dict[str, Column], length: int, gap_ms: int, carry: list[str] = []
+def _queues(
+    rows: DataFrame, keys: list[str], length: int, gap_ms: int, carry: tuple[str, ...] = ()
 ) -> DataFrame:
     in_time = Window.partitionBy(*keys).orderBy("ts_ms", "event_id")
-    paused = F.coalesce((F.col("ts_ms") - F.lag("ts_ms").over(in_time) >= gap_ms).cast("int"), F.lit(0))
-    runs = rows.withColumn("paused", paused)
-    runs = runs.withColumn("run", F.sum("paused").over(in_time.rowsBetween(_UNBOUNDED, _NOW)))
-    # Still partitioned by ``keys``: the run only splits the frames, not the shuffle.
-    queue = Window.partitionBy(*keys, "run").orderBy("ts_ms", "event_id").rowsBetween(1 - length, _NOW)
-    return runs.select("uid", "ts_ms", "event_id", *carry, *[a.over(queue).alias(n) for n, a in aggregates.items()])
+    paused = F.col("ts_ms") - F.lag("ts_ms").over(in_time) >= gap_ms
+    numbered = rows.withColumn("place", F.row_number().over(in_time)).withColumn("paused", paused)
+    start = F.max(F.when(F.col("paused"), F.col("place"))).over(in_time.rowsBetween(_UNBOUNDED, _NOW))
+    recent = F.collect_list("biz").over(in_time.rowsBetween(1 - length, _NOW))
+    framed = numbered.withColumn("start", start).withColumn("recent", recent)
+    since_start = F.col("place") - F.coalesce("start", F.lit(1)) + 1
+    size = F.least(since_start, F.size("recent"))
+    return framed.select("uid", "ts_ms", "event_id", *carry, F.slice("recent", -size, size).alias("queue"))
 
 
 def _lead_in(rows: DataFrame, length: int) -> DataFrame:

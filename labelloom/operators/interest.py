@@ -59,13 +59,14 @@ def latest_counts(actions: DataFrame, offset_ms: int = dims.DAY_OFFSET_MS) -> Da
     days = with_day(actions, offset_ms).groupBy("uid", "day").agg(*sums, *last_seen())
 
     by_day = Window.partitionBy("uid").orderBy("day")
-    follows = F.lag("day").over(by_day) == F.col("day") - 1
-    two_day = days.select(
+    before = days.withColumn("before", F.lag(F.struct("day", *COUNTS)).over(by_day))
+    follows = F.col("before.day") == F.col("day") - 1
+    two_day = before.select(
         "uid",
         "day",
         "last_click_ts",
         "last_search_ts",
-        *[(F.col(c) + F.when(follows, F.lag(c).over(by_day)).otherwise(0)).alias(c) for c in COUNTS],
+        *[(F.col(c) + F.when(follows, F.col(f"before.{c}")).otherwise(0)).alias(c) for c in COUNTS],
     )
     own = {
         channel: (F.struct(*names), F.when(F.col(f"last_{channel}_ts").isNotNull(), F.col("day")))
@@ -100,14 +101,14 @@ _TRACE_KEYS = ["uid", "channel", "ts_ms", "event_id"]
 
 
 def _trace_by_user(rows: DataFrame) -> DataFrame:
-    today = Window.partitionBy("uid", "day").orderBy("ts_ms", "event_id").rowsBetween(_UNBOUNDED, _NOW)
-    yesterday = Window.partitionBy("uid").orderBy("day").rangeBetween(-1, -1)
-    return rows.select(
+    # Both windows are keyed by the user and ordered by day first: one shuffle, one sort.
+    so_far = Window.partitionBy("uid").orderBy("day", "ts_ms", "event_id").rowsBetween(_UNBOUNDED, _NOW)
+    too_old = Window.partitionBy("uid").orderBy("day").rangeBetween(_UNBOUNDED, -2)
+    running = rows.select(*_TRACE_KEYS, "day", *[F.sum(c).over(so_far).alias(name) for name, c in hits().items()])
+    # Running counts only grow, so the highest one up to two days ago is what has dropped out.
+    return running.select(
         *_TRACE_KEYS,
-        *[
-            (F.sum(c).over(today) + F.coalesce(F.sum(c).over(yesterday), F.lit(0))).alias(name)
-            for name, c in hits().items()
-        ],
+        *[(F.col(c) - F.coalesce(F.max(c).over(too_old), F.lit(0))).alias(c) for c in COUNTS],
     )
 
 

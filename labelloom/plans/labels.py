@@ -104,7 +104,7 @@ def exposure_texts(counts: DataFrame, pad_below: int = dims.PAD_BELOW) -> DataFr
 
 
 def exposure_labels(exposures: DataFrame, pad_below: int = dims.PAD_BELOW) -> DataFrame:
-    kept = classify.mapped_only(classify.exclusive_exposures(exposures))
+    kept = classify.exclusive_exposures(exposures)
     return exposure_cells(exposure_texts(exposure.latest_counts(kept), pad_below))
 
 

@@ -11,7 +11,7 @@ from labelloom.operators import classify, counters, exposure, interest, last_act
 from labelloom.plans import labels
 from labelloom.schemas import CLICK, EXPOSURE, LOGS, SEARCH
 from labelloom.sources import events_table as ev
-from labelloom.sources.parse import parse, read_log, rejects
+from labelloom.sources.parse import parse, read_log, rejects, with_event_time
 
 Query = Callable[[SparkSession, str], DataFrame]
 ZONE = "UTC"
@@ -86,8 +86,6 @@ def lenient_ts_cast(spark, sf_dir):
 
 
 def event_time_watermark(spark, sf_dir):
-    from labelloom.sources.parse import with_event_time
-
     rows = with_event_time(classify.click_actions(_clicks(spark, sf_dir)))
     return rows.select("event_id", F.unix_millis("event_time").alias("event_ms"))
 
@@ -120,13 +118,12 @@ def number_search_filtered(spark, sf_dir):
 
 
 def exclusive_exposures(spark, sf_dir):
-    rows = classify.exclusive_exposures(_exposures(spark, sf_dir))
-    return classify.mapped_only(rows).select("uid", "biz", "event_id")
+    return classify.exclusive_exposures(_exposures(spark, sf_dir)).select("uid", "biz", "event_id")
 
 
 def unmapped_exposures(spark, sf_dir):
-    rows = classify.exclusive_exposures(_exposures(spark, sf_dir))
-    return classify.unmapped(rows).groupBy("uid").agg(F.count("*").alias("n"))
+    rows = classify.unmapped_exposures(_exposures(spark, sf_dir))
+    return rows.groupBy("uid").agg(F.count("*").alias("n"))
 
 
 def user_row_key(spark, sf_dir):
@@ -241,7 +238,7 @@ def biz_score_label(spark, sf_dir):
 
 
 def _shown(spark, sf_dir):
-    return classify.mapped_only(classify.exclusive_exposures(_exposures(spark, sf_dir)))
+    return classify.exclusive_exposures(_exposures(spark, sf_dir))
 
 
 def expose_last12_trace(spark, sf_dir):
@@ -258,8 +255,9 @@ def expose_gap_groups(spark, sf_dir):
 
 
 def expose_counts_trace(spark, sf_dir):
-    trace = exposure.counts_trace(_shown(spark, sf_dir))
-    return trace.select("event_id", *exposure.COUNTS, exposure.is_padded().cast("int").alias("padded"))
+    trace = exposure.queue_trace(_shown(spark, sf_dir))
+    counts = trace.select("event_id", *exposure.counts_of_array(F.col("queue")))
+    return counts.select("event_id", *exposure.COUNTS, exposure.is_padded().cast("int").alias("padded"))
 
 
 def expose_history_label(spark, sf_dir):

@@ -31,13 +31,14 @@ def _pick(values: list[str], index: Column) -> Column:
 
 
 def _base(events: DataFrame) -> DataFrame:
-    # An NTZ timestamp is read as UTC whatever the session zone is.
-    ts_ms = F.expr("cast(timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', cast(ts as timestamp_ntz)) as bigint)")
+    # Zone-free subtraction: the timestamps count as UTC whatever the session zone is.
+    since = F.expr("cast(ts as timestamp_ntz) - timestamp_ntz'1970-01-01 00:00:00'")
+    ts_ms = F.floor(since.cast("interval second").cast("decimal(20,6)") * 1000)
     return events.select(
         F.col("user_id").cast("string").alias("uid"),
         "user_id",
         "event_type",
-        ts_ms.alias("ts_ms"),
+        ts_ms.cast("bigint").alias("ts_ms"),
         "event_id",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
     )
