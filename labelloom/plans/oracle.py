@@ -252,6 +252,15 @@ def build() -> dict[str, str]:
         "expose_least_label": _sql(_SHOWN, _queues(), _LAST_QUEUE, _queue_texts(), select="SELECT row_key, expose_least_biz_7d FROM texts"),
         "expose_labels_short_gap": _sql(_SHOWN, _queues(172800000), _LAST_QUEUE, _queue_texts(6),
                                         select="SELECT row_key, expose_biz_his, expose_least_biz_7d FROM texts"),
+        "stream_number_counts": _sql(_CARDS, _NUMBERS, select="""SELECT md5(uid) AS row_key, label, count(*) AS n
+  FROM (SELECT * FROM cards UNION ALL SELECT * FROM numbers) GROUP BY uid, label"""),
+        "stream_last_biz": _sql(_actions(_BIZ), _last("actions", "last_action"),
+                                select=f"SELECT md5(uid) AS row_key, {_LAST_TEXT} AS user_last_biz FROM last_action"),
+        "stream_daily_counts": _sql(scored, select="SELECT uid, day, channel, biz, count(*) AS n FROM actions GROUP BY ALL"),
+        "stream_biz_score": _sql(*_all_labels(), select="""SELECT * FROM label_rows
+  WHERE label IN ('biz_score', 'biz_click', 'biz_search')"""),
+        "stream_exposure": _sql(_SHOWN, _queues(), _LAST_QUEUE, _queue_texts(),
+                                select="SELECT row_key, expose_least_biz_7d, expose_biz_his FROM texts"),
         "label_table_long": _sql(*_all_labels(), select="SELECT * FROM label_rows"),
         "labels_as_of": _sql(*_all_labels(), select="""SELECT * FROM label_rows
   WHERE expire_ts = -1 OR expire_ts > (SELECT max(ts_ms) FROM ev)"""),

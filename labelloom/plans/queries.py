@@ -12,6 +12,8 @@ from labelloom.plans import labels
 from labelloom.schemas import CLICK, EXPOSURE, LOGS, SEARCH
 from labelloom.sources import events_table as ev
 from labelloom.sources.parse import parse, read_log, rejects, with_event_time
+from labelloom.streaming import jobs
+from labelloom.streaming.store import ChangeTable, label_table, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 ZONE = "UTC"
@@ -314,3 +316,55 @@ BATCH: dict[str, Query] = {
         label_table_wide,
     )
 }
+
+
+# Streams: the same rows through a file stream into the label table, then read back
+
+
+def _to_end(changed: DataFrame, table: ChangeTable, job: str) -> DataFrame:
+    query = jobs.run(changed, table, job, availableNow=True)
+    query.awaitTermination()
+    return table.current()
+
+
+def _streamed_logs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return [_ADAPTERS[log.name](ev.stream_events(spark, sf_dir)) for log in LOGS]
+
+
+def stream_number_counts(spark, sf_dir):
+    clicks, searches, _ = _streamed_logs(spark, sf_dir)
+    table = label_table(spark, work_folder(spark))
+    rows = _to_end(jobs.number_labels(clicks, searches), table, "number_counts")
+    return rows.select("row_key", "label", F.col("value").cast("bigint").alias("n"))
+
+
+def stream_last_biz(spark, sf_dir):
+    clicks, searches, _ = _streamed_logs(spark, sf_dir)
+    table = label_table(spark, work_folder(spark))
+    rows = _to_end(jobs.last_biz_labels(clicks, searches, ZONE), table, "last_biz")
+    return rows.select("row_key", F.col("value").alias("user_last_biz"))
+
+
+def stream_daily_counts(spark, sf_dir):
+    clicks, searches, _ = _streamed_logs(spark, sf_dir)
+    changed = jobs.daily_counts(clicks, searches)
+    table = ChangeTable(spark, work_folder(spark), changed.schema, ["uid", "day", "channel", "biz"])
+    return _to_end(changed, table, "daily_counts")
+
+
+def stream_biz_score(spark, sf_dir):
+    clicks, searches, _ = _streamed_logs(spark, sf_dir)
+    table = label_table(spark, work_folder(spark))
+    return _never_as_minus_one(_to_end(jobs.score_labels(clicks, searches), table, "biz_score"))
+
+
+def stream_exposure(spark, sf_dir):
+    table = label_table(spark, work_folder(spark))
+    rows = _to_end(jobs.exposure_labels(_streamed_logs(spark, sf_dir)[2]), table, "exposure")
+    return labels.wide(rows, ["expose_least_biz_7d", "expose_biz_his"])
+
+
+STREAM: dict[str, Query] = {
+    f.__name__: f
+    for f in (stream_number_counts, stream_last_biz, stream_daily_counts, stream_biz_score, stream_exposure)
+}
