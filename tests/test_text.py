@@ -1,0 +1,117 @@
+import pytest
+from pyspark.sql import functions as F
+
+from labelloom import dims
+from labelloom.functions.calendar import day_number, day_window
+from labelloom.functions.scoring import with_softmax
+from labelloom.functions.text import clock_text, last_action_text, lookup, row_key, scores_text
+from labelloom.operators import classify
+
+T0 = 1_700_000_000_000
+
+
+def value(spark, column):
+    return spark.range(1).select(column.alias("v")).first()["v"]
+
+
+def test_row_key(spark):
+    assert value(spark, row_key(F.lit("u1"))) == "e4774cdda0793f86414e8b9140bb6db4"
+
+
+def test_lookup_miss_is_null(spark):
+    assert value(spark, lookup(dims.BIZ_OF_MODEL, F.lit("cardModel"))) == "number"
+    assert value(spark, lookup(dims.BIZ_OF_MODEL, F.lit("otherModel"))) is None
+    assert value(spark, lookup(dims.BIZ_OF_MODEL, F.lit(None).cast("string"))) is None
+    assert value(spark, lookup(dims.SCORED_BIZ_OF_MODEL, F.lit("xiaomiModel"))) is None
+
+
+@pytest.mark.parametrize("session_zone", ["UTC", "America/New_York", "Asia/Shanghai"])
+def test_clock_text_does_not_depend_on_the_session_zone(spark, session_zone):
+    spark.conf.set("spark.sql.session.timeZone", session_zone)
+    try:
+        assert value(spark, clock_text(F.lit(T0), "UTC")) == "20231114221320"
+        assert value(spark, clock_text(F.lit(T0), "Asia/Shanghai")) == "20231115061320"
+        # 2024-03-10 02:30 does not exist in New York, but it does in UTC.
+        assert value(spark, clock_text(F.lit(1_710_037_800_000), "UTC")) == "20240310023000"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_clock_text_in_session_zone(spark):
+    assert value(spark, clock_text(F.lit(T0))) == "20231114221320"
+
+
+def test_last_action_text(spark):
+    null = F.lit(None).cast("string")
+    assert value(spark, last_action_text(F.lit("click"), null, F.lit(T0), "UTC")) == "click,code,null,20231114221320"
+    got = value(spark, last_action_text(F.lit("search"), F.lit("family"), F.lit(T0), "UTC"))
+    assert got == "search,app,family,20231114221320"
+
+
+def test_day_number(spark):
+    assert value(spark, day_number(F.lit(T0))) == 19676
+    assert value(spark, day_number(F.lit(T0), 0)) == 19675
+
+
+@pytest.mark.parametrize("ts", [T0, 1_704_038_399_999, 1_704_038_400_000])
+def test_day_window_is_the_calendar_day(spark, ts):
+    df = spark.range(1).select(F.timestamp_millis(F.lit(ts)).alias("t"), day_number(F.lit(ts)).alias("day"))
+    row = df.select("day", F.unix_millis(day_window(F.col("t"))["start"]).alias("start")).first()
+    assert row["start"] == row["day"] * dims.DAY_MS - dims.DAY_OFFSET_MS
+
+
+@pytest.mark.parametrize("raw, text", [
+    ((2, 1, 0, 0, 0), "0.65242,0.18692,0.05355,0.05355,0.05355"),
+    ((1, 0, 0, 0, 0), "0.75282,0.06180,0.06180,0.06180,0.06180"),
+    ((0, 0, 0, 3, 0), "0.06180,0.06180,0.06180,0.75282,0.06180"),
+    ((1, 1, 1, 1, 1), "NaN,NaN,NaN,NaN,NaN"),
+    ((0, 0, 0, 0, 0), "NaN,NaN,NaN,NaN,NaN"),
+])
+def test_softmax_text(spark, raw, text):
+    names, out = [f"r{i}" for i in range(5)], [f"s{i}" for i in range(5)]
+    df = spark.createDataFrame([raw], ", ".join(f"{n} bigint" for n in names))
+    assert with_softmax(df, names, out).select(scores_text([F.col(o) for o in out]).alias("v")).first()["v"] == text
+
+
+def test_softmax_uniform(spark):
+    df = spark.createDataFrame([(4, 4)], "a bigint, b bigint")
+    assert tuple(with_softmax(df, ["a", "b"], ["x", "y"], on_flat="uniform").first()) == (0.5, 0.5)
+    with pytest.raises(ValueError):
+        with_softmax(df, ["a", "b"], ["x", "y"], on_flat="zero")
+
+
+CLICK_DDL = "uid string, biz_type string, pb_name string, num_type string, ts_ms bigint, event_id bigint"
+
+
+@pytest.mark.parametrize("biz_type, button, code, label", [
+    ("cardModel", "点击号码", "03", "lucky_clicks"),
+    ("cardModel", "点击号码", "99", "null_clicks"),
+    ("cardModel", "点击号码", None, "null_clicks"),
+    ("cardModel", "点击叉号", "12", "area_x"),
+    ("cardModel", "其他", "12", None),
+    ("cardModel", None, "12", None),
+    ("familyModel", "点击号码", "03", None),
+    (None, "点击号码", "03", None),
+])
+def test_card_click_labels(spark, biz_type, button, code, label):
+    clicks = spark.createDataFrame([("u", biz_type, button, code, 1, 1)], CLICK_DDL)
+    assert [r["label"] for r in classify.card_click_labels(clicks).collect()] == ([label] if label else [])
+
+
+def test_number_search_labels(spark):
+    searches = spark.createDataFrame(
+        [("u", "number", "lucky", 1, 1), ("u", "number", None, 2, 2), ("u", "family", "love", 3, 3)],
+        "search_mob string, biz_type string, number_type string, ts_ms bigint, event_id bigint",
+    )
+    got = sorted(r["label"] for r in classify.number_search_labels(searches).collect())
+    assert got == ["lucky_searchs", "null_searchs"]
+
+
+def test_exclusive_exposures_split(spark):
+    rows = [("u", b, s, i, i) for i, (b, s) in enumerate([
+        ("cardModel", "首页-专享"), ("otherModel", "首页-专享"), (None, "首页-专享"),
+        ("cardModel", "首页-推荐"), ("cardModel", None),
+    ])]
+    log = spark.createDataFrame(rows, "uid string, biz_type string, storey string, ts_ms bigint, event_id bigint")
+    assert [r["biz"] for r in classify.exclusive_exposures(log).collect()] == ["number"]
+    assert sorted(r["event_id"] for r in classify.unmapped_exposures(log).collect()) == [1, 2]
