@@ -1,0 +1,88 @@
+"""The physical plans: how often rows are shuffled and sorted, what reaches the scan, no Python."""
+
+import re
+
+import pytest
+
+from labelloom.plans import labels, queries
+from labelloom.sources import events_table as ev
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def shuffles(text):
+    return text.count("Exchange hashpartitioning") + text.count("Exchange SinglePartition")
+
+
+@pytest.mark.parametrize("name, n", [
+    ("parse_click_log", 0),
+    ("card_click_classified", 0),
+    ("exclusive_exposures", 0),
+    ("number_click_counts", 1),
+    ("number_search_counts", 1),
+    ("last_biz", 1),
+    ("daily_biz_counts", 1),
+    ("biz_actions_trace", 1),
+    ("biz_score_trace", 1),
+    ("expose_last12_trace", 1),
+    ("expose_counts_trace", 1),
+    ("expose_least_label", 1),
+    ("expose_history_label", 1),
+    # Day totals first, so that a busy user is one row per day when the days of a user meet.
+    ("biz_score_latest", 2),
+    ("biz_click_label", 2),
+    ("expose_gap_groups", 2),
+])
+def test_shuffles(spark, sf_dir, name, n):
+    assert shuffles(plan(queries.BATCH[name](spark, sf_dir))) == n
+
+
+@pytest.mark.parametrize("name", sorted(queries.BATCH))
+def test_no_python_and_no_pair_joins(spark, sf_dir, name):
+    text = plan(queries.BATCH[name](spark, sf_dir))
+    for node in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in text
+
+
+@pytest.mark.parametrize("name", ["biz_actions_trace", "expose_last12_trace", "expose_counts_trace"])
+def test_traces_sort_once(spark, sf_dir, name):
+    assert plan(queries.BATCH[name](spark, sf_dir)).count("Sort [") == 1
+
+
+def test_counters_combine_before_the_shuffle(spark, sf_dir):
+    text = plan(queries.number_click_counts(spark, sf_dir))
+    assert "partial_count" in text and "SortAggregate" not in text
+
+
+def test_score_days_combine_before_the_shuffle(spark, sf_dir):
+    text = plan(queries.biz_score_latest(spark, sf_dir))
+    assert re.search(r"HashAggregate\(keys=\[uid#\d+, day#\d+L?\], functions=\[partial_sum", text)
+
+
+def test_last_exposures_are_limited_before_the_shuffle(spark, sf_dir):
+    text = plan(queries.expose_least_label(spark, sf_dir))
+    limits = [line for line in text.splitlines() if "WindowGroupLimit" in line]
+    assert any("Partial" in line for line in limits) and any("Final" in line for line in limits)
+
+
+def test_row_key_is_hashed_after_grouping(spark, sf_dir):
+    for name in ("number_click_counts", "last_biz", "biz_score_latest", "expose_least_label"):
+        text = plan(queries.BATCH[name](spark, sf_dir))
+        assert "md5" not in text[text.index("Exchange hashpartitioning"):]
+
+
+def test_scan_reads_only_what_a_query_needs(spark, sf_dir):
+    text = plan(queries.number_click_counts(spark, sf_dir))
+    scan = text[text.index("ReadSchema"):].splitlines()[0]
+    assert "value" not in scan and "event_id" not in scan
+    assert "PushedFilters: [In(event_type, [click,signup])" in text
+
+
+def test_exposure_filters_reach_the_scan(spark, tmp_path):
+    rows = ev.exposure_log(ev.read_events(spark, "/root/testdata/sf0.001"))
+    rows.write.parquet(str(tmp_path / "exposures"))
+    text = plan(labels.exposure_labels(spark.read.parquet(str(tmp_path / "exposures"))))
+    pushed = text[text.index("PushedFilters"):].splitlines()[0]
+    assert "EqualTo(storey,首页-专享)" in pushed and "In(biz_type" in pushed
