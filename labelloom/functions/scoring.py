@@ -1,37 +1,31 @@
 """Weighted interest scores and their normalisation."""
 
-from functools import reduce
-from operator import add
+from pyspark.sql import DataFrame
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-
-def weighted(clicks: Column, searches: Column, click_w: int, search_w: int, biz_w: int) -> Column:
-    return (clicks * F.lit(click_w) + searches * F.lit(search_w)) * F.lit(biz_w)
+def weighted(clicks: str, searches: str, click_w: int, search_w: int, biz_w: int) -> str:
+    return f"({clicks} * {click_w}L + {searches} * {search_w}L) * {biz_w}L"
 
 
 def with_softmax(df: DataFrame, raw: list[str], out: list[str], on_flat: str = "nan") -> DataFrame:
     """Replace the ``raw`` columns by ``out``: z-score (population std), then softmax.
 
     When all scores are equal the z-score has no value: ``on_flat='nan'`` gives NaN,
-    ``'uniform'`` gives equal shares. The steps stay separate projections, so every exponential
-    is computed once; they all run in one codegen stage.
+    ``'uniform'`` gives equal shares. Each step refers to the columns before it, so every
+    exponential is computed once; all steps run in one codegen stage.
     """
     if on_flat not in ("nan", "uniform"):
         raise ValueError(f"on_flat must be 'nan' or 'uniform', not {on_flat!r}")
     n = len(raw)
-    flat = F.lit(float("nan") if on_flat == "nan" else 1.0 / n)
-    x = [F.col(c).cast("double") for c in raw]
+    flat = "double('NaN')" if on_flat == "nan" else f"{1.0 / n}D"
     keep = [c for c in df.columns if c not in raw]
-    stats = df.select("*", (reduce(add, x) / n).alias("_mean"))
-    square = [(c - F.col("_mean")) * (c - F.col("_mean")) for c in x]
-    stats = stats.select("*", F.sqrt(reduce(add, square) / n).alias("_std"))
-    exps = stats.select(*keep, *[
-        F.when(F.col("_std") > 0, F.exp((c - F.col("_mean")) / F.col("_std"))).alias(f"_e{i}")
-        for i, c in enumerate(x)
-    ])
-    total = exps.select("*", reduce(add, [F.col(f"_e{i}") for i in range(n)]).alias("_total"))
-    return total.select(*keep, *[
-        F.coalesce(F.col(f"_e{i}") / F.col("_total"), flat).alias(o) for i, o in enumerate(out)
-    ])
+    exps = [f"_e{i}" for i in range(n)]
+    steps = df.selectExpr(
+        *keep,
+        *raw,
+        f"double({' + '.join(raw)}) / {n}D AS _mean",
+        f"sqrt(({' + '.join(f'({c} - _mean) * ({c} - _mean)' for c in raw)}) / {n}D) AS _std",
+        *[f"CASE WHEN _std > 0 THEN exp(({c} - _mean) / _std) END AS {e}" for c, e in zip(raw, exps)],
+        f"{' + '.join(exps)} AS _total",
+    )
+    return steps.selectExpr(*keep, *[f"coalesce({e} / _total, {flat}) AS {o}" for e, o in zip(exps, out)])

@@ -1,45 +1,49 @@
-"""Label names and label payloads."""
+"""Label names and label payloads, as SQL expressions over the named columns."""
 
-from itertools import chain
+from collections.abc import Iterable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def null_text(value: Column) -> Column:
+
+def quoted_list(values: Iterable[str]) -> str:
+    return ", ".join(map(quoted, values))
+
+
+def null_text(value: str) -> str:
     """A missing value is written as the word ``null`` inside names and payloads."""
-    return F.coalesce(value, F.lit("null"))
+    return f"coalesce({value}, 'null')"
 
 
-def lookup(names: dict[str, str], key: Column) -> Column:
+def lookup(names: dict[str, str], key: str) -> str:
     """Dictionary lookup, NULL on a miss."""
-    literal = F.create_map(*[F.lit(x) for x in chain.from_iterable(names.items())])
-    return literal[key]
+    return f"map({quoted_list(x for pair in names.items() for x in pair)})[{key}]"
 
 
-def row_key(uid: Column) -> Column:
-    return F.md5(uid)
+def row_key(uid: str = "uid") -> str:
+    return f"md5({uid})"
 
 
-def clock_text(ts_ms: Column, zone: str | None = None) -> Column:
+def clock_text(ts_ms: str, zone: str | None = None) -> str:
     """``yyyyMMddHHmmss`` of an epoch-ms column, in ``zone`` or else in the session zone."""
     if zone is None:
-        return F.date_format(F.timestamp_millis(ts_ms), "yyyyMMddHHmmss")
+        return f"date_format(timestamp_millis({ts_ms}), 'yyyyMMddHHmmss')"
     # Zone-free timestamps all the way, read off their text form: the session zone has no say.
-    utc = F.timestamp_add("MILLISECOND", ts_ms, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
-    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc).cast("string")
-    return F.translate(F.substring(local, 1, 19), "-: ", "")
+    utc = f"timestampadd(MILLISECOND, {ts_ms}, timestamp_ntz'1970-01-01 00:00:00')"
+    local = f"cast(convert_timezone('UTC', {quoted(zone)}, {utc}) AS string)"
+    return f"translate(substring({local}, 1, 19), '-: ', '')"
 
 
-def last_action_text(channel: Column, biz: Column, ts_ms: Column, zone: str | None = None) -> Column:
+def last_action_text(channel: str, biz: str, ts_ms: str, zone: str | None = None) -> str:
     """``click,code,<biz>,<time>`` or ``search,app,<biz>,<time>``."""
-    origin = F.when(channel == "click", "code").otherwise("app")
-    return F.concat_ws(",", channel, origin, null_text(biz), clock_text(ts_ms, zone))
+    origin = f"CASE WHEN {channel} = 'click' THEN 'code' ELSE 'app' END"
+    return f"concat_ws(',', {channel}, {origin}, {null_text(biz)}, {clock_text(ts_ms, zone)})"
 
 
-def scores_text(scores: list[Column]) -> Column:
-    return F.format_string(",".join(["%.5f"] * len(scores)), *scores)
+def scores_text(scores: list[str]) -> str:
+    return f"format_string({quoted(','.join(['%.5f'] * len(scores)))}, {', '.join(scores)})"
 
 
-def counts_text(counts: list[Column]) -> Column:
-    return F.concat_ws(",", *[c.cast("string") for c in counts])
+def counts_text(counts: list[str]) -> str:
+    return f"format_string({quoted(','.join(['%d'] * len(counts)))}, {', '.join(counts)})"

@@ -1,10 +1,9 @@
 """Filters and projections of the three logs."""
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from labelloom import dims
-from labelloom.functions.text import lookup, null_text
+from labelloom.functions.text import lookup, null_text, quoted, quoted_list
 
 
 def _order_columns(df: DataFrame) -> list[str]:
@@ -14,36 +13,36 @@ def _order_columns(df: DataFrame) -> list[str]:
 
 def click_actions(clicks: DataFrame, names: dict[str, str] = dims.BIZ_OF_MODEL) -> DataFrame:
     """``uid, biz`` of every click; a business outside the dictionary stays as NULL."""
-    return clicks.select("uid", lookup(names, F.col("biz_type")).alias("biz"), *_order_columns(clicks))
+    return clicks.selectExpr("uid", f"{lookup(names, 'biz_type')} AS biz", *_order_columns(clicks))
 
 
 def search_actions(searches: DataFrame) -> DataFrame:
     """``uid, biz`` of every search; search logs carry the short name already."""
-    return searches.select(
-        F.col("search_mob").alias("uid"), F.col("biz_type").alias("biz"), *_order_columns(searches)
-    )
+    return searches.selectExpr("search_mob AS uid", "biz_type AS biz", *_order_columns(searches))
 
 
 def both_channels(clicks: DataFrame, searches: DataFrame, names: dict[str, str] = dims.BIZ_OF_MODEL) -> DataFrame:
     """Clicks and searches of a user side by side, told apart by ``channel``. No pairs are formed."""
-    left = click_actions(clicks, names).withColumn("channel", F.lit(dims.CLICK_CHANNEL))
-    right = search_actions(searches).withColumn("channel", F.lit(dims.SEARCH_CHANNEL))
+    left = click_actions(clicks, names).selectExpr("*", f"{quoted(dims.CLICK_CHANNEL)} AS channel")
+    right = search_actions(searches).selectExpr("*", f"{quoted(dims.SEARCH_CHANNEL)} AS channel")
     return left.unionByName(right)
 
 
 def card_click_labels(clicks: DataFrame) -> DataFrame:
     """Card clicks on the two counted buttons, as ``uid, label``."""
-    cards = clicks.where((F.col("biz_type") == dims.CARD_MODEL) & F.col("pb_name").isin(*dims.BUTTON_SUFFIX))
-    kind = null_text(lookup(dims.NUMBER_TYPE_OF_CODE, F.col("num_type")))
-    label = F.concat(kind, lookup(dims.BUTTON_SUFFIX, F.col("pb_name")))
-    return cards.select("uid", label.alias("label"), *_order_columns(clicks))
+    cards = clicks.where(
+        f"biz_type = {quoted(dims.CARD_MODEL)} AND pb_name IN ({quoted_list(dims.BUTTON_SUFFIX)})"
+    )
+    kind = null_text(lookup(dims.NUMBER_TYPE_OF_CODE, "num_type"))
+    label = f"concat({kind}, {lookup(dims.BUTTON_SUFFIX, 'pb_name')})"
+    return cards.selectExpr("uid", f"{label} AS label", *_order_columns(clicks))
 
 
 def number_search_labels(searches: DataFrame) -> DataFrame:
     """Number searches as ``uid, label``; the number type is used as logged."""
-    numbers = searches.where(F.col("biz_type") == dims.NUMBER_BIZ)
-    label = F.concat(null_text(F.col("number_type")), F.lit(dims.SEARCH_SUFFIX))
-    return numbers.select(F.col("search_mob").alias("uid"), label.alias("label"), *_order_columns(searches))
+    numbers = searches.where(f"biz_type = {quoted(dims.NUMBER_BIZ)}")
+    label = f"concat({null_text('number_type')}, {quoted(dims.SEARCH_SUFFIX)})"
+    return numbers.selectExpr("search_mob AS uid", f"{label} AS label", *_order_columns(searches))
 
 
 def exclusive_exposures(
@@ -53,14 +52,15 @@ def exclusive_exposures(
 
     Both conditions are on raw columns, so they reach a columnar scan.
     """
-    kept = exposures.where((F.col("storey") == storey) & F.col("biz_type").isin(*names))
-    return kept.select("uid", lookup(names, F.col("biz_type")).alias("biz"), *_order_columns(exposures))
+    kept = exposures.where(f"storey = {quoted(storey)} AND biz_type IN ({quoted_list(names)})")
+    return kept.selectExpr("uid", f"{lookup(names, 'biz_type')} AS biz", *_order_columns(exposures))
 
 
 def unmapped_exposures(
     exposures: DataFrame, storey: str = dims.EXCLUSIVE_STOREY, names: dict[str, str] = dims.BIZ_OF_MODEL
 ) -> DataFrame:
     """The exclusive exposures left out of the queue: their business is not in the dictionary."""
-    known = F.coalesce(F.col("biz_type").isin(*names), F.lit(False))
-    kept = exposures.where((F.col("storey") == storey) & ~known)
-    return kept.select("uid", "biz_type", *_order_columns(exposures))
+    kept = exposures.where(
+        f"storey = {quoted(storey)} AND NOT coalesce(biz_type IN ({quoted_list(names)}), false)"
+    )
+    return kept.selectExpr("uid", "biz_type", *_order_columns(exposures))

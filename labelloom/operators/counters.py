@@ -14,4 +14,4 @@ def count_labels(labelled: DataFrame) -> DataFrame:
     Works on a stream too (update mode); the counts are absolute, so writing them again is safe.
     """
     counts = labelled.groupBy("uid", "label").agg(F.count("*").alias("n"), F.max("ts_ms").alias("last_ts"))
-    return counts.select(row_key(F.col("uid")).alias("row_key"), "label", "n", "last_ts")
+    return counts.selectExpr(f"{row_key()} AS row_key", "label", "n", "last_ts")

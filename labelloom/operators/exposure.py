@@ -4,15 +4,15 @@ A user's queue holds the newest exposures, at most ``length`` of them, and start
 pause of ``gap_ms`` or more. Input: ``uid, biz, ts_ms, event_id`` with no NULL business.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelloom import dims
+from labelloom.functions.text import quoted
 from labelloom.operators import skew
 
 COUNTS = [f"n_{biz}" for biz in dims.EXPOSED_BIZ]
-_ABSENT_AGE = 1 << 30
-_UNBOUNDED, _NOW = Window.unboundedPreceding, Window.currentRow
+_NEWEST_FIRST = "PARTITION BY uid ORDER BY ts_ms DESC, event_id DESC"
 
 
 def latest_queue(exposures: DataFrame, length: int = dims.QUEUE_LENGTH, gap_ms: int = dims.IDLE_GAP_MS) -> DataFrame:
@@ -21,84 +21,70 @@ def latest_queue(exposures: DataFrame, length: int = dims.QUEUE_LENGTH, gap_ms:
     Each input task keeps only its newest ``length`` rows of a user before the shuffle (a rank
     filter Spark pushes down as a group limit), so no user can fill a task.
     """
-    newest_first = Window.partitionBy("uid").orderBy(F.desc("ts_ms"), F.desc("event_id"))
-    recent = exposures.withColumn("age", F.row_number().over(newest_first)).where(F.col("age") <= length)
-    paused = F.coalesce((F.lag("ts_ms").over(newest_first) - F.col("ts_ms") >= gap_ms).cast("int"), F.lit(0))
-    cut = recent.withColumn("paused", paused)
-    pauses = F.sum("paused").over(newest_first.rowsBetween(_UNBOUNDED, _NOW))
-    return cut.withColumn("pauses", pauses).where(F.col("pauses") == 0).drop("paused", "pauses")
+    recent = exposures.selectExpr("*", f"row_number() OVER ({_NEWEST_FIRST}) AS age").where(f"age <= {length}")
+    paused = recent.selectExpr(
+        "*", f"coalesce(lag(ts_ms) OVER ({_NEWEST_FIRST}) - ts_ms >= {gap_ms}L, false) AS paused"
+    )
+    cut = paused.selectExpr("*", f"max(paused) OVER ({_NEWEST_FIRST} ROWS UNBOUNDED PRECEDING) AS expired")
+    return cut.where("NOT expired").drop("paused", "expired")
 
 
 def latest_counts(exposures: DataFrame, length: int = dims.QUEUE_LENGTH, gap_ms: int = dims.IDLE_GAP_MS) -> DataFrame:
     """``uid, last_ts``, the count of each business in the queue and ``number_first``."""
-    queue = latest_queue(exposures, length, gap_ms)
-    return queue.groupBy("uid").agg(
-        F.max("ts_ms").alias("last_ts"),
-        *[F.count(F.when(F.col("biz") == b, 1)).alias(f"n_{b}") for b in dims.EXPOSED_BIZ],
-        (_oldest_age("number") <= _oldest_age("xiaomi")).alias("number_first"),
-    )
 
+    def oldest_age(biz: str) -> str:
+        # A missing business counts as older than any entry.
+        return f"coalesce(max(CASE WHEN biz = '{biz}' THEN age END), {length + 1})"
 
-def _oldest_age(biz: str) -> Column:
-    return F.coalesce(F.max(F.when(F.col("biz") == biz, F.col("age"))), F.lit(_ABSENT_AGE))
+    return latest_queue(exposures, length, gap_ms).groupBy("uid").agg(
+        F.expr("max(ts_ms) AS last_ts"),
+        *[F.expr(f"count(CASE WHEN biz = {quoted(b)} THEN 1 END) AS n_{b}") for b in dims.EXPOSED_BIZ],
+        F.expr(f"{oldest_age('number')} <= {oldest_age('xiaomi')} AS number_first"),
+    )
 
 
-def counts_of_array(queue: Column) -> list[Column]:
+def counts_of_array(queue: str = "queue") -> list[str]:
     """The same columns for a queue held as an array of businesses, oldest first."""
-    def first(biz: str) -> Column:
-        return F.array_position(queue, biz)
-
-    def count(biz: str) -> Column:
-        return (F.size(queue) - F.size(F.array_remove(queue, biz))).cast("bigint")
-
     return [
-        *[count(b).alias(f"n_{b}") for b in dims.EXPOSED_BIZ],
+        *[f"bigint(size({queue}) - size(array_remove({queue}, {quoted(b)}))) AS n_{b}" for b in dims.EXPOSED_BIZ],
         # The one whose first entry is later leads; a missing one has position 0.
-        (first("number") >= first("xiaomi")).alias("number_first"),
+        f"array_position({queue}, 'number') >= array_position({queue}, 'xiaomi') AS number_first",
     ]
 
 
-def is_padded(pad_below: int = dims.PAD_BELOW) -> Column:
+def is_padded(pad_below: int = dims.PAD_BELOW) -> str:
     """Whether businesses missing from the queue take part with a count of 0."""
-    distinct = sum((F.col(c) > 0).cast("int") for c in COUNTS)
-    return distinct < pad_below
+    return f"({' + '.join(f'int({c} > 0)' for c in COUNTS)} < {pad_below})"
 
 
-def _in_order(pick) -> list[Column]:
+def _in_order(pick) -> list[str]:
     """``pick(biz)`` for every business, in the order that decides between equal counts."""
-    lead, follow = (
-        F.when(F.col("number_first"), pick(a)).otherwise(pick(b))
-        for a, b in (dims.EXPOSED_ORDER[:2], dims.EXPOSED_ORDER[1::-1])
-    )
-    return [lead, follow, *[pick(b) for b in dims.EXPOSED_ORDER[2:]]]
+    a, b, *others = map(pick, dims.EXPOSED_ORDER)
+    return [f"if(number_first, {a}, {b})", f"if(number_first, {b}, {a})", *others]
 
 
-def least_text(pad_below: int = dims.PAD_BELOW) -> Column:
+def least_text(pad_below: int = dims.PAD_BELOW) -> str:
     """``a,b``: the two businesses shown least."""
-    padded = is_padded(pad_below)
 
-    def entry(biz: str) -> Column:
-        n = F.col(f"n_{biz}")
+    def entry(biz: str) -> str:
         # A business that takes no part sorts last; at least five always do.
-        return F.struct(F.when(padded | (n > 0), n).otherwise(F.lit(1 << 62)).alias("n"), F.lit(biz).alias("biz"))
+        n = f"if({is_padded(pad_below)} OR n_{biz} > 0, n_{biz}, {1 << 62}L)"
+        return f"named_struct('n', {n}, 'biz', {quoted(biz)})"
 
-    ranked = [
-        F.struct(e["n"].alias("n"), F.lit(i).alias("place"), e["biz"].alias("biz"))
-        for i, e in enumerate(_in_order(entry))
-    ]
-    order = F.array_sort(F.array(*ranked))
-    return F.concat_ws(",", order[0]["biz"], order[1]["biz"])
+    def place(i: int, e: str) -> str:
+        return f"named_struct('n', {e}.n, 'place', {i}, 'biz', {e}.biz)"
+
+    ranked = ", ".join(place(i, e) for i, e in enumerate(_in_order(entry)))
+    return f"concat_ws(',', slice(array_sort(array({ranked})), 1, 2).biz)"
 
 
-def history_text(pad_below: int = dims.PAD_BELOW) -> Column:
+def history_text(pad_below: int = dims.PAD_BELOW) -> str:
     """``biz:count`` of every business that takes part."""
-    padded = is_padded(pad_below)
 
-    def entry(biz: str) -> Column:
-        n = F.col(f"n_{biz}")
-        return F.when(padded | (n > 0), F.concat(F.lit(f"{biz}:"), n.cast("string")))
+    def entry(biz: str) -> str:
+        return f"if({is_padded(pad_below)} OR n_{biz} > 0, concat({quoted(biz + ':')}, n_{biz}), NULL)"
 
-    return F.concat_ws(",", *_in_order(entry))
+    return f"concat_ws(',', {', '.join(_in_order(entry))})"
 
 
 def gap_groups(exposures: DataFrame, gap_ms: int = dims.IDLE_GAP_MS) -> DataFrame:
@@ -107,11 +93,12 @@ def gap_groups(exposures: DataFrame, gap_ms: int = dims.IDLE_GAP_MS) -> DataFram
     Two events in the same ``gap_ms``-wide bucket are never a pause apart, so the first and last
     event of each bucket are enough. They combine before the shuffle.
     """
-    bucket = F.call_function("div", F.col("ts_ms"), F.lit(gap_ms)).alias("bucket")
-    ends = exposures.groupBy("uid", bucket).agg(F.min("ts_ms").alias("first_ts"), F.max("ts_ms").alias("last_ts"))
-    in_time = Window.partitionBy("uid").orderBy("bucket")
-    starts = F.coalesce((F.col("first_ts") - F.lag("last_ts").over(in_time) >= gap_ms).cast("int"), F.lit(1))
-    return ends.select("uid", starts.alias("starts")).groupBy("uid").agg(F.sum("starts").alias("groups"))
+    ends = exposures.groupBy("uid", F.expr(f"ts_ms div {gap_ms}L AS bucket")).agg(
+        F.min("ts_ms").alias("first_ts"), F.max("ts_ms").alias("last_ts")
+    )
+    before = "lag(last_ts) OVER (PARTITION BY uid ORDER BY bucket)"
+    starts = ends.selectExpr("uid", f"coalesce(int(first_ts - {before} >= {gap_ms}L), 1) AS starts")
+    return starts.groupBy("uid").agg(F.sum("starts").alias("groups"))
 
 
 def queue_trace(
@@ -138,27 +125,31 @@ def queue_trace(
 def _queues(
     rows: DataFrame, keys: list[str], length: int, gap_ms: int, carry: tuple[str, ...] = ()
 ) -> DataFrame:
-    in_time = Window.partitionBy(*keys).orderBy("ts_ms", "event_id")
-    paused = F.col("ts_ms") - F.lag("ts_ms").over(in_time) >= gap_ms
-    numbered = rows.withColumn("place", F.row_number().over(in_time)).withColumn("paused", paused)
-    start = F.max(F.when(F.col("paused"), F.col("place"))).over(in_time.rowsBetween(_UNBOUNDED, _NOW))
-    recent = F.collect_list("biz").over(in_time.rowsBetween(1 - length, _NOW))
-    framed = numbered.withColumn("start", start).withColumn("recent", recent)
-    since_start = F.col("place") - F.coalesce("start", F.lit(1)) + 1
-    size = F.least(since_start, F.size("recent"))
-    return framed.select("uid", "ts_ms", "event_id", *carry, F.slice("recent", -size, size).alias("queue"))
+    in_time = f"PARTITION BY {', '.join(keys)} ORDER BY ts_ms, event_id"
+    numbered = rows.selectExpr(
+        "*",
+        f"row_number() OVER ({in_time}) AS place",
+        f"ts_ms - lag(ts_ms) OVER ({in_time}) >= {gap_ms}L AS paused",
+    )
+    framed = numbered.selectExpr(
+        "*",
+        f"max(CASE WHEN paused THEN place END) OVER ({in_time} ROWS UNBOUNDED PRECEDING) AS start",
+        f"collect_list(biz) OVER ({in_time} ROWS {length - 1} PRECEDING) AS recent",
+    )
+    size = "least(place - coalesce(start, 1) + 1, size(recent))"
+    return framed.selectExpr("uid", "ts_ms", "event_id", *carry, f"slice(recent, -{size}, {size}) AS queue")
 
 
 def _lead_in(rows: DataFrame, length: int) -> DataFrame:
     """The ``length - 1`` exposures before each slice, as extra rows of that slice."""
-    newest_first = Window.partitionBy("uid", "slice").orderBy(F.desc("ts_ms"), F.desc("event_id"))
-    tails = rows.withColumn("age", F.row_number().over(newest_first)).where(F.col("age") < length)
-    in_time = Window.partitionBy("uid").orderBy("ts_ms", "event_id")
-    entry = F.struct("biz", "ts_ms", "event_id")
-    marked = tails.select(
+    newest_first = "PARTITION BY uid, slice ORDER BY ts_ms DESC, event_id DESC"
+    tails = rows.selectExpr("*", f"row_number() OVER ({newest_first}) AS age").where(f"age < {length}")
+    in_time = "PARTITION BY uid ORDER BY ts_ms, event_id"
+    marked = tails.selectExpr(
         "uid",
         "slice",
-        (F.coalesce(F.lag("slice").over(in_time), F.lit(-1)) != F.col("slice")).alias("opens"),
-        F.collect_list(entry).over(in_time.rowsBetween(1 - length, -1)).alias("before"),
+        f"coalesce(lag(slice) OVER ({in_time}), -1) <> slice AS opens",
+        f"collect_list(struct(biz, ts_ms, event_id)) OVER ({in_time} ROWS BETWEEN {length - 1} PRECEDING"
+        " AND 1 PRECEDING) AS before",
     )
-    return marked.where("opens").select("uid", "slice", F.inline("before"), F.lit(True).alias("lead_in"))
+    return marked.where("opens").selectExpr("uid", "slice", "inline(before)", "true AS lead_in")

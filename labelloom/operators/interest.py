@@ -4,12 +4,13 @@
 with an unknown business moves no count but still refreshes the labels of its user.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelloom import dims
 from labelloom.functions.calendar import day_number
 from labelloom.functions.scoring import weighted, with_softmax
+from labelloom.functions.text import quoted
 from labelloom.operators import skew
 
 COUNTS = [f"{channel}_{biz}" for channel in dims.CHANNELS for biz in dims.SCORED_BIZ]
@@ -18,28 +19,24 @@ SEARCH_COUNTS = COUNTS[len(dims.SCORED_BIZ) :]
 RAW_SCORES = [f"raw_{biz}" for biz in dims.SCORED_BIZ]
 SCORES = [f"score_{biz}" for biz in dims.SCORED_BIZ]
 ACTIONS = [f"action_{biz}" for biz in dims.SCORED_BIZ]
-_UNBOUNDED, _NOW = Window.unboundedPreceding, Window.currentRow
 
-
-def with_day(actions: DataFrame, offset_ms: int = dims.DAY_OFFSET_MS) -> DataFrame:
-    return actions.withColumn("day", day_number(F.col("ts_ms"), offset_ms))
+# For each count the 0/1 contribution of a row.
+HITS = {
+    f"{channel}_{biz}": f"CASE WHEN channel = {quoted(channel)} AND biz = {quoted(biz)} THEN 1 ELSE 0 END"
+    for channel in dims.CHANNELS
+    for biz in dims.SCORED_BIZ
+}
+# Aggregates shared by the batch and the stream: the ten counts, newest click, newest search.
+HIT_SUMS = [f"sum({hit}) AS {name}" for name, hit in HITS.items()]
+LAST_SEEN = [f"max(CASE WHEN channel = {quoted(c)} THEN ts_ms END) AS last_{c}_ts" for c in dims.CHANNELS]
 
 
-def hits() -> dict[str, Column]:
-    """For each count the 0/1 contribution of a row."""
-    return {
-        f"{channel}_{biz}": F.when((F.col("channel") == channel) & (F.col("biz") == biz), 1).otherwise(0)
-        for channel in dims.CHANNELS
-        for biz in dims.SCORED_BIZ
-    }
+def aggregates(texts: list[str]) -> list:
+    return [F.expr(t) for t in texts]
 
 
-def last_seen() -> list[Column]:
-    """Time of the newest click and of the newest search."""
-    return [
-        F.max(F.when(F.col("channel") == channel, F.col("ts_ms"))).alias(f"last_{channel}_ts")
-        for channel in dims.CHANNELS
-    ]
+def with_day(actions: DataFrame, offset_ms: int = dims.DAY_OFFSET_MS) -> DataFrame:
+    return actions.selectExpr("*", f"{day_number('ts_ms', offset_ms)} AS day")
 
 
 def daily_counts(actions: DataFrame, offset_ms: int = dims.DAY_OFFSET_MS) -> DataFrame:
@@ -55,29 +52,27 @@ def latest_counts(actions: DataFrame, offset_ms: int = dims.DAY_OFFSET_MS) -> Da
     Columns: uid, last_click_ts, last_search_ts, ``at_click`` and ``at_search`` (own-channel counts
     or NULL), ``at_last`` (all ten counts).
     """
-    sums = [F.sum(c).alias(name) for name, c in hits().items()]
-    days = with_day(actions, offset_ms).groupBy("uid", "day").agg(*sums, *last_seen())
-
-    by_day = Window.partitionBy("uid").orderBy("day")
-    before = days.withColumn("before", F.lag(F.struct("day", *COUNTS)).over(by_day))
-    follows = F.col("before.day") == F.col("day") - 1
-    two_day = before.select(
+    days = with_day(actions, offset_ms).groupBy("uid", "day").agg(*aggregates(HIT_SUMS + LAST_SEEN))
+    before = days.selectExpr(
+        "*", f"lag(struct(day, {', '.join(COUNTS)})) OVER (PARTITION BY uid ORDER BY day) AS before"
+    )
+    two_day = before.selectExpr(
         "uid",
         "day",
         "last_click_ts",
         "last_search_ts",
-        *[(F.col(c) + F.when(follows, F.col(f"before.{c}")).otherwise(0)).alias(c) for c in COUNTS],
-    )
-    own = {
-        channel: (F.struct(*names), F.when(F.col(f"last_{channel}_ts").isNotNull(), F.col("day")))
-        for channel, names in zip(dims.CHANNELS, (CLICK_COUNTS, SEARCH_COUNTS))
-    }
-    return two_day.groupBy("uid").agg(
-        F.max("last_click_ts").alias("last_click_ts"),
-        F.max("last_search_ts").alias("last_search_ts"),
-        *[F.max_by(value, day).alias(f"at_{channel}") for channel, (value, day) in own.items()],
-        F.max_by(F.struct(*COUNTS), "day").alias("at_last"),
+        *[f"{c} + CASE WHEN before.day = day - 1 THEN before.{c} ELSE 0 END AS {c}" for c in COUNTS],
     )
+    own = [
+        f"max_by(struct({', '.join(names)}), CASE WHEN last_{ch}_ts IS NOT NULL THEN day END) AS at_{ch}"
+        for ch, names in zip(dims.CHANNELS, (CLICK_COUNTS, SEARCH_COUNTS))
+    ]
+    return two_day.groupBy("uid").agg(*aggregates([
+        "max(last_click_ts) AS last_click_ts",
+        "max(last_search_ts) AS last_search_ts",
+        *own,
+        f"max_by(struct({', '.join(COUNTS)}), day) AS at_last",
+    ]))
 
 
 def counts_trace(
@@ -102,44 +97,38 @@ _TRACE_KEYS = ["uid", "channel", "ts_ms", "event_id"]
 
 def _trace_by_user(rows: DataFrame) -> DataFrame:
     # Both windows are keyed by the user and ordered by day first: one shuffle, one sort.
-    so_far = Window.partitionBy("uid").orderBy("day", "ts_ms", "event_id").rowsBetween(_UNBOUNDED, _NOW)
-    too_old = Window.partitionBy("uid").orderBy("day").rangeBetween(_UNBOUNDED, -2)
-    running = rows.select(*_TRACE_KEYS, "day", *[F.sum(c).over(so_far).alias(name) for name, c in hits().items()])
+    so_far = "PARTITION BY uid ORDER BY day, ts_ms, event_id ROWS UNBOUNDED PRECEDING"
+    too_old = "PARTITION BY uid ORDER BY day RANGE BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING"
+    running = rows.selectExpr(*_TRACE_KEYS, "day", *[f"sum({h}) OVER ({so_far}) AS {c}" for c, h in HITS.items()])
     # Running counts only grow, so the highest one up to two days ago is what has dropped out.
-    return running.select(
-        *_TRACE_KEYS,
-        *[(F.col(c) - F.coalesce(F.max(c).over(too_old), F.lit(0))).alias(c) for c in COUNTS],
-    )
+    return running.selectExpr(*_TRACE_KEYS, *[f"{c} - coalesce(max({c}) OVER ({too_old}), 0) AS {c}" for c in COUNTS])
 
 
 def _trace_by_slice(rows: DataFrame) -> DataFrame:
-    slice_keys = ["uid", "day", "slice"]
-    totals = rows.groupBy(*slice_keys).agg(*[F.sum(c).alias(name) for name, c in hits().items()])
+    keys = ["uid", "day", "slice"]
+    totals = rows.groupBy(*keys).agg(*aggregates(HIT_SUMS))
     yesterday = (
         totals.groupBy("uid", "day")
-        .agg(*[F.sum(c).alias(f"{c}_yesterday") for c in COUNTS])
+        .agg(*aggregates([f"sum({c}) AS {c}_yesterday" for c in COUNTS]))
         .withColumn("day", F.col("day") + 1)
     )
-    earlier = Window.partitionBy("uid", "day").orderBy("slice").rowsBetween(_UNBOUNDED, -1)
-    before = totals.select(
-        *slice_keys, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_earlier") for c in COUNTS]
-    )
+    earlier = "PARTITION BY uid, day ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    before = totals.selectExpr(*keys, *[f"coalesce(sum({c}) OVER ({earlier}), 0) AS {c}_earlier" for c in COUNTS])
     # One small row per slice; the events keep the partitioning of their window for this join.
-    carried = before.join(yesterday, ["uid", "day"], "left").select(
-        *slice_keys,
-        *[(F.col(f"{c}_earlier") + F.coalesce(F.col(f"{c}_yesterday"), F.lit(0))).alias(f"{c}_before") for c in COUNTS],
+    carried = before.join(yesterday, ["uid", "day"], "left").selectExpr(
+        *keys, *[f"{c}_earlier + coalesce({c}_yesterday, 0) AS {c}_before" for c in COUNTS]
     )
-    within = Window.partitionBy(*slice_keys).orderBy("ts_ms", "event_id").rowsBetween(_UNBOUNDED, _NOW)
-    running = rows.select(*_TRACE_KEYS, "day", "slice", *[F.sum(c).over(within).alias(n) for n, c in hits().items()])
-    return running.join(carried, slice_keys).select(
-        *_TRACE_KEYS, *[(F.col(c) + F.col(f"{c}_before")).alias(c) for c in COUNTS]
+    within = "PARTITION BY uid, day, slice ORDER BY ts_ms, event_id ROWS UNBOUNDED PRECEDING"
+    running = rows.selectExpr(
+        *_TRACE_KEYS, "day", "slice", *[f"sum({h}) OVER ({within}) AS {c}" for c, h in HITS.items()]
     )
+    return running.join(carried, keys).selectExpr(*_TRACE_KEYS, *[f"{c} + {c}_before AS {c}" for c in COUNTS])
 
 
-def own_channel_counts() -> list[Column]:
+def own_channel_counts() -> list[str]:
     """The counts of the channel the event belongs to."""
     return [
-        F.when(F.col("channel") == dims.CLICK_CHANNEL, F.col(c)).otherwise(F.col(s)).alias(out)
+        f"CASE WHEN channel = {quoted(dims.CLICK_CHANNEL)} THEN {c} ELSE {s} END AS {out}"
         for c, s, out in zip(CLICK_COUNTS, SEARCH_COUNTS, ACTIONS)
     ]
 
@@ -152,10 +141,10 @@ def with_raw_scores(
 ) -> DataFrame:
     """Adds the weighted score of each business to a frame with the ten counts."""
     raw = [
-        weighted(F.col(c), F.col(s), click_weight[b], search_weight[b], biz_weight[b]).alias(out)
+        f"{weighted(c, s, click_weight[b], search_weight[b], biz_weight[b])} AS {out}"
         for b, c, s, out in zip(dims.SCORED_BIZ, CLICK_COUNTS, SEARCH_COUNTS, RAW_SCORES)
     ]
-    return counts.select("*", *raw)
+    return counts.selectExpr("*", *raw)
 
 
 def with_scores(raw: DataFrame, on_flat: str = "nan") -> DataFrame:

@@ -12,9 +12,8 @@ def last_action(actions: DataFrame, zone: str | None = None) -> DataFrame:
     One mergeable aggregate per user: each input task sends one row per user it saw. The text is
     built afterwards, once per user. Works on a stream too (update mode).
     """
-    order = F.struct("ts_ms", "event_id", "channel")
-    last = actions.groupBy("uid").agg(F.max_by(F.struct("channel", "biz", "ts_ms"), order).alias("last"))
-    text = last_action_text(F.col("last.channel"), F.col("last.biz"), F.col("last.ts_ms"), zone)
-    return last.select(
-        row_key(F.col("uid")).alias("row_key"), text.alias("user_last_biz"), F.col("last.ts_ms").alias("last_ts")
+    last = actions.groupBy("uid").agg(
+        F.expr("max_by(struct(channel, biz, ts_ms), struct(ts_ms, event_id, channel))").alias("last")
     )
+    text = last_action_text("last.channel", "last.biz", "last.ts_ms", zone)
+    return last.selectExpr(f"{row_key()} AS row_key", f"{text} AS user_last_biz", "last.ts_ms AS last_ts")

@@ -51,9 +51,5 @@ def without(events: DataFrame, heavy: DataFrame) -> DataFrame:
 
 def sliced(events: DataFrame, heavy: DataFrame) -> DataFrame:
     """Rows of the heavy users with their ``slice``; slices follow time order."""
-    cut = F.call_function("div", F.col("ts_ms") - F.col("first_ts"), F.col("slice_ms"))
-    return (
-        events.join(F.broadcast(heavy), "uid")
-        .withColumn("slice", cut)
-        .drop("first_ts", "slice_ms")
-    )
+    cut = "(ts_ms - first_ts) div slice_ms AS slice"
+    return events.join(F.broadcast(heavy), "uid").selectExpr("*", cut).drop("first_ts", "slice_ms")

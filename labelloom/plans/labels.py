@@ -5,58 +5,52 @@
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelloom import dims
-from labelloom.functions.text import counts_text, row_key, scores_text
+from labelloom.functions.text import counts_text, quoted, row_key, scores_text
 from labelloom.operators import classify, counters, exposure, interest, last_action
 from labelloom.schemas import LABEL_COLUMNS
 
 
-def cell(label: Column | str, value: Column, write_ts: Column, ttl_ms: int | None) -> Column:
+def cell(label: str, value: str, write_ts: str, ttl_ms: int) -> str:
     """One label of a wide row as a struct; NULL value or time means the row does not write it."""
-    expire = F.lit(None).cast("bigint") if ttl_ms is None else write_ts + F.lit(ttl_ms)
-    name = F.lit(label) if isinstance(label, str) else label
-    return F.struct(name.alias("label"), value.alias("value"), write_ts.alias("write_ts"), expire.alias("expire_ts"))
+    return (
+        f"named_struct('label', {quoted(label)}, 'value', {value}, 'write_ts', {write_ts},"
+        f" 'expire_ts', {write_ts} + {ttl_ms}L)"
+    )
 
 
-def unfold(rows: DataFrame, cells: list[Column]) -> DataFrame:
+def unfold(rows: DataFrame, cells: list[str]) -> DataFrame:
     """One output row for every cell a row writes; no shuffle, the input is read once."""
-    exploded = rows.select("row_key", F.inline(F.array(*cells)))
-    return exploded.where(F.col("value").isNotNull() & F.col("write_ts").isNotNull()).select(*LABEL_COLUMNS)
+    exploded = rows.selectExpr("row_key", f"inline(array({', '.join(cells)}))")
+    return exploded.where("value IS NOT NULL AND write_ts IS NOT NULL").select(*LABEL_COLUMNS)
 
 
 def counter_cells(counts: DataFrame) -> DataFrame:
-    return counts.select(
-        "row_key",
-        "label",
-        F.col("n").cast("string").alias("value"),
-        F.col("last_ts").alias("write_ts"),
-        F.lit(None).cast("bigint").alias("expire_ts"),
+    return counts.selectExpr(
+        "row_key", "label", "string(n) AS value", "last_ts AS write_ts", "CAST(NULL AS bigint) AS expire_ts"
     )
 
 
 def last_biz_cells(last: DataFrame) -> DataFrame:
-    return unfold(last, [cell("user_last_biz", F.col("user_last_biz"), F.col("last_ts"), dims.LAST_BIZ_TTL_MS)])
+    return unfold(last, [cell("user_last_biz", "user_last_biz", "last_ts", dims.LAST_BIZ_TTL_MS)])
 
 
 def score_cells(scored: DataFrame) -> DataFrame:
     """From ``row_key``, the scores, ``biz_click``, ``biz_search`` and the two last-seen times."""
-    last_ts = F.greatest("last_click_ts", "last_search_ts")
+    last_ts = "greatest(last_click_ts, last_search_ts)"
     return unfold(scored, [
-        cell("biz_score", scores_text([F.col(c) for c in interest.SCORES]), last_ts, dims.SCORE_TTL_MS),
-        *[
-            cell(f"biz_{ch}", F.col(f"biz_{ch}"), F.col(f"last_{ch}_ts"), dims.SCORE_TTL_MS)
-            for ch in dims.CHANNELS
-        ],
+        cell("biz_score", scores_text(interest.SCORES), last_ts, dims.SCORE_TTL_MS),
+        *[cell(f"biz_{ch}", f"biz_{ch}", f"last_{ch}_ts", dims.SCORE_TTL_MS) for ch in dims.CHANNELS],
     ])
 
 
 def exposure_cells(texts: DataFrame) -> DataFrame:
     """From ``row_key, last_ts`` and the two texts."""
     names = ("expose_least_biz_7d", "expose_biz_his")
-    return unfold(texts, [cell(n, F.col(n), F.col("last_ts"), dims.EXPOSURE_TTL_MS) for n in names])
+    return unfold(texts, [cell(n, n, "last_ts", dims.EXPOSURE_TTL_MS) for n in names])
 
 
 def number_labels(clicks: DataFrame, searches: DataFrame) -> DataFrame:
@@ -75,19 +69,14 @@ def scored_actions(clicks: DataFrame, searches: DataFrame) -> DataFrame:
 
 def latest_scores(actions: DataFrame, on_flat: str = "nan") -> DataFrame:
     """Per user the scores at the last event and the count texts at the last click and search."""
-    latest = interest.latest_counts(actions)
     own = [
-        F.when(
-            F.col(f"at_{ch}").isNotNull(), counts_text([F.col(f"at_{ch}.{c}") for c in names])
-        ).alias(f"biz_{ch}")
+        f"if(at_{ch} IS NULL, NULL, {counts_text([f'at_{ch}.{c}' for c in names])}) AS biz_{ch}"
         for ch, names in zip(dims.CHANNELS, (interest.CLICK_COUNTS, interest.SEARCH_COUNTS))
     ]
-    flat = latest.select("uid", "last_click_ts", "last_search_ts", *own, "at_last.*")
-    scored = interest.with_scores(interest.with_raw_scores(flat), on_flat)
-    return scored.select(
-        row_key(F.col("uid")).alias("row_key"),
-        "last_click_ts", "last_search_ts", "biz_click", "biz_search", *interest.COUNTS, *interest.SCORES,
+    latest = interest.latest_counts(actions).selectExpr(
+        f"{row_key()} AS row_key", "last_click_ts", "last_search_ts", *own, "at_last.*"
     )
+    return interest.with_scores(interest.with_raw_scores(latest), on_flat)
 
 
 def score_labels(clicks: DataFrame, searches: DataFrame, on_flat: str = "nan") -> DataFrame:
@@ -95,17 +84,17 @@ def score_labels(clicks: DataFrame, searches: DataFrame, on_flat: str = "nan") -
 
 
 def exposure_texts(counts: DataFrame, pad_below: int = dims.PAD_BELOW) -> DataFrame:
-    return counts.select(
-        row_key(F.col("uid")).alias("row_key"),
+    return counts.selectExpr(
+        f"{row_key()} AS row_key",
         "last_ts",
-        exposure.least_text(pad_below).alias("expose_least_biz_7d"),
-        exposure.history_text(pad_below).alias("expose_biz_his"),
+        f"{exposure.least_text(pad_below)} AS expose_least_biz_7d",
+        f"{exposure.history_text(pad_below)} AS expose_biz_his",
     )
 
 
 def exposure_labels(exposures: DataFrame, pad_below: int = dims.PAD_BELOW) -> DataFrame:
-    kept = classify.exclusive_exposures(exposures)
-    return exposure_cells(exposure_texts(exposure.latest_counts(kept), pad_below))
+    counts = exposure.latest_counts(classify.exclusive_exposures(exposures))
+    return exposure_cells(exposure_texts(counts, pad_below))
 
 
 def all_labels(clicks: DataFrame, searches: DataFrame, exposures: DataFrame, zone: str | None = None) -> DataFrame:
@@ -120,10 +109,10 @@ def all_labels(clicks: DataFrame, searches: DataFrame, exposures: DataFrame, zon
 
 def visible(labels: DataFrame, as_of_ms: int) -> DataFrame:
     """What a reader sees at ``as_of_ms``: expired cells are gone."""
-    return labels.where(F.col("expire_ts").isNull() | (F.col("expire_ts") > F.lit(as_of_ms)))
+    return labels.where(f"expire_ts IS NULL OR expire_ts > {as_of_ms}L")
 
 
 def wide(labels: DataFrame, names: Iterable[str] = tuple(dims.KNOWN_LABELS)) -> DataFrame:
     """One row per user, one column per label, in one shuffle; the names are given, not looked up."""
-    columns = [F.max(F.when(F.col("label") == n, F.col("value"))).alias(n) for n in names]
+    columns = [F.expr(f"max(CASE WHEN label = {quoted(n)} THEN value END) AS {n}") for n in names]
     return labels.groupBy("row_key").agg(*columns)

@@ -66,7 +66,7 @@ def parse_search_log(spark, sf_dir):
 
 def parse_exposure_log(spark, sf_dir):
     rows = read_log(_raw(spark, sf_dir, EXPOSURE), EXPOSURE)
-    return rows.select("uid", lookup(dims.BIZ_OF_MODEL, F.col("biz_type")).alias("biz"), "ts_ms", "event_id")
+    return rows.selectExpr("uid", f"{lookup(dims.BIZ_OF_MODEL, 'biz_type')} AS biz", "ts_ms", "event_id")
 
 
 def backfill_logs(spark, sf_dir):
@@ -96,18 +96,17 @@ def event_time_watermark(spark, sf_dir):
 
 
 def biz_dictionary(spark, sf_dir):
-    code = F.col("biz_type")
-    rows = _exposures(spark, sf_dir).select(
-        code.alias("raw"),
-        null_text(lookup(dims.BIZ_OF_MODEL, code)).alias("mapped"),
-        null_text(lookup(dims.SCORED_BIZ_OF_MODEL, code)).alias("mapped_for_score"),
+    rows = _exposures(spark, sf_dir).selectExpr(
+        "biz_type AS raw",
+        f"{null_text(lookup(dims.BIZ_OF_MODEL, 'biz_type'))} AS mapped",
+        f"{null_text(lookup(dims.SCORED_BIZ_OF_MODEL, 'biz_type'))} AS mapped_for_score",
     )
     return rows.groupBy("raw", "mapped", "mapped_for_score").agg(F.count("*").alias("n"))
 
 
 def number_type_dictionary(spark, sf_dir):
-    mapped = null_text(lookup(dims.NUMBER_TYPE_OF_CODE, F.col("num_type")))
-    rows = _clicks(spark, sf_dir).select(F.col("num_type").alias("raw"), mapped.alias("mapped"))
+    mapped = null_text(lookup(dims.NUMBER_TYPE_OF_CODE, "num_type"))
+    rows = _clicks(spark, sf_dir).selectExpr("num_type AS raw", f"{mapped} AS mapped")
     return rows.groupBy("raw", "mapped").agg(F.count("*").alias("n"))
 
 
@@ -129,19 +128,19 @@ def unmapped_exposures(spark, sf_dir):
 
 
 def user_row_key(spark, sf_dir):
-    return _exposures(spark, sf_dir).select("uid").distinct().select("uid", row_key(F.col("uid")).alias("row_key"))
+    return _exposures(spark, sf_dir).select("uid").distinct().selectExpr("uid", f"{row_key()} AS row_key")
 
 
 # Number counters
 
 
 def number_click_counts(spark, sf_dir):
-    rows = classify.card_click_labels(_clicks(spark, sf_dir)).where(F.col("label").endswith("_clicks"))
+    rows = classify.card_click_labels(_clicks(spark, sf_dir)).where("endswith(label, '_clicks')")
     return counters.count_labels(rows).drop("last_ts")
 
 
 def number_x_counts(spark, sf_dir):
-    rows = classify.card_click_labels(_clicks(spark, sf_dir)).where(F.col("label").endswith("_x"))
+    rows = classify.card_click_labels(_clicks(spark, sf_dir)).where("endswith(label, '_x')")
     return counters.count_labels(rows).drop("last_ts")
 
 
@@ -165,7 +164,7 @@ def _scored(spark, sf_dir):
 
 
 def co_keyed_channels(spark, sf_dir):
-    by_channel = [F.count(F.when(F.col("channel") == c, 1)).alias(f"n_{c}") for c in dims.CHANNELS]
+    by_channel = [F.expr(f"count_if(channel = '{c}') AS n_{c}") for c in dims.CHANNELS]
     return _scored(spark, sf_dir).groupBy("uid").agg(*by_channel)
 
 
@@ -175,7 +174,7 @@ def daily_biz_counts(spark, sf_dir):
 
 def biz_actions_trace(spark, sf_dir):
     trace = interest.counts_trace(_scored(spark, sf_dir))
-    return trace.select("event_id", "channel", *interest.own_channel_counts())
+    return trace.selectExpr("event_id", "channel", *interest.own_channel_counts())
 
 
 def biz_raw_score_trace(spark, sf_dir):
@@ -199,10 +198,10 @@ def biz_weighted_score_trace(spark, sf_dir):
 
 def _rounded(scored: DataFrame, *keep: str) -> DataFrame:
     """Scores to 5 places; users without a score (all counts equal) are flagged and show 0."""
-    return scored.select(
+    return scored.selectExpr(
         *keep,
-        F.isnan(interest.SCORES[0]).cast("int").alias("flat"),
-        *[F.round(F.nanvl(F.col(c), F.lit(0.0)), 5).alias(c) for c in interest.SCORES],
+        f"int(isnan({interest.SCORES[0]})) AS flat",
+        *[f"round(nanvl({c}, 0D), 5) AS {c}" for c in interest.SCORES],
     )
 
 
@@ -214,7 +213,7 @@ def biz_score_trace(spark, sf_dir):
 def biz_score_trace_uniform(spark, sf_dir):
     raw = interest.with_raw_scores(interest.counts_trace(_scored(spark, sf_dir)))
     scored = interest.with_scores(raw, on_flat="uniform")
-    return scored.select("event_id", *[F.round(c, 5).alias(c) for c in interest.SCORES])
+    return scored.selectExpr("event_id", *[f"round({c}, 5) AS {c}" for c in interest.SCORES])
 
 
 def biz_score_latest(spark, sf_dir):
@@ -223,17 +222,17 @@ def biz_score_latest(spark, sf_dir):
 
 def biz_click_label(spark, sf_dir):
     latest = labels.latest_scores(_scored(spark, sf_dir))
-    return latest.where(F.col("biz_click").isNotNull()).select("row_key", "biz_click")
+    return latest.where("biz_click IS NOT NULL").select("row_key", "biz_click")
 
 
 def biz_search_label(spark, sf_dir):
     latest = labels.latest_scores(_scored(spark, sf_dir))
-    return latest.where(F.col("biz_search").isNotNull()).select("row_key", "biz_search")
+    return latest.where("biz_search IS NOT NULL").select("row_key", "biz_search")
 
 
 def biz_score_label(spark, sf_dir):
-    text = scores_text([F.col(c) for c in interest.SCORES])
-    return labels.latest_scores(_scored(spark, sf_dir)).select("row_key", text.alias("biz_score"))
+    latest = labels.latest_scores(_scored(spark, sf_dir))
+    return latest.selectExpr("row_key", f"{scores_text(interest.SCORES)} AS biz_score")
 
 
 # Exposures
@@ -258,8 +257,8 @@ def expose_gap_groups(spark, sf_dir):
 
 def expose_counts_trace(spark, sf_dir):
     trace = exposure.queue_trace(_shown(spark, sf_dir))
-    counts = trace.select("event_id", *exposure.counts_of_array(F.col("queue")))
-    return counts.select("event_id", *exposure.COUNTS, exposure.is_padded().cast("int").alias("padded"))
+    counts = trace.selectExpr("event_id", *exposure.counts_of_array("queue"))
+    return counts.selectExpr("event_id", *exposure.COUNTS, f"int({exposure.is_padded()}) AS padded")
 
 
 def expose_history_label(spark, sf_dir):

@@ -6,12 +6,12 @@ micro-batch, with the value that key has now. ``run`` writes them to the label t
 
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from labelloom import dims
-from labelloom.functions.calendar import day_window
+from labelloom.functions.calendar import day_number, day_window
 from labelloom.functions.text import counts_text, row_key
 from labelloom.operators import classify, exposure, interest
 from labelloom.plans import labels
@@ -47,16 +47,11 @@ def daily_counts(
 ) -> DataFrame:
     """``uid, day, channel, biz, n`` per calendar day; a day's state goes when the day is closed."""
     actions = _timed_actions(clicks, searches, lateness)
-    counts = actions.groupBy("uid", day_window(F.col("event_time"), 1, offset_ms), "channel", "biz").agg(
+    counts = actions.groupBy("uid", day_window("event_time", 1, offset_ms), "channel", "biz").agg(
         F.count("*").alias("n")
     )
-    return counts.select("uid", _last_day(1, offset_ms).alias("day"), "channel", "biz", "n")
-
-
-def _last_day(days: int, offset_ms: int) -> Column:
-    """Number of the last calendar day of a day window."""
-    end_ms = F.unix_millis("window.end") + F.lit(offset_ms)
-    return F.call_function("div", end_ms, F.lit(dims.DAY_MS)) - 1
+    day = day_number("unix_millis(window.start)", offset_ms)
+    return counts.selectExpr("uid", f"{day} AS day", "channel", "biz", "n")
 
 
 def score_labels(
@@ -72,21 +67,17 @@ def score_labels(
     lookup. A window speaks for its user once it has an event on its last day. State is native
     and leaves with the watermark.
     """
-    sums = [F.sum(c).alias(name) for name, c in interest.hits().items()]
     windows = _timed_actions(clicks, searches, lateness).groupBy(
-        "uid", day_window(F.col("event_time"), 2, offset_ms)
-    ).agg(*sums, *interest.last_seen())
-    last_day_ms = F.unix_millis("window.end") - F.lit(dims.DAY_MS)
-    on_last_day = {ch: F.col(f"last_{ch}_ts") >= last_day_ms for ch in dims.CHANNELS}
-    speaking = windows.where(F.greatest("last_click_ts", "last_search_ts") >= last_day_ms)
+        "uid", day_window("event_time", 2, offset_ms)
+    ).agg(*interest.aggregates(interest.HIT_SUMS + interest.LAST_SEEN))
+    last_day_ms = f"unix_millis(window.end) - {dims.DAY_MS}L"
+    speaking = windows.where(f"greatest(last_click_ts, last_search_ts) >= {last_day_ms}")
     own = [
-        F.when(on_last_day[ch], counts_text([F.col(c) for c in names])).alias(f"biz_{ch}")
+        f"if(last_{ch}_ts >= {last_day_ms}, {counts_text(names)}, NULL) AS biz_{ch}"
         for ch, names in zip(dims.CHANNELS, (interest.CLICK_COUNTS, interest.SEARCH_COUNTS))
     ]
-    flat = speaking.select("uid", "last_click_ts", "last_search_ts", *own, *interest.COUNTS)
-    scored = interest.with_scores(interest.with_raw_scores(flat), on_flat)
-    cells = labels.score_cells(scored.withColumn("row_key", row_key(F.col("uid"))))
-    return cells
+    flat = speaking.selectExpr(f"{row_key()} AS row_key", "last_click_ts", "last_search_ts", *own, *interest.COUNTS)
+    return labels.score_cells(interest.with_scores(interest.with_raw_scores(flat), on_flat))
 
 
 def exposure_labels(
@@ -107,7 +98,7 @@ def exposure_labels(
             queue_state.LastExposures(length, gap_ms), queue_state.OUTPUT, outputMode="Update", timeMode="EventTime"
         )
     )
-    counts = queues.select("uid", "last_ts", *exposure.counts_of_array(F.col("queue")))
+    counts = queues.selectExpr("uid", "last_ts", *exposure.counts_of_array("queue"))
     return labels.exposure_cells(labels.exposure_texts(counts, pad_below))
 
 

@@ -3,7 +3,6 @@ from itertools import combinations, permutations
 
 import pytest
 from model import DAY, SIX, exposure_texts, queues
-from pyspark.sql import functions as F
 
 from labelloom.operators import exposure, skew
 from labelloom.plans import labels
@@ -23,14 +22,14 @@ def of_queues(spark, *qs):
 
 def batch_texts(spark, rows, pad_below=5, **kw):
     counts = exposure.latest_counts(rows, **kw)
-    out = counts.select("uid", exposure.least_text(pad_below).alias("least"), exposure.history_text(pad_below).alias("his"))
+    out = counts.selectExpr("uid", f"{exposure.least_text(pad_below)} AS least", f"{exposure.history_text(pad_below)} AS his")
     return {r["uid"]: (r["least"], r["his"]) for r in out.collect()}
 
 
 def array_texts(spark, *qs, pad_below=5):
     df = spark.createDataFrame([(str(u), list(q)) for u, q in enumerate(qs)], "uid string, queue array<string>")
-    counts = df.select("uid", *exposure.counts_of_array(F.col("queue")))
-    out = counts.select("uid", exposure.least_text(pad_below).alias("least"), exposure.history_text(pad_below).alias("his"))
+    counts = df.selectExpr("uid", *exposure.counts_of_array("queue"))
+    out = counts.selectExpr("uid", f"{exposure.least_text(pad_below)} AS least", f"{exposure.history_text(pad_below)} AS his")
     return {r["uid"]: (r["least"], r["his"]) for r in out.collect()}
 
 
