@@ -6,6 +6,7 @@ Works on a batch and on a streaming read of the table.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labelloom.functions.text import quoted_list
 from labelloom.schemas import LogSpec
 
 # Declared, so no job has to look at the files first. Read as TIMESTAMP, the zone-free values count
@@ -28,52 +29,47 @@ def stream_events(spark: SparkSession, folder: str, pattern: str = "events*.parq
     return reader.parquet(folder)
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)
+def _pick(values: list[str], index: str) -> str:
+    return f"element_at(array({quoted_list(values)}), int({index}) + 1)"
 
 
 def _base(events: DataFrame) -> DataFrame:
     # The generator keeps filters on k above it: the JSON text is read once per row.
-    k = F.get_json_object("props", "$.k").cast("int")
-    return events.select(
-        F.col("user_id").cast("string").alias("uid"),
+    return events.selectExpr(
+        "string(user_id) AS uid",
         "user_id",
-        F.unix_millis("ts").alias("ts_ms"),
+        "unix_millis(ts) AS ts_ms",
         "event_id",
-        F.explode(F.array(k)).alias("k"),
+        "explode(array(int(get_json_object(props, '$.k')))) AS k",
     )
 
 
 def click_log(events: DataFrame) -> DataFrame:
-    rows = _base(events.where(F.col("event_type").isin("click", "signup")))
-    return rows.select(
+    return _base(events.where("event_type IN ('click', 'signup')")).selectExpr(
         "uid",
-        _pick(_MODELS, F.col("k") % 7).alias("biz_type"),
-        _pick(_BUTTONS, F.call_function("div", F.col("k"), F.lit(7)) % 3).alias("pb_name"),
-        _pick(_NUMBER_CODES, F.col("user_id") % 9).alias("num_type"),
+        f"{_pick(_MODELS, 'k % 7')} AS biz_type",
+        f"{_pick(_BUTTONS, '(k div 7) % 3')} AS pb_name",
+        f"{_pick(_NUMBER_CODES, 'user_id % 9')} AS num_type",
         "ts_ms",
         "event_id",
     )
 
 
 def search_log(events: DataFrame) -> DataFrame:
-    rows = _base(events.where(F.col("event_type").isin("purchase", "error")))
-    number_type = F.when(F.col("user_id") % 3 == 0, "lucky").when(F.col("user_id") % 3 == 1, "love")
-    return rows.select(
-        F.col("uid").alias("search_mob"),
-        _pick(_SHORT_NAMES, F.col("k") % 7).alias("biz_type"),
-        number_type.alias("number_type"),
+    return _base(events.where("event_type IN ('purchase', 'error')")).selectExpr(
+        "uid AS search_mob",
+        f"{_pick(_SHORT_NAMES, 'k % 7')} AS biz_type",
+        "CASE user_id % 3 WHEN 0 THEN 'lucky' WHEN 1 THEN 'love' END AS number_type",
         "ts_ms",
         "event_id",
     )
 
 
 def exposure_log(events: DataFrame) -> DataFrame:
-    k = F.col("k")
-    return _base(events).select(
+    return _base(events).selectExpr(
         "uid",
-        _pick(_MODELS, F.least(k % 9, k % 7)).alias("biz_type"),
-        F.when(k % 4 == 0, "首页-推荐").otherwise("首页-专享").alias("storey"),
+        f"{_pick(_MODELS, 'least(k % 9, k % 7)')} AS biz_type",
+        "if(k % 4 = 0, '首页-推荐', '首页-专享') AS storey",
         "ts_ms",
         "event_id",
     )
