@@ -135,25 +135,25 @@ queues AS (
   FROM runs)"""
 
 
-def _queue_texts(pad_below: int = 5) -> str:
-    """CTEs entries (one row per user and business taking part) and texts over ``last_queue``."""
+def _queue_texts(pad_below: int = 5, source: str = "last_queue", key: str = "uid") -> str:
+    """CTEs entries (one row per queue and business taking part) and texts, one row per queue."""
     place = {"package": 2, "broadband": 3, "terminal": 4, "family": 5}
     whens = " ".join(f"WHEN '{b}' THEN {p}" for b, p in place.items())
     first = "coalesce(list_position(q, '{}'), 0)".format
     return f"""
 names AS (SELECT unnest(['terminal','broadband','package','number','family','xiaomi']) AS biz),
 entries AS (
-  SELECT uid, ts_ms, names.biz, len(list_filter(q, lambda x: x = names.biz)) AS n,
+  SELECT uid, event_id, ts_ms, names.biz, len(list_filter(q, lambda x: x = names.biz)) AS n,
          CASE names.biz {whens}
            WHEN 'number' THEN CASE WHEN {first('number')} >= {first('xiaomi')} THEN 0 ELSE 1 END
            WHEN 'xiaomi' THEN CASE WHEN {first('xiaomi')} > {first('number')} THEN 0 ELSE 1 END END AS place
-  FROM last_queue, names
+  FROM {source}, names
   WHERE list_contains(q, names.biz) OR len(list_distinct(q)) < {pad_below}),
 texts AS (
-  SELECT md5(uid) AS row_key, max(ts_ms) AS ts_ms,
+  SELECT {key}, md5(any_value(uid)) AS row_key, max(ts_ms) AS ts_ms,
          string_agg(biz || ':' || n, ',' ORDER BY place) AS expose_biz_his,
          array_to_string(list(biz ORDER BY n, place)[1:2], ',') AS expose_least_biz_7d
-  FROM entries GROUP BY uid)"""
+  FROM entries GROUP BY {key})"""
 
 
 _LAST_QUEUE = _last("queues", "last_queue")
@@ -248,6 +248,11 @@ def build() -> dict[str, str]:
         "expose_gap_groups": _sql(_SHOWN, _queues(172800000), select="SELECT uid, CAST(max(run) + 1 AS BIGINT) AS groups FROM queues GROUP BY uid"),
         "expose_counts_trace": _sql(_SHOWN, _queues(), select=f"""SELECT event_id, {counts},
   CASE WHEN len(list_distinct(q)) < 5 THEN 1 ELSE 0 END AS padded FROM queues"""),
+        "biz_label_trace": _sql(scored, _TRACE, _scores("trace"), select=f"""SELECT event_id, md5(uid) AS row_key,
+  'biz_' || channel AS label, CASE channel WHEN 'click' THEN {_count_text('click')} ELSE {_count_text('search')} END AS counts,
+  {_SCORE_TEXT} AS biz_score FROM scored"""),
+        "expose_label_trace": _sql(_SHOWN, _queues(), _queue_texts(source="queues", key="event_id"),
+                                   select="SELECT event_id, row_key, expose_least_biz_7d, expose_biz_his FROM texts"),
         "expose_history_label": _sql(_SHOWN, _queues(), _LAST_QUEUE, _queue_texts(), select="SELECT row_key, expose_biz_his FROM texts"),
         "expose_least_label": _sql(_SHOWN, _queues(), _LAST_QUEUE, _queue_texts(), select="SELECT row_key, expose_least_biz_7d FROM texts"),
         "expose_labels_short_gap": _sql(_SHOWN, _queues(172800000), _LAST_QUEUE, _queue_texts(6),

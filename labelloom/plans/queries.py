@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom import dims
-from labelloom.functions.text import lookup, null_text, row_key, scores_text
+from labelloom.functions.text import counts_text, lookup, null_text, row_key, scores_text
 from labelloom.operators import classify, counters, exposure, interest, last_action
 from labelloom.plans import labels
 from labelloom.schemas import CLICK, EXPOSURE, LOGS, SEARCH
@@ -216,6 +216,19 @@ def biz_score_trace_uniform(spark, sf_dir):
     return scored.selectExpr("event_id", *[f"round({c}, 5) AS {c}" for c in interest.SCORES])
 
 
+def biz_label_trace(spark, sf_dir):
+    """What every click and search writes: the scores and its own channel's counts."""
+    raw = interest.with_raw_scores(interest.counts_trace(_scored(spark, sf_dir)))
+    scored = interest.with_scores(raw).selectExpr("*", *interest.own_channel_counts())
+    return scored.selectExpr(
+        "event_id",
+        f"{row_key()} AS row_key",
+        "concat('biz_', channel) AS label",
+        f"{counts_text(interest.ACTIONS)} AS counts",
+        f"{scores_text(interest.SCORES)} AS biz_score",
+    )
+
+
 def biz_score_latest(spark, sf_dir):
     return _rounded(labels.latest_scores(_scored(spark, sf_dir)), "row_key")
 
@@ -261,6 +274,18 @@ def expose_counts_trace(spark, sf_dir):
     return counts.selectExpr("event_id", *exposure.COUNTS, f"int({exposure.is_padded()}) AS padded")
 
 
+def expose_label_trace(spark, sf_dir):
+    """What every exposure writes."""
+    trace = exposure.queue_trace(_shown(spark, sf_dir))
+    counts = trace.selectExpr("event_id", "uid", *exposure.counts_of_array("queue"))
+    return counts.selectExpr(
+        "event_id",
+        f"{row_key()} AS row_key",
+        f"{exposure.least_text()} AS expose_least_biz_7d",
+        f"{exposure.history_text()} AS expose_biz_his",
+    )
+
+
 def expose_history_label(spark, sf_dir):
     texts = labels.exposure_texts(exposure.latest_counts(_shown(spark, sf_dir)))
     return texts.select("row_key", "expose_biz_his")
@@ -309,9 +334,9 @@ BATCH: dict[str, Query] = {
         number_search_filtered, exclusive_exposures, unmapped_exposures, user_row_key, number_click_counts,
         number_x_counts, number_search_counts, last_biz, co_keyed_channels, daily_biz_counts,
         biz_actions_trace, biz_raw_score_trace, biz_weighted_score_trace, biz_score_trace,
-        biz_score_trace_uniform, biz_score_latest, biz_click_label, biz_search_label, biz_score_label,
+        biz_score_trace_uniform, biz_label_trace, biz_score_latest, biz_click_label, biz_search_label, biz_score_label,
         expose_last12_trace, expose_last12_trace_short_gap, expose_gap_groups, expose_counts_trace,
-        expose_history_label, expose_least_label, expose_labels_short_gap, label_table_long, labels_as_of,
+        expose_label_trace, expose_history_label, expose_least_label, expose_labels_short_gap, label_table_long, labels_as_of,
         label_table_wide,
     )
 }
