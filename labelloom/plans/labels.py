@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelloom import dims
-from labelloom.functions.text import counts_text, quoted, row_key, scores_text
+from labelloom.functions.text import counts_text, quoted, quoted_list, row_key, scores_text
 from labelloom.operators import classify, counters, exposure, interest, last_action
 from labelloom.schemas import LABEL_COLUMNS
 
@@ -112,7 +112,19 @@ def visible(labels: DataFrame, as_of_ms: int) -> DataFrame:
     return labels.where(f"expire_ts IS NULL OR expire_ts > {as_of_ms}L")
 
 
-def wide(labels: DataFrame, names: Iterable[str] = tuple(dims.KNOWN_LABELS)) -> DataFrame:
-    """One row per user, one column per label, in one shuffle; the names are given, not looked up."""
-    columns = [F.expr(f"max(CASE WHEN label = {quoted(n)} THEN value END) AS {n}") for n in names]
-    return labels.groupBy("row_key").agg(*columns)
+def wide(labels: DataFrame, names: Iterable[str] = tuple(dims.KNOWN_LABELS), rest: str | None = None) -> DataFrame:
+    """One row per user, one column per label, in one shuffle; the names are given, not looked up.
+
+    Search labels carry the type as logged, so more labels than the known ones may exist: with
+    ``rest`` they come as one map column of that name.
+    """
+    names = list(names)
+    columns = [f"max(CASE WHEN label = {quoted(n)} THEN value END) AS {_identifier(n)}" for n in names]
+    if rest is not None:
+        others = f"CASE WHEN label NOT IN ({quoted_list(names)}) THEN struct(label, value) END"
+        columns.append(f"map_from_entries(collect_list({others})) AS {_identifier(rest)}")
+    return labels.groupBy("row_key").agg(*[F.expr(c) for c in columns])
+
+
+def _identifier(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

@@ -39,6 +39,8 @@ def last_biz_labels(clicks: DataFrame, searches: DataFrame, zone: str | None = N
 
 
 def _timed_actions(clicks: DataFrame, searches: DataFrame, lateness: str) -> DataFrame:
+    # One watermark per log; Spark goes by the slower one. A log that has gone silent holds the state
+    # of both back (spark.sql.streaming.multipleWatermarkPolicy decides).
     return labels.scored_actions(with_event_time(clicks, lateness), with_event_time(searches, lateness))
 
 
@@ -86,17 +88,21 @@ def exposure_labels(
     length: int = dims.QUEUE_LENGTH,
     gap_ms: int = dims.IDLE_GAP_MS,
     pad_below: int = dims.PAD_BELOW,
+    wall_clock: bool = False,
 ) -> DataFrame:
+    """Labels of the last exposures. ``wall_clock`` resets a queue when nothing arrives for ``gap_ms``,
+    whatever the timestamps say; then there is no watermark and no event is ever late. Such a query
+    keeps checking its clock: it runs until it is stopped, ``availableNow`` does not end it."""
     shown = classify.exclusive_exposures(exposures.drop("event_time"))
     trimmed = shown.select("uid", "biz", "ts_ms", "event_id").mapInPandas(
         queue_state.keep_newest(length), queue_state.TRIMMED
     )
-    queues = (
-        with_event_time(trimmed, lateness)
-        .groupBy("uid")
-        .transformWithState(
-            queue_state.LastExposures(length, gap_ms), queue_state.OUTPUT, outputMode="Update", timeMode="EventTime"
-        )
+    timed = trimmed if wall_clock else with_event_time(trimmed, lateness)
+    queues = timed.groupBy("uid").transformWithState(
+        queue_state.LastExposures(length, gap_ms, wall_clock),
+        queue_state.OUTPUT,
+        outputMode="Update",
+        timeMode="ProcessingTime" if wall_clock else "EventTime",
     )
     counts = queues.selectExpr("uid", "last_ts", *exposure.counts_of_array("queue"))
     return labels.exposure_cells(labels.exposure_texts(counts, pad_below))

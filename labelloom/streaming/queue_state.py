@@ -36,37 +36,41 @@ def keep_newest(length: int):
 class LastExposures(StatefulProcessor):
     """Keeps the newest ``length`` exposures of a user and emits the queue after every micro-batch.
 
-    Entries older than a pause stay in the state and are cut when the queue is emitted: a late
-    event may still close the pause, and the result is the one of the batch form for any order of
-    arrival. A user idle for ``gap_ms`` is forgotten by an event-time timer.
+    By event time, entries older than a pause stay in the state and are cut when the queue is
+    emitted: a late event may still close the pause, and the result is the one of the batch form
+    for any order of arrival. A user idle for ``gap_ms`` is forgotten by an event-time timer.
+
+    By the wall clock, the state itself expires when nothing arrives for ``gap_ms``; pauses inside
+    the data play no part.
     """
 
-    def __init__(self, length: int, gap_ms: int):
-        self._length, self._gap_ms = length, gap_ms
+    def __init__(self, length: int, gap_ms: int, wall_clock: bool = False):
+        self._length, self._gap_ms, self._wall_clock = length, gap_ms, wall_clock
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._entries = handle.getListState("entries", ENTRY)
+        ttl = self._gap_ms if self._wall_clock else None
+        self._entries = handle.getListState("entries", ENTRY, ttl)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         known = [tuple(e) for e in self._entries.get()]
         arrived = ((r["ts_ms"], r["event_id"], r["biz"]) for r in rows)
         newest = sorted(heapq.nlargest(self._length, chain(known, arrived)))
         self._entries.put(newest)
-
-        last_ts = newest[-1][0]
-        before = known[-1][0] if known else None
-        if before != last_ts:
-            if before is not None:
-                self._handle.deleteTimer(before + self._gap_ms)
-            self._handle.registerTimer(last_ts + self._gap_ms)
-
-        start = 0
-        for i in range(1, len(newest)):
-            if newest[i][0] - newest[i - 1][0] >= self._gap_ms:
-                start = i
+        last_ts, start = newest[-1][0], 0
+        if not self._wall_clock:
+            self._move_timer(known[-1][0] if known else None, last_ts)
+            pauses = (i for i in range(1, len(newest)) if newest[i][0] - newest[i - 1][0] >= self._gap_ms)
+            start = max(pauses, default=0)
         yield Row(uid=key[0], last_ts=last_ts, queue=[e[2] for e in newest[start:]])
 
+    def _move_timer(self, before: int | None, last_ts: int) -> None:
+        if before == last_ts:
+            return
+        if before is not None:
+            self._handle.deleteTimer(before + self._gap_ms)
+        self._handle.registerTimer(last_ts + self._gap_ms)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self._entries.clear()
         return iter(())

@@ -18,8 +18,13 @@ from labelloom.schemas import LABELS
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's checkpoint folder; a local one only where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="labelloom-")
+    """A fresh folder below the cluster's checkpoint folder. A machine-local one is used only where
+    none is set and everything runs on one machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        base = tempfile.mkdtemp(prefix="labelloom-")
     return f"{base}/labelloom-{uuid.uuid4().hex}"
 
 

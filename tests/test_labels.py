@@ -46,3 +46,15 @@ def test_wide(spark):
     assert got["l"]["biz_click"] is None
     assert labels.wide(rows).columns == ["row_key", *dims.KNOWN_LABELS]
     assert len(dims.KNOWN_LABELS) == len(set(dims.KNOWN_LABELS)) == 9 * 3 + 6
+
+
+def test_wide_with_unknown_labels(spark):
+    rows = spark.createDataFrame(
+        [("k", "lucky_x", "1", T0, None), ("k", "it's a `type`_searchs", "2", T0, None), ("l", "lucky_x", "3", T0, None)],
+        LABELS,
+    )
+    got = {r["row_key"]: r.asDict() for r in labels.wide(rows, ["lucky_x"], rest="others").collect()}
+    assert got["k"] == {"row_key": "k", "lucky_x": "1", "others": {"it's a `type`_searchs": "2"}}
+    assert got["l"]["others"] == {}
+    named = labels.wide(rows, ["it's a `type`_searchs"]).where("row_key = 'k'").first()
+    assert named[1] == "2"

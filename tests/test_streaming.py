@@ -1,4 +1,6 @@
 import random
+import time
+from pathlib import Path
 
 import pytest
 from model import DAY, SIX, exposure_texts, queues
@@ -143,6 +145,38 @@ def test_idle_users_leave_the_state(spark, tmp_path):
     assert {r["key"]["uid"] for r in state.select("key").collect()} == {"busy"}
 
 
+def test_wall_clock_reset(spark, tmp_path):
+    """The state expires by the clock; the pause in the timestamps does not matter."""
+    schema = "uid string, biz_type string, storey string, ts_ms bigint, event_id bigint"
+    folder, table = str(tmp_path / "in"), label_table(spark, work_folder(spark))
+
+    def arrive(*rows):
+        spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(folder)
+
+    arrive(exposure_row("u", "family", T0, 0), exposure_row("u", "number", T0 + 30 * DAY, 1))
+    source = spark.readStream.schema(schema).parquet(folder)
+    cells = jobs.exposure_labels(source, gap_ms=6_000, wall_clock=True)
+    query = jobs.run(cells, table, "exposure", processingTime="1 second")
+    try:
+        def await_history(matches):
+            # Such a query always has work to do, so there is no "all processed" to wait for.
+            deadline, value = time.time() + 60, None
+            while time.time() < deadline and not (value and matches(value)):
+                time.sleep(1)
+                if list(Path(table.path).glob("changes/*/*/*.parquet")):
+                    value = table.current().where("label = 'expose_biz_his'").first()["value"]
+            return value
+
+        first = await_history(lambda v: True)
+        assert first.startswith("number:1,") and first.endswith("family:1")
+        time.sleep(8)
+        arrive(exposure_row("u", "package", T0 + 30 * DAY + 1, 2))
+        reset = "number:0,xiaomi:0,package:1,broadband:0,terminal:0,family:0"
+        assert await_history(lambda v: v == reset) == reset
+    finally:
+        query.stop()
+
+
 def test_closed_days_leave_the_state(spark, tmp_path):
     schema = "uid string, biz_type string, pb_name string, num_type string, ts_ms bigint, event_id bigint"
     empty = "search_mob string, biz_type string, number_type string, ts_ms bigint, event_id bigint"
@@ -198,3 +232,12 @@ def test_sink_errors_fail_the_query(spark, events_in_files):
 
 def test_work_folder_uses_the_shared_checkpoint_folder(spark):
     assert work_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir") + "/labelloom-")
+
+
+def test_work_folder_is_never_local_on_a_cluster():
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default=None: {"spark.master": "yarn"}.get(key, default))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_folder(Cluster)
