@@ -93,31 +93,28 @@ def counts_trace(
 
 
 _TRACE_KEYS = ["uid", "channel", "ts_ms", "event_id"]
+# Everything up to two days ago has dropped out of the two-day counts.
+_TOO_OLD = "PARTITION BY uid ORDER BY day RANGE BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING"
 
 
 def _trace_by_user(rows: DataFrame) -> DataFrame:
     # Both windows are keyed by the user and ordered by day first: one shuffle, one sort.
     so_far = "PARTITION BY uid ORDER BY day, ts_ms, event_id ROWS UNBOUNDED PRECEDING"
-    too_old = "PARTITION BY uid ORDER BY day RANGE BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING"
     running = rows.selectExpr(*_TRACE_KEYS, "day", *[f"sum({h}) OVER ({so_far}) AS {c}" for c, h in HITS.items()])
     # Running counts only grow, so the highest one up to two days ago is what has dropped out.
-    return running.selectExpr(*_TRACE_KEYS, *[f"{c} - coalesce(max({c}) OVER ({too_old}), 0) AS {c}" for c in COUNTS])
+    return running.selectExpr(*_TRACE_KEYS, *[f"{c} - coalesce(max({c}) OVER ({_TOO_OLD}), 0) AS {c}" for c in COUNTS])
 
 
 def _trace_by_slice(rows: DataFrame) -> DataFrame:
     keys = ["uid", "day", "slice"]
     totals = rows.groupBy(*keys).agg(*aggregates(HIT_SUMS))
-    yesterday = (
-        totals.groupBy("uid", "day")
-        .agg(*aggregates([f"sum({c}) AS {c}_yesterday" for c in COUNTS]))
-        .withColumn("day", F.col("day") + 1)
-    )
-    earlier = "PARTITION BY uid, day ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-    before = totals.selectExpr(*keys, *[f"coalesce(sum({c}) OVER ({earlier}), 0) AS {c}_earlier" for c in COUNTS])
-    # One small row per slice; the events keep the partitioning of their window for this join.
-    carried = before.join(yesterday, ["uid", "day"], "left").selectExpr(
-        *keys, *[f"{c}_earlier + coalesce({c}_yesterday, 0) AS {c}_before" for c in COUNTS]
+    # The same two windows as above, over one row per slice: what the slice starts from.
+    so_far = "PARTITION BY uid ORDER BY day, slice ROWS UNBOUNDED PRECEDING"
+    summed = totals.selectExpr("*", *[f"sum({c}) OVER ({so_far}) AS {c}_sum" for c in COUNTS])
+    carried = summed.selectExpr(
+        *keys, *[f"{c}_sum - {c} - coalesce(max({c}_sum) OVER ({_TOO_OLD}), 0) AS {c}_before" for c in COUNTS]
     )
+    # The events keep the partitioning of their window for the join below.
     within = "PARTITION BY uid, day, slice ORDER BY ts_ms, event_id ROWS UNBOUNDED PRECEDING"
     running = rows.selectExpr(
         *_TRACE_KEYS, "day", "slice", *[f"sum({h}) OVER ({within}) AS {c}" for c, h in HITS.items()]

@@ -86,3 +86,13 @@ def test_exposure_filters_reach_the_scan(spark, tmp_path):
     text = plan(labels.exposure_labels(spark.read.parquet(str(tmp_path / "exposures"))))
     pushed = text[text.index("PushedFilters"):].splitlines()[0]
     assert "EqualTo(storey,首页-专享)" in pushed and "In(biz_type" in pushed
+
+
+def test_sliced_trace_shuffles_the_events_once(spark, sf_dir):
+    """Next to the events only slice totals move, and they are scanned and added up once."""
+    from labelloom.operators import interest
+
+    heavy = plan(interest.counts_trace(queries._scored(spark, sf_dir), rows_per_task=7))
+    sliced_part = heavy[heavy.index("SortMergeJoin [uid"):]
+    assert sliced_part.count("Exchange hashpartitioning(uid#") == 4
+    assert sliced_part.count("partial_sum") >= 1 and sliced_part.count("SortMergeJoin") == 1
