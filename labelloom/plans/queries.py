@@ -10,10 +10,11 @@ from labelloom.functions.text import counts_text, lookup, null_text, row_key, sc
 from labelloom.operators import classify, counters, exposure, interest, last_action
 from labelloom.plans import labels
 from labelloom.schemas import CLICK, EXPOSURE, LOGS, SEARCH
+from labelloom.shared import work_folder
 from labelloom.sources import events_table as ev
 from labelloom.sources.parse import parse, read_log, rejects, with_event_time
 from labelloom.streaming import jobs
-from labelloom.streaming.store import ChangeTable, label_table, work_folder
+from labelloom.streaming.store import ChangeTable, label_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 ZONE = "UTC"

@@ -6,9 +6,6 @@ highest ``order`` columns, then the highest batch.
 ``compact`` folds old changes into a snapshot. Everything lives in a shared folder as parquet.
 """
 
-import tempfile
-import uuid
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,17 +14,6 @@ from pyspark.sql import types as T
 from labelloom.schemas import LABELS
 
 
-def work_folder(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's checkpoint folder. A machine-local one is used only where
-    none is set and everything runs on one machine."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="labelloom-")
-    return f"{base}/labelloom-{uuid.uuid4().hex}"
-
-
 class ChangeTable:
     def __init__(
         self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], order: tuple[str, ...] = ()

@@ -13,7 +13,8 @@ from labelloom.sources import events_table as ev
 from labelloom.sources.logs import file_stream
 from labelloom.sources.parse import read_log
 from labelloom.streaming import jobs
-from labelloom.streaming.store import label_table, work_folder
+from labelloom.shared import work_folder
+from labelloom.streaming.store import label_table
 
 T0 = 1_700_000_000_000
 CELLS = ["row_key", "label", "value", "write_ts", "expire_ts"]
