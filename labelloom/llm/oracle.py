@@ -93,7 +93,31 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.d
 FROM documents d JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
+_CONTROL = r"[<\[](/?s>|/?INST\]|\|(part\||(image|audio|document):))"
+# Length of a text once escaped: every backslash and every control string takes one character more.
+_ESCAPED = f"""2 * length(text) - length(replace(text, chr(92), ''))
+           + len(regexp_extract_all(text, '{_CONTROL}'))"""
+
+CHAT = f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+said AS (
+    SELECT conv_id, count(*) AS n_turns,
+           string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS whole,
+           coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '') AS learned,
+           sum(length(role) + 1 + CASE WHEN role = 'assistant' THEN 7 ELSE 13 END + {_ESCAPED}) AS formatted_chars
+    FROM turns GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, CAST(length(learned) AS BIGINT) AS loss_chars,
+       sha256(learned) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM said
+"""
+
 SQL = {
+    "op5_chat": CHAT,
     "op1_quality_rules": QUALITY,
     "op2_decontaminate": DECONTAMINATE,
     "op10_near_dups": NEAR_DUPS,
