@@ -5,12 +5,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.llm import chat, decontaminate, lang_id, near_dups, packing, pseudonyms, quality_model, quality_rules
+from labelloom.llm import (
+    chat, decontaminate, lang_id, near_dups, packing, pseudonyms, quality_model, quality_rules, token_counts, warc,
+)
+from labelloom.shared import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 POLICY = "v2"
 # A real run takes its key from the caller's secrets; this one only makes the query repeatable.
 KEY = "op3"
+TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +75,18 @@ def op5_chat(spark, sf_dir):
     )
 
 
+def op6_warc(spark, sf_dir):
+    folder = work_folder(spark)
+    warc.write(_table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact"
+    )
+
+
+def op7_token_counts(spark, sf_dir):
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), token_counts.load(TOKENIZER))
+
+
 def op8_packing(spark, sf_dir):
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -90,7 +106,7 @@ def op10_near_dups(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
-        op1_quality_rules, op2_decontaminate, op3_pseudonyms, op4_quality_model, op5_chat, op8_packing, op9_lang_id,
-        op10_near_dups,
+        op1_quality_rules, op2_decontaminate, op3_pseudonyms, op4_quality_model, op5_chat, op6_warc,
+        op7_token_counts, op8_packing, op9_lang_id, op10_near_dups,
     )
 }
