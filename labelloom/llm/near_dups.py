@@ -7,13 +7,15 @@
 2. Documents with equal sets collapse into a class, represented by its smallest id. Nothing below
    handles a class more than once, however many copies it has.
 3. Classes that share a band hash are candidates. A bucket is first compared with two of its members
-   only, the smallest and one drawn by hash. What these links join needs no further comparison;
-   pairs of a bucket that are still in different components are then compared outright, so no link
-   that could join two components is left out.
-4. A candidate pair must pass the sketch and then the exact test on both full sets.
-5. Components of the confirmed links name the groups.
-
-Two sets at the threshold of 0.8 share no band with probability (1 - 0.8^5)^45 < 2e-8, and fail the
+   only, the smallest and the largest; what these links join needs no further comparison.
+4. Members of buckets that are still in several components are compared further, but not all with
+   all: many versions of one page, each too far from the others, would make pairs without end. Two sets
+   as similar as the threshold must share one of their rarest shingles (prefix filter with positions,
+   Xiao et al., 2008), so an equi-join on those finds every pair that is left to test.
+5. A candidate pair must pass the sketch and then the exact test on both full sets.
+6. Components of the confirmed links name the groups.
+
+Two sets at the threshold of 0.8 share no band with probability (1 - 0.8^5)^40 < 2e-7, and fail the
 sketch, set at six standard deviations, with less. Shingles are compared by 64-bit hashes.
 """
 
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelloom.llm.components import components
@@ -31,7 +33,7 @@ from labelloom.shared import cut
 WIDTH = 4
 # Link documents with 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 80
-BANDS, ROWS = 45, 5
+BANDS, ROWS = 40, 5
 SKETCH_BITS = 512
 _WORDS = SKETCH_BITS // 64
 _SAMPLES = BANDS * ROWS
@@ -155,6 +157,38 @@ def _confirmed(pairs: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFr
     return shared.where(f"100 * shared >= {THRESHOLD} * (total - shared)").select("a", "b").distinct()
 
 
+def _rare_shingle_pairs(open_members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of different components that share a shingle among their rarest ones, from
+    ``rep, component``. No pair of the threshold's similarity is missing.
+
+    Shingles are ordered by how many sets hold them. Where two sets overlap as the threshold demands,
+    the larger's first n - ceil(t n) + 1 shingles and the smaller's first n - ceil(2t / (1 + t) n) + 1
+    have one in common, and behind the first common one there is room enough for the overlap. A
+    shingle of one set alone can match nothing: those only count as places.
+    """
+    t = THRESHOLD
+    spread = open_members.join(sets, "rep").selectExpr("rep", "component", "size(shingles) AS n", "explode(shingles) AS shingle")
+    held = spread.groupBy("shingle").agg(F.count("*").alias("held")).where("held > 1")
+    by_rarity = Window.partitionBy("rep").orderBy("held", "shingle")
+    placed = (
+        spread.join(held, "shingle")
+        .withColumn("place", F.row_number().over(by_rarity))
+        .withColumn("place", F.expr("n - count(*) OVER (PARTITION BY rep) + place"))
+        .where(f"place <= n - ({t} * n + 99) div 100 + 1")
+        .select("shingle", "rep", "component", "n", "place")
+    )
+    placed = cut(placed)
+    fewer = placed.where(f"place <= n - ({2 * t} * n + {99 + t}) div {100 + t} + 1").select(
+        "shingle", *[F.col(c).alias(f"{c}_b") for c in ("rep", "component", "n", "place")]
+    )
+    room = "1 + least(n - place, n_b - place_b)"
+    met = placed.join(fewer, "shingle").where(
+        f"component != component_b AND (n_b < n OR (n_b = n AND rep_b < rep)) AND 100 * n_b >= {t} * n"
+        f" AND {100 + t} * ({room}) >= {t} * (n + n_b)"
+    )
+    return met.selectExpr("rep AS a", "rep_b AS b").distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
 
@@ -168,26 +202,24 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     linkable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").selectExpr(
         "doc_id", "n_shingles AS n", "fp[0] AS fp0", "fp[1] AS fp1", "sketch", "bands"
     )
-    classes = linkable.groupBy("fp0", "fp1").agg(F.min("doc_id").alias("rep"))
-    firsts = classes.join(linkable, ["fp0", "fp1"]).where("doc_id = rep").dropDuplicates(["rep", "fp0", "fp1"])
+    classes = cut(linkable.groupBy("fp0", "fp1").agg(F.min("doc_id").alias("rep")))
+    # A document's own class is the one it represents, if any.
+    firsts = linkable.withColumnRenamed("doc_id", "rep").join(classes, ["rep", "fp0", "fp1"])
     banded = firsts.select("rep", F.explode("bands").alias("band"))
-    drawn = F.min_by("rep", F.xxhash64("rep", "band"))
-    buckets = banded.groupBy("band").agg(
-        F.min("rep").alias("first"), F.max("rep").alias("last"), drawn.alias("drawn")
-    ).where("first < last")
-    members = cut(banded.join(buckets.drop("last"), "band"))
+    buckets = banded.groupBy("band").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first < last")
+    members = cut(banded.join(buckets, "band"))
     involved = members.select("rep").distinct()
-    sketches = cut(firsts.join(involved, "rep", "left_semi").select("rep", "n", "sketch"))
+    sketches = cut(firsts.join(involved, "rep", "left_semi").select("rep", "n", "sketch").distinct())
     sets = cut(
         only(docs, "doc_id", "text").join(involved.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
+        .dropDuplicates(["doc_id", "text"])
         .mapInArrow(_full_sets(width), "doc_id bigint, shingles array<bigint>")
         .withColumnRenamed("doc_id", "rep")
     )
 
-    pivots = members.select("rep", F.explode(F.array("first", "drawn")).alias("pivot")).where("rep != pivot")
+    pivots = members.select("rep", F.explode(F.array("first", "last")).alias("pivot")).where("rep != pivot")
     near_pivots = pivots.select(F.greatest("rep", "pivot").alias("a"), F.least("rep", "pivot").alias("b")).distinct()
-    links = cut(_confirmed(near_pivots, sketches, sets))
-    joined = components(links)
+    joined = components(_confirmed(near_pivots, sketches, sets))
 
     placed = members.select("band", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").selectExpr(
         "band", "rep", "coalesce(component, rep) AS component"
@@ -195,14 +227,8 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     open_buckets = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
         "low < high"
     )
-    rest = cut(placed.join(open_buckets.select("band"), "band", "left_semi"))
-    other = rest.select("band", F.col("rep").alias("b"), F.col("component").alias("component_b"))
-    across = (
-        rest.withColumnRenamed("rep", "a").join(other, "band").where("a > b AND component != component_b")
-        .select("a", "b").distinct()
-    )
-    untested = across.join(near_pivots, ["a", "b"], "left_anti")
-    found = _confirmed(untested, sketches, sets)
+    rest = placed.join(open_buckets.select("band"), "band", "left_semi").select("rep", "component").distinct()
+    found = _confirmed(_rare_shingle_pairs(rest, sets), sketches, sets)
     joined = components(
         joined.selectExpr("node AS a", "component AS b").unionByName(found)
     ).withColumnRenamed("node", "rep")
