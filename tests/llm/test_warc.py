@@ -1,0 +1,84 @@
+import base64
+import hashlib
+import os
+
+import pytest
+
+from labelloom.llm import warc as w
+from labelloom.shared import work_folder
+
+
+@pytest.fixture
+def pages_of(spark):
+    return lambda rows: spark.createDataFrame(
+        [(*r, "clash", 7) for r in rows], "page_id bigint, url string, html string, sha1 string, shard int"
+    )
+
+
+ROWS = [
+    (1, "u", "a"), (1, "u", "a"), (2, "v\r\nWARC-Type: x%0A", "a"), (None, None, "a"), (5, "w", None), (6, "w", ""), (7, "z", "b" * 100),
+    (8, "é", "ü\r\n\r\nWARC/1.1\r\n"), (9, None, "x" * 300_000),
+]
+
+
+def written(spark, frame, **options):
+    folder = work_folder(spark)
+    w.write(frame, folder, **options)
+    return folder
+
+
+def files(folder):
+    return {n: open(f"{folder}/archives/{n}", "rb").read() for n in sorted(os.listdir(f"{folder}/archives")) if not n.startswith(".")}
+
+
+def test_round_trip_with_revisits(spark, pages_of):
+    rows = w.read(spark, written(spark, pages_of(ROWS), shard_bytes=100, file_bytes=400)).collect()
+    assert len(rows) == len(ROWS) and all(r.intact for r in rows)
+    got = sorted(((r.page_id or 0, r.url or "", r.record_type, r.refers_to) for r in rows), key=str)
+    assert got == sorted([
+        (1, "u", "response", None), (1, "u", "revisit", 1), (2, ROWS[2][1], "revisit", 1), (0, "", "revisit", 1),
+        (5, "w", "response", None), (6, "w", "revisit", 5), (7, "z", "response", None), (8, "é", "response", None), (9, "", "response", None),
+    ], key=str)
+    for r in rows:
+        if r.page_id in (2, 5, 8, 9):
+            payload = (next(h for i, _, h in ROWS if i == r.page_id) or "").encode()
+            assert r.payload_bytes == len(payload)
+            assert r.payload_digest == base64.b32encode(hashlib.sha1(payload).digest()).decode()
+            assert r.payload == (payload if r.record_type == "response" else None)
+
+
+def test_files_depend_on_the_pages_alone(spark, pages_of):
+    one, two = (files(written(spark, pages_of(rows).repartition(n), shard_bytes=60, file_bytes=300)) for rows, n in ((ROWS, 1), (ROWS[::-1], 5)))
+    assert one == two and len(one) > 4
+
+
+def test_small_payloads_are_never_revisits(spark, pages_of):
+    rows = w.read(spark, written(spark, pages_of(ROWS), min_revisit_bytes=1)).collect()
+    assert {r.record_type for r in rows if r.payload_bytes < 1} == {"response"}
+    assert sum(r.record_type == "revisit" for r in rows) == 3
+
+
+def test_what_lost_attempts_leave_is_not_read(spark, pages_of):
+    folder = written(spark, pages_of(ROWS))
+    with open(f"{folder}/archives/000000-99999.warc.gz", "wb") as stray:
+        stray.write(b"half a file")
+    assert w.read(spark, folder).count() == len(ROWS)
+    assert not os.path.exists(f"{folder}/temporary")
+    # Renaming again changes nothing.
+    listed = spark.read.parquet(f"{folder}/manifest")
+    assert listed.mapInArrow(w._renamed(folder), w._MANIFEST).count() == listed.count()
+
+
+def test_all_ids_null_and_empty_table(spark, pages_of):
+    rows = w.read(spark, written(spark, pages_of([(None, "a", "x"), (None, "b", "x")]))).collect()
+    assert sorted(r.record_type for r in rows) == ["response", "revisit"] and all(r.refers_to is None for r in rows)
+    assert w.read(spark, written(spark, pages_of([]))).count() == 0
+
+
+def test_cut_archive_is_an_error():
+    import io
+
+    data = w.record(w.Page(1, "u", b"abc", False, None, 0))
+    assert [w.parsed(m)[0] for m in w.members(io.BytesIO(data + data))] == [1, 1]
+    with pytest.raises(EOFError):
+        list(w.members(io.BytesIO(data[:-3])))
