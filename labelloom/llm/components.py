@@ -37,11 +37,11 @@ def components(links: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``links`` (``a, b``), the component being its smallest
     node. Loops, repeated links and either direction are fine; a link with a null end is none."""
     links = cut(
-        links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), waves=1
     )
     before = _fingerprint(links)
     while before[0]:
-        links = cut(_small_star(_large_star(links)))
+        links = cut(_small_star(_large_star(links)), waves=1)
         now = _fingerprint(links)
         if now == before:
             break

@@ -177,7 +177,7 @@ def _rare_shingle_pairs(open_members: DataFrame, sets: DataFrame) -> DataFrame:
         .where(f"place <= n - ({t} * n + 99) div 100 + 1")
         .select("shingle", "rep", "component", "n", "place")
     )
-    placed = cut(placed)
+    placed = cut(placed, waves=2)
     fewer = placed.where(f"place <= n - ({2 * t} * n + {99 + t}) div {100 + t} + 1").select(
         "shingle", *[F.col(c).alias(f"{c}_b") for c in ("rep", "component", "n", "place")]
     )
@@ -202,19 +202,20 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     linkable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").selectExpr(
         "doc_id", "n_shingles AS n", "fp[0] AS fp0", "fp[1] AS fp1", "sketch", "bands"
     )
-    classes = cut(linkable.groupBy("fp0", "fp1").agg(F.min("doc_id").alias("rep")))
+    classes = linkable.groupBy("fp0", "fp1").agg(F.min("doc_id").alias("rep"))
     # A document's own class is the one it represents, if any.
     firsts = linkable.withColumnRenamed("doc_id", "rep").join(classes, ["rep", "fp0", "fp1"])
     banded = firsts.select("rep", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first < last")
-    members = cut(banded.join(buckets, "band"))
+    members = cut(banded.join(buckets, "band"), waves=2)
     involved = members.select("rep").distinct()
-    sketches = cut(firsts.join(involved, "rep", "left_semi").select("rep", "n", "sketch").distinct())
+    sketches = cut(firsts.join(involved, "rep", "left_semi").select("rep", "n", "sketch").distinct(), waves=2)
     sets = cut(
         only(docs, "doc_id", "text").join(involved.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
         .dropDuplicates(["doc_id", "text"])
         .mapInArrow(_full_sets(width), "doc_id bigint, shingles array<bigint>")
-        .withColumnRenamed("doc_id", "rep")
+        .withColumnRenamed("doc_id", "rep"),
+        waves=2,
     )
 
     pivots = members.select("rep", F.explode(F.array("first", "last")).alias("pivot")).where("rep != pivot")
