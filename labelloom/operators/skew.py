@@ -8,13 +8,10 @@ slice needs from the slices before it is small and is computed by a mergeable ag
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labelloom.shared import cut
+
 # Rows of one user that a single task may hold.
 ROWS_PER_TASK = 2_000_000
-# How many users can be cut at once. Any other user has less than 0.1 % of all rows and is handled
-# whole: slower at worst, same result.
-MAX_HEAVY_USERS = 1_000
-# Rows of a user at the limit that the probe expects to see; enough to tell heavy from light.
-_PROBED_ROWS = 10_000
 # Slices are equal in time, not in rows; cutting finer leaves room for busy hours.
 _SLICE_FACTOR = 8
 
@@ -22,39 +19,24 @@ _SLICE_FACTOR = 8
 def heavy_users(events: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
     """``uid, first_ts, slice_ms`` of the users to be cut, or None when there are none.
 
-    A thin probe of the user column names candidates, so looking for heavy users costs a narrow
-    scan and hardly any shuffle. It decides nothing about results: the candidates are then counted
-    exactly, and a user the probe missed would only be slower. At most MAX_HEAVY_USERS rows come to
-    the driver, so the frame is safe to broadcast; it is built from those values and therefore the
-    same wherever the plan uses it.
+    Users are counted exactly, in an aggregate over the narrow user column that combines before the
+    shuffle. However many are heavy, they stay a frame: none come to the driver.
     """
-    share = min(1.0, _PROBED_ROWS / rows_per_task)
-    probed = events.select("uid").sample(share, seed=1).groupBy("uid").agg(F.count("*").alias("n"))
-    likely = probed.where(F.col("n") > 0.8 * share * rows_per_task).orderBy(F.desc("n")).limit(MAX_HEAVY_USERS)
-    candidates = [r["uid"] for r in likely.collect()]
-    if not candidates:
-        return None
-    sizes = (
-        events.where(F.col("uid").isin(candidates))
-        .groupBy("uid")
-        .agg(F.count("*").alias("n"), F.min("ts_ms").alias("first_ts"), F.max("ts_ms").alias("last_ts"))
-        .where(F.col("n") > rows_per_task)
-        .collect()
+    sizes = events.groupBy("uid").agg(
+        F.count("*").alias("n"), F.min("ts_ms").alias("first_ts"), F.max("ts_ms").alias("last_ts")
     )
-    rows = []
-    for s in sizes:
-        slices = -(-s["n"] // rows_per_task) * _SLICE_FACTOR
-        rows.append((s["uid"], s["first_ts"], max(1, -(-(s["last_ts"] - s["first_ts"] + 1) // slices))))
-    if not rows:
-        return None
-    return events.sparkSession.createDataFrame(rows, "uid string, first_ts bigint, slice_ms bigint")
+    slices = f"((n + {rows_per_task - 1}) div {rows_per_task}) * {_SLICE_FACTOR}"
+    width = f"greatest(1L, (last_ts - first_ts + {slices}) div ({slices}))"
+    heavy = cut(sizes.where(F.col("n") > rows_per_task).selectExpr("uid", "first_ts", f"{width} AS slice_ms"), waves=1)
+    return None if heavy.isEmpty() else heavy
 
 
 def without(events: DataFrame, heavy: DataFrame) -> DataFrame:
-    return events.join(F.broadcast(heavy.select("uid")), "uid", "left_anti")
+    return events.join(heavy.select("uid"), "uid", "left_anti")
 
 
 def sliced(events: DataFrame, heavy: DataFrame) -> DataFrame:
-    """Rows of the heavy users with their ``slice``; slices follow time order."""
-    cut = "(ts_ms - first_ts) div slice_ms AS slice"
-    return events.join(F.broadcast(heavy), "uid").selectExpr("*", cut).drop("first_ts", "slice_ms")
+    """Rows of the heavy users with their ``slice``; slices follow time order. Spark broadcasts the
+    heavy users when it finds them few, and splits their partitions otherwise."""
+    place = "(ts_ms - first_ts) div slice_ms AS slice"
+    return events.join(heavy, "uid").selectExpr("*", place).drop("first_ts", "slice_ms")

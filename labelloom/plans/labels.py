@@ -112,17 +112,17 @@ def visible(labels: DataFrame, as_of_ms: int) -> DataFrame:
     return labels.where(f"expire_ts IS NULL OR expire_ts > {as_of_ms}L")
 
 
-def wide(labels: DataFrame, names: Iterable[str] = tuple(dims.KNOWN_LABELS), rest: str | None = None) -> DataFrame:
+def wide(labels: DataFrame, names: Iterable[str] = tuple(dims.KNOWN_LABELS), rest: str | None = "other_labels") -> DataFrame:
     """One row per user, one column per label, in one shuffle; the names are given, not looked up.
 
-    Search labels carry the type as logged, so more labels than the known ones may exist: with
-    ``rest`` they come as one map column of that name.
+    Search labels carry the type as logged, so more labels than the known ones may exist: they come as
+    one map column named ``rest``, or are left out when that is None.
     """
     names = list(names)
     columns = [f"max(CASE WHEN label = {quoted(n)} THEN value END) AS {_identifier(n)}" for n in names]
     if rest is not None:
         others = f"CASE WHEN label NOT IN ({quoted_list(names)}) THEN struct(label, value) END"
-        columns.append(f"map_from_entries(collect_list({others})) AS {_identifier(rest)}")
+        columns.append(f"map_from_entries(array_sort(collect_list({others}))) AS {_identifier(rest)}")
     return labels.groupBy("row_key").agg(*[F.expr(c) for c in columns])
 
 

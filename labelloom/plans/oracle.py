@@ -266,9 +266,14 @@ def build() -> dict[str, str]:
   WHERE label IN ('biz_score', 'biz_click', 'biz_search')"""),
         "stream_exposure": _sql(_SHOWN, _queues(), _LAST_QUEUE, _queue_texts(),
                                 select="SELECT row_key, expose_least_biz_7d, expose_biz_his FROM texts"),
+        "stream_biz_score_late": _sql(*_all_labels(), select="""SELECT * FROM label_rows
+  WHERE label IN ('biz_score', 'biz_click', 'biz_search')"""),
+        "stream_exposure_late": _sql(_SHOWN, _queues(), _LAST_QUEUE, _queue_texts(),
+                                     select="SELECT row_key, expose_least_biz_7d, expose_biz_his FROM texts"),
         "label_table_long": _sql(*_all_labels(), select="SELECT * FROM label_rows"),
         "labels_as_of": _sql(*_all_labels(), select="""SELECT * FROM label_rows
   WHERE expire_ts = -1 OR expire_ts > (SELECT max(ts_ms) FROM ev)"""),
         "label_table_wide": _sql(*_all_labels(), select="SELECT row_key, " + ", ".join(
-            f"max(value) FILTER (label = '{n}') AS \"{n}\"" for n in KNOWN_LABELS) + " FROM label_rows GROUP BY row_key"),
+            f"max(value) FILTER (label = '{n}') AS \"{n}\"" for n in KNOWN_LABELS) + f""", '{{' || coalesce(string_agg('"' || label || '":"' || value || '"', ',' ORDER BY label)
+  FILTER (label NOT IN ({', '.join(f"'{n}'" for n in KNOWN_LABELS)})), '') || '}}' AS other_labels FROM label_rows GROUP BY row_key"""),
     }

@@ -12,6 +12,8 @@ from labelloom.plans import labels
 from labelloom.schemas import CLICK, EXPOSURE, LOGS, SEARCH
 from labelloom.shared import work_folder
 from labelloom.sources import events_table as ev
+from labelloom.sources.ingest import ingest, read_ingested
+from labelloom.sources.logs import file_backfill
 from labelloom.sources.parse import parse, read_log, rejects, with_event_time
 from labelloom.streaming import jobs
 from labelloom.streaming.store import ChangeTable, label_table
@@ -71,7 +73,13 @@ def parse_exposure_log(spark, sf_dir):
 
 
 def backfill_logs(spark, sf_dir):
-    parts = [_log(spark, sf_dir, log).select(F.lit(log.name).alias("log")) for log in LOGS]
+    """The logs as files of lines, read, ingested (twice, as after a failed job) and counted."""
+    folder, parts = work_folder(spark), []
+    for log in LOGS:
+        ev.as_json(_log(spark, sf_dir, log), log).select("value").write.text(f"{folder}/lines/{log.name}")
+        for _ in range(2):
+            ingest(file_backfill(spark, f"{folder}/lines/{log.name}"), log, f"{folder}/typed")
+        parts.append(read_ingested(spark, log, f"{folder}/typed").select(F.lit(log.name).alias("log")))
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("log").agg(F.count("*").alias("rows"))
 
 
@@ -82,9 +90,12 @@ def parse_rejects(spark, sf_dir):
 
 
 def lenient_ts_cast(spark, sf_dir):
+    """A third of the lines each: a plain number, a quoted one, a floating-point one."""
     quoted = F.to_json(F.struct("uid", F.col("ts_ms").cast("string").alias("ts")))
     plain = F.to_json(F.struct("uid", F.col("ts_ms").alias("ts")))
-    lines = _clicks(spark, sf_dir).select(_broken_every(2, plain, quoted).alias("value"), "event_id")
+    floating = F.to_json(F.struct("uid", F.col("ts_ms").cast("double").alias("ts")))
+    line = F.when(F.col("event_id") % 3 == 0, floating).otherwise(_broken_every(2, plain, quoted))
+    lines = _clicks(spark, sf_dir).select(line.alias("value"), "event_id")
     return read_log(lines, CLICK).select("event_id", "ts_ms")
 
 
@@ -324,7 +335,8 @@ def labels_as_of(spark, sf_dir):
 
 
 def label_table_wide(spark, sf_dir):
-    return labels.wide(_all_labels(spark, sf_dir))
+    rows = labels.wide(_all_labels(spark, sf_dir))
+    return rows.withColumn("other_labels", F.to_json("other_labels"))
 
 
 BATCH: dict[str, Query] = {
@@ -383,13 +395,43 @@ def stream_biz_score(spark, sf_dir):
     return _never_as_minus_one(_to_end(jobs.score_labels(clicks, searches), table, "biz_score"))
 
 
+def _arriving_late(spark: SparkSession, sf_dir: str) -> str:
+    """The events in four parts in the order of arrival: every fifth event comes two days late. One
+    micro-batch reads one part."""
+    folder = work_folder(spark)
+    arrival = F.unix_millis("ts") + F.when(F.col("event_id") % 5 == 0, 2 * dims.DAY_MS).otherwise(0)
+    events = ev.read_events(spark, sf_dir).withColumn("arrival", arrival)
+    first, last = events.agg(F.min("arrival"), F.max("arrival")).first()
+    for part in range(4):
+        rows = events.where(F.expr(f"(arrival - {first}L) * 4 div {last - first + 1}L = {part}")).drop("arrival")
+        rows.coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+    return folder
+
+
+def stream_biz_score_late(spark, sf_dir):
+    late = _arriving_late(spark, sf_dir)
+    sources = [_ADAPTERS[log.name](ev.stream_events(spark, late, maxFilesPerTrigger="1")) for log in LOGS]
+    table = label_table(spark, work_folder(spark))
+    return _never_as_minus_one(_to_end(jobs.score_labels(*sources[:2]), table, "biz_score"))
+
+
+def stream_exposure_late(spark, sf_dir):
+    late = _arriving_late(spark, sf_dir)
+    source = ev.exposure_log(ev.stream_events(spark, late, maxFilesPerTrigger="1"))
+    rows = _to_end(jobs.exposure_labels(source), label_table(spark, work_folder(spark)), "exposure")
+    return labels.wide(rows, ["expose_least_biz_7d", "expose_biz_his"], rest=None)
+
+
 def stream_exposure(spark, sf_dir):
     table = label_table(spark, work_folder(spark))
     rows = _to_end(jobs.exposure_labels(_streamed_logs(spark, sf_dir)[2]), table, "exposure")
-    return labels.wide(rows, ["expose_least_biz_7d", "expose_biz_his"])
+    return labels.wide(rows, ["expose_least_biz_7d", "expose_biz_his"], rest=None)
 
 
 STREAM: dict[str, Query] = {
     f.__name__: f
-    for f in (stream_number_counts, stream_last_biz, stream_daily_counts, stream_biz_score, stream_exposure)
+    for f in (
+        stream_number_counts, stream_last_biz, stream_daily_counts, stream_biz_score, stream_exposure, stream_biz_score_late,
+        stream_exposure_late,
+    )
 }

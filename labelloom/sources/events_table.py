@@ -24,9 +24,15 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_DDL).parquet(f"{sf_dir}/events.parquet")
 
 
-def stream_events(spark: SparkSession, folder: str, pattern: str = "events*.parquet", **options: str) -> DataFrame:
-    reader = spark.readStream.schema(EVENTS_DDL).option("pathGlobFilter", pattern).options(**options)
-    return reader.parquet(folder)
+def stream_events(spark: SparkSession, sf_dir: str, **options: str) -> DataFrame:
+    """The table as a stream, whether it is one file or a folder of part files."""
+    path = f"{sf_dir}/events.parquet"
+    reader = spark.readStream.schema(EVENTS_DDL).options(**options)
+    files = read_events(spark, sf_dir).inputFiles()
+    if len(files) == 1 and files[0].endswith("/events.parquet"):
+        # A stream reads folders: the one the file lies in, and there nothing else.
+        return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return reader.parquet(path)
 
 
 def _pick(values: list[str], index: str) -> str:

@@ -5,6 +5,7 @@ reader of either kind touches only its own files. Only rejects keep their raw te
 """
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from labelloom.schemas import LogSpec
@@ -21,16 +22,20 @@ def _rows(raw: DataFrame, log: LogSpec) -> DataFrame:
     )
 
 
-def ingest(raw: DataFrame, log: LogSpec, path: str) -> None:
-    _rows(raw, log).write.mode("append").partitionBy("reject").parquet(f"{path}/{log.name}")
+def ingest(raw: DataFrame, log: LogSpec, path: str, batch: str = "all") -> None:
+    """Stores the lines as ``batch``. The same batch again replaces what it stored before, so a job that
+    is run twice counts nothing twice."""
+    # The batch folder is replaced as a whole: kinds of rejects that are gone must not stay behind.
+    _rows(raw, log).write.mode("overwrite").partitionBy("reject").parquet(f"{path}/{log.name}/batch={batch}")
 
 
 def ingest_stream(raw: DataFrame, log: LogSpec, path: str, **trigger) -> StreamingQuery:
     """The same for a live log; Spark's file sink makes every micro-batch visible once."""
     writer = (
         _rows(raw, log)
+        .withColumn("batch", F.lit("stream"))
         .writeStream.outputMode("append")
-        .partitionBy("reject")
+        .partitionBy("batch", "reject")
         .option("checkpointLocation", f"{path}/checkpoints/{log.name}")
     )
     if trigger:
@@ -40,7 +45,7 @@ def ingest_stream(raw: DataFrame, log: LogSpec, path: str, **trigger) -> Streami
 
 def read_ingested(spark: SparkSession, log: LogSpec, path: str) -> DataFrame:
     rows = spark.read.parquet(f"{path}/{log.name}")
-    return rows.where(f"reject = '{_ACCEPTED}'").drop("value", "reject")
+    return rows.where(f"reject = '{_ACCEPTED}'").drop("value", "reject", "batch")
 
 
 def read_rejects(spark: SparkSession, log: LogSpec, path: str) -> DataFrame:

@@ -19,9 +19,11 @@ from labelloom.sources.parse import with_event_time
 from labelloom.streaming import queue_state
 from labelloom.streaming.store import ChangeTable
 
-# How long state waits for late events. The logs' own bound is seconds (dims.WATERMARK_DELAY), but
-# a late event is never dropped before its day or its user's queue would be closed anyway.
-LATENESS = "1 day"
+# How long state waits for late events, against the newest event of the log. A score cell of day d can be
+# read until the end of day d + 2, so its windows stay open for three days: what comes later could only
+# change cells that have expired. An exposure can be this late and still find its user's queue.
+SCORE_LATENESS = "3 days"
+EXPOSURE_LATENESS = "7 days"
 _STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -45,7 +47,7 @@ def _timed_actions(clicks: DataFrame, searches: DataFrame, lateness: str) -> Dat
 
 
 def daily_counts(
-    clicks: DataFrame, searches: DataFrame, lateness: str = LATENESS, offset_ms: int = dims.DAY_OFFSET_MS
+    clicks: DataFrame, searches: DataFrame, lateness: str = SCORE_LATENESS, offset_ms: int = dims.DAY_OFFSET_MS
 ) -> DataFrame:
     """``uid, day, channel, biz, n`` per calendar day; a day's state goes when the day is closed."""
     actions = _timed_actions(clicks, searches, lateness)
@@ -59,7 +61,7 @@ def daily_counts(
 def score_labels(
     clicks: DataFrame,
     searches: DataFrame,
-    lateness: str = LATENESS,
+    lateness: str = SCORE_LATENESS,
     offset_ms: int = dims.DAY_OFFSET_MS,
     on_flat: str = "nan",
 ) -> DataFrame:
@@ -84,7 +86,7 @@ def score_labels(
 
 def exposure_labels(
     exposures: DataFrame,
-    lateness: str = LATENESS,
+    lateness: str = EXPOSURE_LATENESS,
     length: int = dims.QUEUE_LENGTH,
     gap_ms: int = dims.IDLE_GAP_MS,
     pad_below: int = dims.PAD_BELOW,

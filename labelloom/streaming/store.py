@@ -35,7 +35,12 @@ class ChangeTable:
         located = T.StructType([
             *self.schema.fields, T.StructField("job", T.StringType()), T.StructField("batch", T.LongType()),
         ])
-        return self.spark.read.schema(located).parquet(f"{self.path}/changes")
+        try:
+            return self.spark.read.schema(located).parquet(f"{self.path}/changes")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], located)  # no job has written yet
 
     def _folded(self) -> tuple[int | None, dict[str, int]]:
         """Newest snapshot and the last batch of each job it contains (one row per job)."""
@@ -60,22 +65,29 @@ class ChangeTable:
 
     def current(self) -> DataFrame:
         """The newest version of every key."""
-        return self._newest().select(*self.schema.names)
+        return self._newest_of(self._versions()).select(*self.schema.names)
 
-    def _newest(self) -> DataFrame:
-        newest = self._versions().groupBy(*self.keys).agg(
+    def _newest_of(self, versions: DataFrame) -> DataFrame:
+        newest = versions.groupBy(*self.keys).agg(
             F.max_by(F.struct(*self._values, "job", "batch"), F.struct(*self.order, "batch")).alias("row")
         )
         return newest.select(*self.keys, "row.*")
 
     def compact(self) -> None:
-        """Folds all finished changes into a new snapshot. The old one stays valid until the new
-        one is complete: readers go by the ``folded`` note, which is written last."""
-        version, _ = self._folded()
-        upto = {r["job"]: r["upto"] for r in self._versions().groupBy("job").agg(F.max("batch").alias("upto")).collect()}
-        rows = self._newest()
-        for job, batch in upto.items():  # a batch that arrives meanwhile stays among the changes
+        """Folds finished changes into a new snapshot. The old one stays valid until the new one is
+        complete: readers go by the ``folded`` note, which is written last.
+
+        The newest batch of a job may still be on its way; those before it are complete, for a job
+        commits one batch before it starts the next."""
+        version, folded = self._folded()
+        seen = self._changes().groupBy("job").agg(F.max("batch").alias("newest")).collect()
+        upto = folded | {r["job"]: max(r["newest"] - 1, folded.get(r["job"], -1)) for r in seen}
+        if not upto:
+            return
+        rows = self._versions()
+        for job, batch in upto.items():
             rows = rows.where((F.col("job") != job) | (F.col("batch") <= batch))
+        rows = self._newest_of(rows.where(F.col("job").isin(list(upto))))
         new = 0 if version is None else version + 1
         rows.write.mode("overwrite").parquet(f"{self.path}/snapshots/{new}")
         note = [(new, job, batch) for job, batch in upto.items()]

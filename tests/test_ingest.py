@@ -18,8 +18,11 @@ def check(spark, path):
 
 def test_batch(spark, tmp_path):
     raw = spark.createDataFrame(list(zip(LINES, range(4))), "value string, event_id bigint")
-    ingest(raw, CLICK, str(tmp_path))
-    check(spark, str(tmp_path))
+    for _ in range(2):  # a batch that is stored again replaces itself
+        ingest(raw, CLICK, str(tmp_path))
+        check(spark, str(tmp_path))
+    ingest(raw, CLICK, str(tmp_path), batch="next")
+    assert read_ingested(spark, CLICK, str(tmp_path)).count() == 4
 
 
 def test_stream(spark, tmp_path):

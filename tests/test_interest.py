@@ -56,6 +56,12 @@ def test_no_heavy_users_below_the_limit(spark):
     assert skew.heavy_users(df.where("uid = 'nobody'"), 1) is None
 
 
+def test_any_number_of_users_can_be_heavy(spark):
+    rows = [(f"u{i % 1200}", "click", "family", T0 + i, i) for i in range(12_000)]
+    heavy = skew.heavy_users(spark.createDataFrame(rows, ACTION_DDL), 9)
+    assert heavy.count() == 1200
+
+
 def test_slices_bound_the_rows_of_a_task(spark):
     rows = [("hot", "click", "family", T0 + i * 1000, i) for i in range(10_000)]
     df = spark.createDataFrame(rows, ACTION_DDL)

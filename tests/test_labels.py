@@ -44,7 +44,10 @@ def test_wide(spark):
     got = {r["row_key"]: r.asDict() for r in labels.wide(rows).collect()}
     assert got["k"]["lucky_x"] == "1" and got["k"]["biz_click"] == "0,0,0,0,1" and got["l"]["lucky_x"] == "2"
     assert got["l"]["biz_click"] is None
-    assert labels.wide(rows).columns == ["row_key", *dims.KNOWN_LABELS]
+    assert labels.wide(rows).columns == ["row_key", *dims.KNOWN_LABELS, "other_labels"]
+    unknown = rows.union(spark.createDataFrame([("k", "vip_searchs", "3", T0, None)], LABELS))
+    assert {r["row_key"]: r["other_labels"] for r in labels.wide(unknown).collect()} == {"k": {"vip_searchs": "3"}, "l": {}}
+    assert labels.wide(rows, rest=None).columns == ["row_key", *dims.KNOWN_LABELS]
     assert len(dims.KNOWN_LABELS) == len(set(dims.KNOWN_LABELS)) == 9 * 3 + 6
 
 

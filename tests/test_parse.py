@@ -27,7 +27,7 @@ def raw(spark, *values):
     ('{"uid":null,"ts":1}', "no_user"),
     ('{"uid":"u1"}', "bad_ts"),
     ('{"uid":"u1","ts":"xx"}', "bad_ts"),
-    ('{"uid":"u1","ts":1.5}', "bad_ts"),
+    ('{"uid":"u1","ts":1e30}', "bad_ts"),
     ('{"uid":"u1","ts":null}', "bad_ts"),
 ])
 def test_rejects(spark, value, reason):
@@ -99,3 +99,9 @@ def test_kafka_rows_get_a_unique_order(spark):
     assert [r["value"] for r in got] == ["x", "y", "z"]
     assert len({r["event_id"] for r in got}) == 3
     assert _kafka_columns(rows).where(F.col("event_id") < 0).count() == 0
+
+
+@pytest.mark.parametrize("ts", ["1700000000000", "1.7e12", "1700000000000.0", "1700000000000.9", '"1700000000000"'])
+def test_any_number_is_a_timestamp_by_its_whole_part(spark, ts):
+    rows = read_log(raw(spark, '{"uid":"u1","ts":%s}' % ts), CLICK).collect()
+    assert [r["ts_ms"] for r in rows] == [1_700_000_000_000]

@@ -1,3 +1,4 @@
+import functools
 import random
 import time
 from pathlib import Path
@@ -8,12 +9,12 @@ from pyspark.sql import functions as F
 
 from labelloom import dims
 from labelloom.plans import labels
-from labelloom.schemas import CLICK, SEARCH
+from labelloom.schemas import CLICK, LABELS, SEARCH
 from labelloom.sources import events_table as ev
 from labelloom.sources.logs import file_stream
 from labelloom.sources.parse import read_log
-from labelloom.streaming import jobs
 from labelloom.shared import work_folder
+from labelloom.streaming import jobs
 from labelloom.streaming.store import label_table
 
 T0 = 1_700_000_000_000
@@ -27,12 +28,14 @@ def rows_of(df):
 @pytest.fixture(scope="module")
 def events_in_files(spark, tmp_path_factory):
     """The events table cut by time into files that arrive one after the other."""
-    folder = tmp_path_factory.mktemp("events")
+    base = tmp_path_factory.mktemp("events")
+    folder = base / "events.parquet"
+    folder.mkdir()
     events = ev.read_events(spark, "/root/testdata/sf0.001")
     for i in range(4):
         part = events.where((F.col("event_id") >= 250 * i) & (F.col("event_id") < 250 * (i + 1))).coalesce(1)
         part.toPandas().to_parquet(folder / f"events_{i}.parquet", index=False, coerce_timestamps="us")
-    return str(folder)
+    return str(base)
 
 
 def logs(events):
@@ -242,3 +245,57 @@ def test_work_folder_is_never_local_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         work_folder(Cluster)
+
+
+def test_file_and_folder_give_the_same_stream(spark, events_in_files):
+    for base in (events_in_files, "/root/testdata/sf0.001"):
+        table = label_table(spark, work_folder(spark))
+        jobs.run(jobs.number_labels(*logs(ev.stream_events(spark, base))[:2]), table, "n", availableNow=True).awaitTermination(120)
+        want = rows_of(labels.number_labels(*logs(ev.read_events(spark, "/root/testdata/sf0.001"))[:2]))
+        assert rows_of(table.current()) == want and want
+
+
+def test_table_before_the_first_batch(spark):
+    table = label_table(spark, work_folder(spark))
+    assert table.current().count() == 0
+    table.compact()
+    assert table.current().count() == 0
+
+
+def test_a_batch_on_its_way_is_not_folded(spark):
+    table = label_table(spark, work_folder(spark))
+    cells = lambda *keys: spark.createDataFrame([(k, "l", "v", 1, None) for k in keys], LABELS)
+    table.write("job", cells("a"), 0)
+    table.write("job", cells("b"), 1)  # as seen while only some of its files are there
+    table.compact()
+    table.write("job", cells("b", "c"), 1)
+    assert sorted(r.row_key for r in table.current().collect()) == ["a", "b", "c"]
+    for batch in range(2, 6):
+        table.write("job", cells(f"k{batch}"), batch)
+        table.compact()
+    assert table.current().count() == 7
+
+
+def exposed(spark, folder, batches):
+    """An exposure stream that reads one batch of (uid, biz_type, ts) after the other."""
+    for i, rows in enumerate(batches):
+        frame = spark.createDataFrame([(u, b, "首页-专享", ts, 10 * i + j) for j, (u, b, ts) in enumerate(rows)],
+                                      "uid string, biz_type string, storey string, ts_ms bigint, event_id bigint")
+        frame.coalesce(1).write.mode("append").parquet(folder)
+        yield frame
+
+
+def test_late_exposures_and_wrong_clocks_lose_nothing(spark, tmp_path):
+    folder, day = str(tmp_path / "in"), 86_400_000
+    ahead = int(time.time() * 1000) + 1_000 * day
+    recent = int(time.time() * 1000) - 5 * day
+    batches = [
+        [("u", "familyModel", recent)], [("v", "cardModel", recent + 3 * day), ("w", "cardModel", ahead)],
+        [("u", "cardModel", recent + 1 * day)], [("v", "familyModel", recent + 3 * day + 1)],
+    ]
+    frames = list(exposed(spark, folder, batches))
+    source = spark.readStream.schema(frames[0].schema).option("maxFilesPerTrigger", "1").parquet(folder)
+    table = label_table(spark, work_folder(spark))
+    jobs.run(jobs.exposure_labels(source), table, "exposure", availableNow=True).awaitTermination(120)
+    want = rows_of(labels.exposure_labels(functools.reduce(lambda a, b: a.union(b), frames)))
+    assert rows_of(table.current()) == want
