@@ -112,6 +112,12 @@ def visible(labels: DataFrame, as_of_ms: int) -> DataFrame:
     return labels.where(f"expire_ts IS NULL OR expire_ts > {as_of_ms}L")
 
 
+def living_from(labels: DataFrame, now_ms: int) -> DataFrame:
+    """The same rows with their time to live counted from ``now_ms``, the moment a live job writes them,
+    instead of from their event. ``write_ts`` stays the event's, which decides what is newest."""
+    return labels.withColumn("expire_ts", F.expr(f"expire_ts - write_ts + {now_ms}L"))
+
+
 def wide(labels: DataFrame, names: Iterable[str] = tuple(dims.KNOWN_LABELS), rest: str | None = "other_labels") -> DataFrame:
     """One row per user, one column per label, in one shuffle; the names are given, not looked up.
 

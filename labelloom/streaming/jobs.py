@@ -4,6 +4,7 @@ Each job is a streaming DataFrame of label rows in update mode: one row per touc
 micro-batch, with the value that key has now. ``run`` writes them to the label table.
 """
 
+import time
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -123,17 +124,24 @@ def _state_store(spark: SparkSession):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def run(changed: DataFrame, table: ChangeTable, job: str, **trigger) -> StreamingQuery:
+def run(changed: DataFrame, table: ChangeTable, job: str, ttl_from_clock: bool = False, **trigger) -> StreamingQuery:
     """Starts a job. A sink error fails the micro-batch, which is then replayed into its folder.
 
+    With ``ttl_from_clock`` labels live from the moment they are written, so those of a stream that lags
+    behind can be read; else they live from their event, as in a backfill.
+
     ``trigger`` is passed to Spark, e.g. ``processingTime="10 seconds"`` or ``availableNow=True``.
     The number of state partitions is ``spark.sql.shuffle.partitions`` of the first start.
     """
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        table.write(job, labels.living_from(rows, int(time.time() * 1000)) if ttl_from_clock else rows, batch_id)
+
     writer = (
         changed.writeStream.queryName(job)
         .outputMode("update")
         .option("checkpointLocation", table.checkpoint(job))
-        .foreachBatch(lambda rows, batch_id: table.write(job, rows, batch_id))
+        .foreachBatch(write)
     )
     if trigger:
         writer = writer.trigger(**trigger)

@@ -299,3 +299,14 @@ def test_late_exposures_and_wrong_clocks_lose_nothing(spark, tmp_path):
     jobs.run(jobs.exposure_labels(source), table, "exposure", availableNow=True).awaitTermination(120)
     want = rows_of(labels.exposure_labels(functools.reduce(lambda a, b: a.union(b), frames)))
     assert rows_of(table.current()) == want
+
+
+def test_ttl_may_count_from_the_clock(spark, events_in_files):
+    source = ev.stream_events(spark, events_in_files)
+    table = label_table(spark, work_folder(spark))
+    before = int(time.time() * 1000)
+    changed = jobs.last_biz_labels(*logs(source)[:2], "UTC")
+    jobs.run(changed, table, "last_biz", ttl_from_clock=True, availableNow=True).awaitTermination(120)
+    rows = table.current().collect()
+    assert rows and all(before <= r["expire_ts"] - dims.LAST_BIZ_TTL_MS <= time.time() * 1000 for r in rows)
+    assert labels.visible(table.current(), before).count() == len(rows)
