@@ -33,7 +33,6 @@ RIDGE = 1e-2
 _MULTIPLIER = np.uint32(0x9E3779B1)
 _SHIFT = np.uint32(32 - BUCKETS.bit_length() + 1)
 _SEED = 17
-_LETTER = re.compile(r"[^\W\d_]")
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -61,7 +60,7 @@ def _letters(text: str) -> str:
 
 
 def has_letter(text: str) -> bool:
-    return _LETTER.search(text) is not None
+    return any(map(str.isalpha, text))
 
 
 def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

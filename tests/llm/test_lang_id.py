@@ -42,7 +42,7 @@ def test_edges(docs_of, spark):
     labelled = docs_of([(i, "the and of " * 3 if i % 2 else "der die das ") for i in range(40)])
     labelled = labelled.selectExpr("*", "if(doc_id % 2 = 1, 'en', 'de') AS lang")
     model = g.fit(labelled)
-    docs = docs_of([(1, None), (2, ""), (3, "12 !? _"), (4, "the"), (4, "the"), (None, "der die"), (6, "the and " * 100_000), (7, "日")])
+    docs = docs_of([(1, None), (2, ""), (3, "12 !? _ ²"), (4, "the"), (4, "the"), (None, "der die"), (6, "the and " * 100_000), (7, "日")])
     got = g.predict(docs, model).collect()
     pred = {r.doc_id: (r.lang_pred, r.score) for r in got}
     assert len(got) == 8 and pred[1] == pred[2] == pred[3] == ("und", 0.0)
