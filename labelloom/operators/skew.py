@@ -27,7 +27,7 @@ def heavy_users(events: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFr
     )
     slices = f"((n + {rows_per_task - 1}) div {rows_per_task}) * {_SLICE_FACTOR}"
     width = f"greatest(1L, (last_ts - first_ts + {slices}) div ({slices}))"
-    heavy = cut(sizes.where(F.col("n") > rows_per_task).selectExpr("uid", "first_ts", f"{width} AS slice_ms"), waves=1)
+    heavy = cut(sizes.where(F.col("n") > rows_per_task).selectExpr("uid", "first_ts", f"{width} AS slice_ms"), files=1)
     return None if heavy.isEmpty() else heavy
 
 

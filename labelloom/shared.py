@@ -35,16 +35,16 @@ def work_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/labelloom-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, waves: int | None = None) -> DataFrame:
+def cut(df: DataFrame, files: int | None = None) -> DataFrame:
     """The rows, computed once and kept in the shared folder: what follows neither repeats the work
     nor depends on any executor staying alive. Spark removes the files with the frame when
     ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on.
 
-    Each partition becomes a file. For a small result of a wide shuffle ``waves`` merges partitions until
-    all tasks of the cluster are done in so many waves."""
+    Each partition becomes a file. ``files`` merges those of a small result that comes out of a wide
+    shuffle: to that number, which should follow the data, and never below two for each core."""
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(shared_folder(df.sparkSession))
-    if waves is not None:
-        df = df.coalesce(max(1, waves * context.defaultParallelism))
+    if files is not None:
+        df = df.coalesce(max(files, 2 * context.defaultParallelism))
     return df.checkpoint(eager=True)
