@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from labelloom.shared import cut
 
 
+LINKS_PER_FILE = 1_000_000
+
+
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy(F.col("a").alias("of")).agg(F.least("of", F.min("b")).alias("least"))
@@ -33,15 +36,17 @@ def _fingerprint(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))"), F.expr("sum(pmod(xxhash64(b, a), 1000003))")).first())
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, files: int | None = None) -> DataFrame:
     """``node, component`` for every node of ``links`` (``a, b``), the component being its smallest
-    node. Loops, repeated links and either direction are fine; a link with a null end is none."""
+    node. Loops, repeated links and either direction are fine; a link with a null end is none. ``files``
+    is for the first checkpoint, before the links are counted."""
     links = cut(
-        links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), waves=1
+        links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
+        files=files,
     )
     before = _fingerprint(links)
     while before[0]:
-        links = cut(_small_star(_large_star(links)), waves=1)
+        links = cut(_small_star(_large_star(links)), files=before[0] // LINKS_PER_FILE)
         now = _fingerprint(links)
         if now == before:
             break

@@ -41,6 +41,8 @@ _SAMPLES = BANDS * ROWS
 _MULTIPLIERS = mixed(np.arange(1, _SAMPLES + 1, dtype=np.uint64)) | np.uint64(1)
 _BAND_SALTS = mixed(np.arange(1_000_001, 1_000_001 + BANDS, dtype=np.uint64))
 _SAMPLE_SALTS = mixed(np.arange(2_000_001, 2_000_001 + _SAMPLES, dtype=np.uint64))
+# Intermediate results are kept in a file for so many documents.
+DOCS_PER_FILE = 5_000
 _CHUNK = 1 << 11  # shingles permuted at once; bounds the memory of a long document
 
 SIGNED = "doc_id bigint, n_shingles bigint, fp array<bigint>, sketch array<bigint>, bands array<bigint>"
@@ -157,7 +159,7 @@ def _confirmed(pairs: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFr
     return shared.where(f"100 * shared >= {THRESHOLD} * (total - shared)").select("a", "b").distinct()
 
 
-def _rare_shingle_pairs(open_members: DataFrame, sets: DataFrame) -> DataFrame:
+def _rare_shingle_pairs(open_members: DataFrame, sets: DataFrame, files: int) -> DataFrame:
     """Pairs ``a, b`` of different components that share a shingle among their rarest ones, from
     ``rep, component``. No pair of the threshold's similarity is missing.
 
@@ -177,7 +179,7 @@ def _rare_shingle_pairs(open_members: DataFrame, sets: DataFrame) -> DataFrame:
         .where(f"place <= n - ({t} * n + 99) div 100 + 1")
         .select("shingle", "rep", "component", "n", "place")
     )
-    placed = cut(placed, waves=2)
+    placed = cut(placed, files)
     fewer = placed.where(f"place <= n - ({2 * t} * n + {99 + t}) div {100 + t} + 1").select(
         "shingle", *[F.col(c).alias(f"{c}_b") for c in ("rep", "component", "n", "place")]
     )
@@ -199,6 +201,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     id are one document. A row without an id links with nothing and is kept, ``component_id`` null.
     """
     signed = cut(signatures(docs, width))
+    files = signed.count() // DOCS_PER_FILE
     linkable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").selectExpr(
         "doc_id", "n_shingles AS n", "fp[0] AS fp0", "fp[1] AS fp1", "sketch", "bands"
     )
@@ -207,20 +210,20 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     firsts = linkable.withColumnRenamed("doc_id", "rep").join(classes, ["rep", "fp0", "fp1"])
     banded = firsts.select("rep", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first < last")
-    members = cut(banded.join(buckets, "band"), waves=2)
+    members = cut(banded.join(buckets, "band"), files)
     involved = members.select("rep").distinct()
-    sketches = cut(firsts.join(involved, "rep", "left_semi").select("rep", "n", "sketch").distinct(), waves=2)
+    sketches = cut(firsts.join(involved, "rep", "left_semi").select("rep", "n", "sketch").distinct(), files)
     sets = cut(
         only(docs, "doc_id", "text").join(involved.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
         .dropDuplicates(["doc_id", "text"])
         .mapInArrow(_full_sets(width), "doc_id bigint, shingles array<bigint>")
         .withColumnRenamed("doc_id", "rep"),
-        waves=2,
+        files,
     )
 
     pivots = members.select("rep", F.explode(F.array("first", "last")).alias("pivot")).where("rep != pivot")
     near_pivots = pivots.select(F.greatest("rep", "pivot").alias("a"), F.least("rep", "pivot").alias("b")).distinct()
-    joined = components(_confirmed(near_pivots, sketches, sets))
+    joined = components(_confirmed(near_pivots, sketches, sets), files)
 
     placed = members.select("band", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").selectExpr(
         "band", "rep", "coalesce(component, rep) AS component"
@@ -229,9 +232,9 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         "low < high"
     )
     rest = placed.join(open_buckets.select("band"), "band", "left_semi").select("rep", "component").distinct()
-    found = _confirmed(_rare_shingle_pairs(rest, sets), sketches, sets)
+    found = _confirmed(_rare_shingle_pairs(rest, sets, files), sketches, sets)
     joined = components(
-        joined.selectExpr("node AS a", "component AS b").unionByName(found)
+        joined.selectExpr("node AS a", "component AS b").unionByName(found), files
     ).withColumnRenamed("node", "rep")
 
     placed_classes = classes.join(joined, "rep", "left").selectExpr(
