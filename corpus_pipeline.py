@@ -16,6 +16,8 @@ from labelloom.shared import work_folder
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # A real run takes its key from the caller's secrets; this one only makes the run repeatable.
 KEY = "pipeline"
+# Words of a shingle of the near-duplicate stage; only the query op10_near_dups takes four.
+SHINGLE_WORDS = 5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +31,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group, the one of the smallest id. Of rows that share an id the first in the
     order of their columns stays; rows without an id stay all."""
     docs = only(docs, *COLUMNS)
-    rows = near_dups.near_duplicates(docs)
+    rows = near_dups.near_duplicates(docs, SHINGLE_WORDS)
     verdicts = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.bool_and("kept").alias("kept"), (F.count("*") > 1).alias("repeated")
     ).where("NOT kept OR repeated")

@@ -34,6 +34,22 @@ def test_stages_keep_the_columns_of_documents(spark, sf_dir, docs_of):
     assert pipeline.STAGES[-1][1](spark, docs.limit(0), sf_dir).count() == 0
 
 
+def test_near_duplicates_are_judged_by_five_words(spark, sf_dir, docs_of):
+    """Two edits far apart cost eight of 85 shingles of four words, but ten of 84 of five."""
+    words = [f"w{i}" for i in range(88)]
+    edited = [f"x{i}" if i in (30, 60) else w for i, w in enumerate(words)]
+    rows = [(1, " ".join(words)), (2, " ".join(edited))]
+    assert brute.near_duplicates(rows, width=4) == {1: 1, 2: 1} and brute.near_duplicates(rows, width=5) == {1: 1, 2: 2}
+    docs = docs_of(rows).selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "0L AS n_chars")
+    assert sorted(r.doc_id for r in pipeline.near_duplicates(spark, docs, sf_dir).collect()) == [1, 2]
+
+
+def test_near_duplicate_stage_against_brute_force(spark, sf_dir, documents):
+    groups = brute.near_duplicates([(r.doc_id, r.text) for r in documents.collect()], width=5)
+    kept = [r.doc_id for r in pipeline.near_duplicates(spark, documents, sf_dir).select("doc_id").collect()]
+    assert sorted(kept) == sorted(i for i, group in groups.items() if group == i)
+
+
 def test_pseudonyms_replace_what_is_found(spark, sf_dir, documents):
     before = {r.doc_id: r for r in pseudonyms.report(documents, pipeline.KEY).collect()}
     after = pipeline.pseudonymised(spark, documents, sf_dir).collect()
