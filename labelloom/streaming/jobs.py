@@ -20,11 +20,13 @@ from labelloom.sources.parse import with_event_time
 from labelloom.streaming import queue_state
 from labelloom.streaming.store import ChangeTable
 
-# How long state waits for late events, against the newest event of the log. A score cell of day d can be
-# read until the end of day d + 2, so its windows stay open for three days: what comes later could only
-# change cells that have expired. An exposure can be this late and still find its user's queue.
-SCORE_LATENESS = "3 days"
-EXPOSURE_LATENESS = "7 days"
+# How long state waits for late events, against the newest event of the log. By default for ever: no row is
+# late and no state leaves, as for the counters. A live job may bound its state by a delay, e.g. "3 days" for
+# scores and "7 days" for exposures; rows later than that are then dropped, and only Spark's
+# numRowsDroppedByWatermark tells.
+DAILY_LATENESS: str | None = None
+SCORE_LATENESS: str | None = None
+EXPOSURE_LATENESS: str | None = None
 _STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -41,16 +43,18 @@ def last_biz_labels(clicks: DataFrame, searches: DataFrame, zone: str | None = N
     return labels.last_biz_labels(clicks, searches, zone)
 
 
-def _timed_actions(clicks: DataFrame, searches: DataFrame, lateness: str) -> DataFrame:
+def _timed_actions(clicks: DataFrame, searches: DataFrame, lateness: str | None) -> DataFrame:
+    if lateness is None:
+        return labels.scored_actions(clicks, searches).withColumn("event_time", F.timestamp_millis("ts_ms"))
     # One watermark per log; Spark goes by the slower one. A log that has gone silent holds the state
     # of both back (spark.sql.streaming.multipleWatermarkPolicy decides).
     return labels.scored_actions(with_event_time(clicks, lateness), with_event_time(searches, lateness))
 
 
 def daily_counts(
-    clicks: DataFrame, searches: DataFrame, lateness: str = SCORE_LATENESS, offset_ms: int = dims.DAY_OFFSET_MS
+    clicks: DataFrame, searches: DataFrame, lateness: str | None = DAILY_LATENESS, offset_ms: int = dims.DAY_OFFSET_MS
 ) -> DataFrame:
-    """``uid, day, channel, biz, n`` per calendar day; a day's state goes when the day is closed."""
+    """``uid, day, channel, biz, n`` per calendar day; with a ``lateness`` a day's state goes when the day is closed."""
     actions = _timed_actions(clicks, searches, lateness)
     counts = actions.groupBy("uid", day_window("event_time", 1, offset_ms), "channel", "biz").agg(
         F.count("*").alias("n")
@@ -62,7 +66,7 @@ def daily_counts(
 def score_labels(
     clicks: DataFrame,
     searches: DataFrame,
-    lateness: str = SCORE_LATENESS,
+    lateness: str | None = SCORE_LATENESS,
     offset_ms: int = dims.DAY_OFFSET_MS,
     on_flat: str = "nan",
 ) -> DataFrame:
@@ -70,7 +74,7 @@ def score_labels(
 
     The window that ends with day d holds exactly the counts of d-1 and d, so yesterday needs no
     lookup. A window speaks for its user once it has an event on its last day. State is native
-    and leaves with the watermark.
+    and leaves with the watermark, if ``lateness`` sets one.
     """
     windows = _timed_actions(clicks, searches, lateness).groupBy(
         "uid", day_window("event_time", 2, offset_ms)
@@ -87,25 +91,27 @@ def score_labels(
 
 def exposure_labels(
     exposures: DataFrame,
-    lateness: str = EXPOSURE_LATENESS,
+    lateness: str | None = EXPOSURE_LATENESS,
     length: int = dims.QUEUE_LENGTH,
     gap_ms: int = dims.IDLE_GAP_MS,
     pad_below: int = dims.PAD_BELOW,
     wall_clock: bool = False,
 ) -> DataFrame:
-    """Labels of the last exposures. ``wall_clock`` resets a queue when nothing arrives for ``gap_ms``,
+    """Labels of the last exposures. Without a ``lateness`` a queue is never forgotten: twelve entries for
+    each user, who may come back with events of any age. ``wall_clock`` resets a queue when nothing arrives for ``gap_ms``,
     whatever the timestamps say; then there is no watermark and no event is ever late. Such a query
     keeps checking its clock: it runs until it is stopped, ``availableNow`` does not end it."""
     shown = classify.exclusive_exposures(exposures.drop("event_time"))
     trimmed = shown.select("uid", "biz", "ts_ms", "event_id").mapInPandas(
         queue_state.keep_newest(length), queue_state.TRIMMED
     )
-    timed = trimmed if wall_clock else with_event_time(trimmed, lateness)
+    bounded = lateness is not None and not wall_clock
+    timed = with_event_time(trimmed, lateness) if bounded else trimmed
     queues = timed.groupBy("uid").transformWithState(
-        queue_state.LastExposures(length, gap_ms, wall_clock),
+        queue_state.LastExposures(length, gap_ms, wall_clock, forgets=bounded),
         queue_state.OUTPUT,
         outputMode="Update",
-        timeMode="ProcessingTime" if wall_clock else "EventTime",
+        timeMode="ProcessingTime" if wall_clock else "EventTime" if bounded else "None",
     )
     counts = queues.selectExpr("uid", "last_ts", *exposure.counts_of_array("queue"))
     return labels.exposure_cells(labels.exposure_texts(counts, pad_below))

@@ -38,14 +38,15 @@ class LastExposures(StatefulProcessor):
 
     By event time, entries older than a pause stay in the state and are cut when the queue is
     emitted: a late event may still close the pause, and the result is the one of the batch form
-    for any order of arrival. A user idle for ``gap_ms`` is forgotten by an event-time timer.
+    for any order of arrival. With ``forgets`` a user idle for ``gap_ms`` is forgotten by an event-time timer.
 
     By the wall clock, the state itself expires when nothing arrives for ``gap_ms``; pauses inside
     the data play no part.
     """
 
-    def __init__(self, length: int, gap_ms: int, wall_clock: bool = False):
+    def __init__(self, length: int, gap_ms: int, wall_clock: bool = False, forgets: bool = True):
         self._length, self._gap_ms, self._wall_clock = length, gap_ms, wall_clock
+        self._forgets = forgets
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
@@ -59,7 +60,8 @@ class LastExposures(StatefulProcessor):
         self._entries.put(newest)
         last_ts, start = newest[-1][0], 0
         if not self._wall_clock:
-            self._move_timer(known[-1][0] if known else None, last_ts)
+            if self._forgets:
+                self._move_timer(known[-1][0] if known else None, last_ts)
             pauses = (i for i in range(1, len(newest)) if newest[i][0] - newest[i - 1][0] >= self._gap_ms)
             start = max(pauses, default=0)
         yield Row(uid=key[0], last_ts=last_ts, queue=[e[2] for e in newest[start:]])

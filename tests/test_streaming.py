@@ -8,6 +8,7 @@ from model import DAY, SIX, exposure_texts, queues
 from pyspark.sql import functions as F
 
 from labelloom import dims
+from labelloom.operators import interest
 from labelloom.plans import labels
 from labelloom.schemas import CLICK, LABELS, SEARCH
 from labelloom.sources import events_table as ev
@@ -15,7 +16,7 @@ from labelloom.sources.logs import file_stream
 from labelloom.sources.parse import read_log
 from labelloom.shared import work_folder
 from labelloom.streaming import jobs
-from labelloom.streaming.store import label_table
+from labelloom.streaming.store import ChangeTable, label_table
 
 T0 = 1_700_000_000_000
 CELLS = ["row_key", "label", "value", "write_ts", "expire_ts"]
@@ -310,3 +311,51 @@ def test_ttl_may_count_from_the_clock(spark, events_in_files):
     rows = table.current().collect()
     assert rows and all(before <= r["expire_ts"] - dims.LAST_BIZ_TTL_MS <= time.time() * 1000 for r in rows)
     assert labels.visible(table.current(), before).count() == len(rows)
+
+
+def test_exposures_of_any_age_find_their_queue(spark, tmp_path):
+    """A user's event of day 1 arrives behind another user's of day 9, and one behind a pause of all."""
+    folder = str(tmp_path / "in")
+    batches = [
+        [("u", "familyModel", T0), ("u", "cardModel", T0 + 6 * DAY)], [("v", "cardModel", T0 + 9 * DAY)],
+        [("w", "cardModel", T0 + 9 * DAY + 1)], [("u", "packageModel", T0 + DAY)],
+        [("v", "cardModel", T0 + 40 * DAY)], [("w", "familyModel", T0 + 41 * DAY)], [("u", "terminalModel", T0 + 2 * DAY)],
+    ]
+    frames = list(exposed(spark, folder, batches))
+    source = spark.readStream.schema(frames[0].schema).option("maxFilesPerTrigger", "1").parquet(folder)
+    table = label_table(spark, work_folder(spark))
+    jobs.run(jobs.exposure_labels(source), table, "exposure", availableNow=True).awaitTermination(120)
+    assert rows_of(table.current()) == rows_of(labels.exposure_labels(functools.reduce(lambda a, b: a.union(b), frames)))
+
+
+def clicked(spark, folder, batches):
+    """A click stream that reads one batch of (uid, ts) after the other, and the same clicks as a frame."""
+    schema = "uid string, biz_type string, pb_name string, num_type string, ts_ms bigint, event_id bigint"
+    frames = []
+    for i, rows in enumerate(batches):
+        rows = [(u, "familyModel", None, None, ts, 10 * i + j) for j, (u, ts) in enumerate(rows)]
+        frames.append(spark.createDataFrame(rows, schema))
+        frames[-1].coalesce(1).write.mode("append").parquet(folder)
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(folder)
+    return source, functools.reduce(lambda a, b: a.union(b), frames)
+
+
+def searched(clicks):
+    return clicks.select(F.col("uid").alias("search_mob"), F.lit("number").alias("biz_type"), "ts_ms", "event_id")
+
+
+def daily_table(spark, changed):
+    return ChangeTable(spark, work_folder(spark), changed.schema, ["uid", "day", "channel", "biz"])
+
+
+def test_counts_and_scores_of_rows_far_behind(spark, tmp_path):
+    late = [[("u", T0)], [("v", T0 + 30 * DAY)], [("v", T0 + 31 * DAY)], [("u", T0 + 1)], [("w", T0 - DAY)]]
+    stream, batch = clicked(spark, str(tmp_path / "in"), late)
+    changed = jobs.daily_counts(stream, searched(stream))
+    table = daily_table(spark, changed)
+    jobs.run(changed, table, "daily", availableNow=True).awaitTermination(120)
+    want = interest.daily_counts(labels.scored_actions(batch, searched(batch)))
+    assert sorted(map(tuple, table.current().collect())) == sorted(map(tuple, want.collect()))
+    table = label_table(spark, work_folder(spark))
+    jobs.run(jobs.score_labels(stream, searched(stream)), table, "score", availableNow=True).awaitTermination(120)
+    assert rows_of(table.current()) == rows_of(labels.score_labels(batch, searched(batch)))
