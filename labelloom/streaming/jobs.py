@@ -7,7 +7,7 @@ micro-batch, with the value that key has now. ``run`` writes them to the label t
 import time
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -48,7 +48,15 @@ def _timed_actions(clicks: DataFrame, searches: DataFrame, lateness: str | None)
         return labels.scored_actions(clicks, searches).withColumn("event_time", F.timestamp_millis("ts_ms"))
     # One watermark per log; Spark goes by the slower one. A log that has gone silent holds the state
     # of both back (spark.sql.streaming.multipleWatermarkPolicy decides).
-    return labels.scored_actions(with_event_time(clicks, lateness), with_event_time(searches, lateness))
+    timed = labels.scored_actions(with_event_time(clicks, lateness), with_event_time(searches, lateness))
+    return timed.select(*[_logged_time(timed) if c == "event_time" else c for c in timed.columns])
+
+
+def _logged_time(timed: DataFrame) -> Column:
+    """The time as logged in place of ``event_time``, which is cut to now for the watermark: a row counts on
+    its own day. The mark of the watermark goes over to it, so the days still leave the state."""
+    mark = timed.schema["event_time"].metadata
+    return F.timestamp_millis("ts_ms").alias("event_time", metadata=mark)
 
 
 def daily_counts(

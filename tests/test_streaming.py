@@ -359,3 +359,18 @@ def test_counts_and_scores_of_rows_far_behind(spark, tmp_path):
     table = label_table(spark, work_folder(spark))
     jobs.run(jobs.score_labels(stream, searched(stream)), table, "score", availableNow=True).awaitTermination(120)
     assert rows_of(table.current()) == rows_of(labels.score_labels(batch, searched(batch)))
+
+
+@pytest.mark.parametrize("lateness", [None, "3 days"])
+def test_a_stamp_ahead_counts_on_its_own_day(spark, tmp_path, lateness):
+    now = int(time.time() * 1000)
+    batches = [[("u", now - DAY), ("u", now + 5 * DAY), ("v", now)], [("u", now), ("v", now + DAY)], [("v", now + DAY + 1)]]
+    stream, batch = clicked(spark, str(tmp_path / "in"), batches)
+    table = label_table(spark, work_folder(spark))
+    jobs.run(jobs.score_labels(stream, searched(stream), lateness), table, "score", availableNow=True).awaitTermination(120)
+    assert rows_of(table.current()) == rows_of(labels.score_labels(batch, searched(batch)))
+    changed = jobs.daily_counts(stream, searched(stream), lateness)
+    table = daily_table(spark, changed)
+    jobs.run(changed, table, "daily", availableNow=True).awaitTermination(120)
+    want = interest.daily_counts(labels.scored_actions(batch, searched(batch)))
+    assert sorted(map(tuple, table.current().collect())) == sorted(map(tuple, want.collect()))
