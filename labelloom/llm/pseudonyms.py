@@ -40,6 +40,8 @@ _NUMBERS = (
     Kind("phone", r"(?<![\d+])\(\d{3}\) ?\d{3}[ .\-]\d{4}(?!\d)|(?<![\d+.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-])"),
     Kind("card", r"(?<![0-9A-Za-z])(?:\d{13,19}+|\d{4}([ \-])\d{4}\1\d{4}\1\d{4}|\d{4}[ \-]\d{6}[ \-]\d{5})(?![0-9A-Za-z])"),
 )
+# ITU country codes: two of one digit, those of two digits, and all others have three.
+_COUNTRY = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 NUMBER = "(?=[0-9+(])(?:" + "|".join(f"(?:{k.pattern})" for k in _NUMBERS) + ")"
 ANY = f"(?:{NUMBER}|{_EMAIL})"
 
@@ -123,12 +125,16 @@ def _card(text: Column, key: str) -> Column:
 
 
 def _phone(text: Column, key: str) -> Column:
-    """The country code stays: the digits after a plus up to the first separator, or the first digit."""
-    code = F.regexp_extract(text, r"^(\+\d{1,3}(?=[ .\-(])|\+\d)?", 0)
-    rest = F.substring(text, F.length(code) + 1, F.length(text))
-    count = F.length(F.regexp_replace(text, r"\D", ""))
-    new = F.concat(code, _let(_of_same_radix(_digits(rest), 10, key, "phone"), lambda d: _refilled(rest, d)))
-    return F.when(count.between(8, 15), new).otherwise(text)
+    """The country code after a plus stays; digits alone decide how long it is, not separators."""
+    def of(digits: Column) -> Column:
+        code = F.when(text.startswith("+"), F.regexp_extract(digits, _COUNTRY, 0)).otherwise("")
+        new = _let(code, lambda c: F.concat(
+            F.filter(F.split(c, ""), lambda d: d != "").cast("array<int>"),
+            _of_same_radix(_digits(F.substring(digits, F.length(c) + 1, F.length(digits))), 10, key, "phone"),
+        ))
+        return F.when(F.length(digits).between(8, 15), _let(new, lambda d: _refilled(text, d))).otherwise(text)
+
+    return _let(F.regexp_replace(text, r"\D", ""), of)
 
 
 def _ip(text: Column, key: str) -> Column:

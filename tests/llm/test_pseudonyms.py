@@ -78,6 +78,21 @@ def test_addresses_phones_and_numbers(replaced):
     assert got[3][0].startswith("+1 (")
 
 
+def test_one_phone_number_however_it_is_separated(replaced):
+    for code, spellings in {
+        "1": ("+1 (415) 555-1234", "+14155551234", "+1.415.555.1234"),
+        "7": ("+7 495 123 45 67", "+74951234567"),
+        "49": ("+49 151 1234 5678", "+4915112345678", "+49-151-1234-5678", "+491 5112 345 678"),
+        "353": ("+353 85 123 4567", "+353851234567"),
+    }.items():
+        for text, (new, found, _) in zip(spellings, got := replaced(*spellings)):
+            assert found == [text] and re.sub(r"\d", "9", new) == re.sub(r"\d", "9", text)
+        digits, = {re.sub(r"\D", "", new) for new, *_ in got}
+        old = re.sub(r"\D", "", spellings[0])
+        rest = [int(d) for d in old[len(code):]]
+        assert digits == code + "".join(map(str, permuted(rest, [10] * len(rest), "phone"))) != old
+
+
 def test_key_decides_and_ids_link(replaced):
     text = "a 10.0.0.1 b 10.0.0.1 c"
     (one, _, values), = replaced(text)
