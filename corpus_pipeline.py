@@ -21,8 +21,8 @@ SHINGLE_WORDS = 5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the table itself knows: those whose text is null or holds no letter
-    go. Without a single labelled row no language is known and every document goes."""
+    """Documents with a letter: those whose text is null or holds none go. A text in a language that no label
+    knows stays. Without a single labelled row no language is known and every document goes."""
     docs = only(docs, *COLUMNS)
     return lang_id.recognised(docs, lang_id.fit(docs))
 
