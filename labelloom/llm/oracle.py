@@ -116,7 +116,91 @@ SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, CAST(length(learned) AS
 FROM said
 """
 
+# CRC-32 by its rule: the table of all bytes, then a byte at a time. ``bytes`` is a list of numbers.
+_CRC_TABLE = """crc AS (
+    SELECT list(c ORDER BY i) AS t FROM (
+        SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                              lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+        FROM (SELECT unnest(range(256)) AS i))
+)"""
+
+
+def _crc32(numbers: str) -> str:
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, {numbers}),
+                       lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
+def _bytes(text: str) -> str:
+    """Of texts up to U+00FF."""
+    return f"""flatten(list_transform(string_split({text}, ''),
+                       lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195, unicode(x)::BIGINT - 64] END))"""
+
+
+def _encoded(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_encoded, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+MERKLE = f"""
+WITH RECURSIVE {_CRC_TABLE},
+given AS (
+    SELECT doc_id, source, {_leaf('text')} AS leaf,
+           CASE WHEN {_crc32(_bytes("CAST(doc_id AS VARCHAR)"))} % 2 = 0
+                THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf('text')} END AS found
+    FROM documents, crc
+),
+nodes AS (
+    SELECT source, 0 AS lvl, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS place, leaf AS digest,
+           count(*) OVER (PARTITION BY source) AS n
+    FROM given
+    UNION ALL
+    SELECT source, lvl + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (any_value(n) + 2) // 3
+    FROM nodes WHERE n > 1 GROUP BY source, lvl, place // 3
+),
+upper_nodes AS (
+    SELECT source AS of, 0 AS lvl, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, digest, count(*) OVER () AS n
+    FROM nodes WHERE n = 1
+    UNION ALL
+    SELECT CAST(NULL AS VARCHAR), lvl + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (any_value(n) + 2) // 3
+    FROM upper_nodes WHERE n > 1 GROUP BY lvl, place // 3
+),
+runs AS (
+    SELECT source, lvl, place // 3 AS run, list(digest ORDER BY place) AS digests FROM nodes WHERE n > 1 GROUP BY ALL
+),
+upper_runs AS (
+    SELECT lvl, place // 3 AS run, list(digest ORDER BY place) AS digests FROM upper_nodes WHERE n > 1 GROUP BY ALL
+),
+climbed AS (
+    SELECT doc_id, source, leaf, 0 AS lvl, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS place, found AS now, '' AS proof
+    FROM given
+    UNION ALL
+    SELECT doc_id, c.source, leaf, c.lvl + 1, place // 3,
+           sha256(array_to_string(digests[:place % 3], '') || now || array_to_string(digests[place % 3 + 2:], '')),
+           proof || array_to_string(digests[:place % 3], '') || array_to_string(digests[place % 3 + 2:], '')
+    FROM climbed c JOIN runs r ON c.source IS NOT DISTINCT FROM r.source AND c.lvl = r.lvl AND place // 3 = run
+),
+subs AS (
+    SELECT c.doc_id, c.leaf, t.digest AS subroot, u.place, now, proof
+    FROM climbed c JOIN nodes t ON c.source IS NOT DISTINCT FROM t.source AND t.n = 1 AND c.lvl = t.lvl
+    JOIN upper_nodes u ON u.lvl = 0 AND c.source IS NOT DISTINCT FROM u.of
+),
+over AS (
+    SELECT doc_id, leaf, subroot, 0 AS lvl, place, now, proof FROM subs
+    UNION ALL
+    SELECT doc_id, leaf, subroot, c.lvl + 1, place // 3,
+           sha256(array_to_string(digests[:place % 3], '') || now || array_to_string(digests[place % 3 + 2:], '')),
+           proof || array_to_string(digests[:place % 3], '') || array_to_string(digests[place % 3 + 2:], '')
+    FROM over c JOIN upper_runs r ON c.lvl = r.lvl AND place // 3 = run
+)
+SELECT doc_id, leaf, subroot, t.digest AS root, sha256(proof) AS proof_sha256, now AS folded_root, now = t.digest AS verified
+FROM over JOIN upper_nodes t ON t.n = 1 AND t.lvl = over.lvl
+"""
+
 SQL = {
+    "op11_merkle": MERKLE,
     "op5_chat": CHAT,
     "op1_quality_rules": QUALITY,
     "op2_decontaminate": DECONTAMINATE,

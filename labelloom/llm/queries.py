@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.llm import (
-    chat, decontaminate, lang_id, near_dups, packing, pseudonyms, quality_model, quality_rules, token_counts, warc,
+    chat, decontaminate, lang_id, merkle, near_dups, packing, pseudonyms, quality_model, quality_rules, token_counts, warc,
 )
 from labelloom.shared import work_folder
 
@@ -103,10 +103,23 @@ def op10_near_dups(spark, sf_dir):
     return near_dups.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    # Every second document is found with its line breaks gone.
+    found = F.when(fold(2) == 0, F.replace(docs["text"], F.lit("\n"), F.lit("")))
+    rows = merkle.manifest(docs, found).withColumn(
+        "folded_root", merkle.folded(F.coalesce("found_leaf", "leaf"), F.col("proof"))
+    )
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_quality_rules, op2_decontaminate, op3_pseudonyms, op4_quality_model, op5_chat, op6_warc,
-        op7_token_counts, op8_packing, op9_lang_id, op10_near_dups,
+        op7_token_counts, op8_packing, op9_lang_id, op10_near_dups, op11_merkle,
     )
 }
