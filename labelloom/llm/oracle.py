@@ -199,7 +199,51 @@ SELECT doc_id, leaf, subroot, t.digest AS root, sha256(proof) AS proof_sha256, n
 FROM over JOIN upper_nodes t ON t.n = 1 AND t.lvl = over.lvl
 """
 
+_LETTERS = "[A-Za-z" + chr(0xC0) + "-" + chr(0xFF) + "]+"
+
+SPELLING = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+    SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '{_LETTERS}')) AS run FROM documents
+),
+hashed AS (
+    SELECT run, n, length(run) AS size, {_crc32(_bytes("CAST(doc_id AS VARCHAR) || ':' || run"))} AS h
+    FROM (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL), crc
+),
+words AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+        SELECT CASE WHEN h % 97 = 0 THEN run[:h % size] || run[h % size + 2:] ELSE run END AS word, n FROM hashed
+    ) WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+),
+cut AS (
+    SELECT word, n, i, word[:i - 1] || word[i + 1:] AS shorter, word[:i - 1] AS a, word[i + 1:] AS b
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+),
+near AS (
+    SELECT DISTINCT cut.word AS x, words.word AS y FROM cut JOIN words ON shorter = words.word
+    UNION SELECT words.word, cut.word FROM cut JOIN words ON shorter = words.word
+    UNION SELECT c.word, d.word FROM cut c JOIN cut d ON c.i = d.i AND c.a = d.a AND c.b = d.b AND c.word != d.word
+),
+best AS (
+    SELECT x, count(*) AS n_near, max(n) AS most FROM near JOIN words ON y = word GROUP BY x
+),
+forms AS (
+    SELECT x AS word, min(y) AS form, any_value(most) AS form_n
+    FROM near JOIN best USING (x) JOIN words w ON y = w.word AND w.n = most JOIN words o ON x = o.word
+    WHERE most >= 2 * o.n GROUP BY x
+),
+led AS (
+    SELECT word, word AS root FROM words
+    UNION ALL
+    SELECT led.word, form FROM led JOIN forms ON led.root = forms.word
+)
+SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, form, form_n, root
+FROM words w LEFT JOIN best ON w.word = x LEFT JOIN forms f ON w.word = f.word
+JOIN led l ON w.word = l.word AND l.root NOT IN (SELECT word FROM forms)
+"""
+
 SQL = {
+    "op12_spelling": SPELLING,
     "op11_merkle": MERKLE,
     "op5_chat": CHAT,
     "op1_quality_rules": QUALITY,
