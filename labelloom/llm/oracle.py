@@ -1,6 +1,6 @@
 """DuckDB SQL of the registered queries that SQL can express."""
 
-from labelloom.llm import near_dups, decontaminate
+from labelloom.llm import decontaminate, jaccard_join, near_dups
 from labelloom.llm.quality_rules import BITS, POLICIES, RULES
 from labelloom.llm.queries import POLICY
 from labelloom.llm.words import WORD
@@ -72,8 +72,10 @@ SELECT doc_id, item_id, CAST(shared_shingles AS BIGINT) AS shared_shingles,
 FROM shared JOIN sizes USING (item_id) WHERE 100 * shared_shingles >= {decontaminate.THRESHOLD} * item_shingles
 """
 
-NEAR_DUPS = f"""
-WITH RECURSIVE shingles AS ({_shingles("documents", "doc_id", near_dups.WIDTH)}),
+
+def _near_dups(width: int, threshold: int, kept: str) -> str:
+    return f"""
+WITH RECURSIVE shingles AS ({_shingles("documents", "doc_id", width)}),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 shared AS (
     SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
@@ -81,7 +83,7 @@ shared AS (
 ),
 links AS (
     SELECT a, b FROM shared JOIN sizes s ON a = s.doc_id JOIN sizes t ON b = t.doc_id
-    WHERE 100 * shared.n >= {near_dups.THRESHOLD} * (s.n + t.n - shared.n)
+    WHERE 100 * shared.n >= {threshold} * (s.n + t.n - shared.n)
 ),
 reached AS (
     SELECT doc_id AS a, doc_id AS b FROM documents
@@ -89,10 +91,14 @@ reached AS (
     SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
 ),
 least AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a)
-SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id{kept}
 FROM documents d JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
+
+NEAR_DUPS = _near_dups(near_dups.WIDTH, near_dups.THRESHOLD, ", d.doc_id = component_id AS kept")
+JACCARD_JOIN = _near_dups(jaccard_join.WIDTH, jaccard_join.THRESHOLD, "")
+
 _CONTROL = r"[<\[](/?s>|/?INST\]|\|(part\||(image|audio|document):))"
 # Length of a text once escaped: every backslash and every control string takes one character more.
 _ESCAPED = f"""2 * length(text) - length(replace(text, chr(92), ''))
@@ -243,6 +249,7 @@ JOIN led l ON w.word = l.word AND l.root NOT IN (SELECT word FROM forms)
 """
 
 SQL = {
+    "op13_jaccard_join": JACCARD_JOIN,
     "op12_spelling": SPELLING,
     "op11_merkle": MERKLE,
     "op5_chat": CHAT,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.llm import (
-    chat, decontaminate, lang_id, merkle, near_dups, packing, pseudonyms, quality_model, quality_rules, spelling, token_counts, warc,
+    chat, decontaminate, jaccard_join, lang_id, merkle, near_dups, packing, pseudonyms, quality_model, quality_rules, spelling, token_counts, warc,
 )
 from labelloom.shared import work_folder
 
@@ -120,10 +120,14 @@ def op12_spelling(spark, sf_dir):
     return spelling.variants(_table(spark, sf_dir, "documents"))
 
 
+def op13_jaccard_join(spark, sf_dir):
+    return jaccard_join.join_components(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_quality_rules, op2_decontaminate, op3_pseudonyms, op4_quality_model, op5_chat, op6_warc,
-        op7_token_counts, op8_packing, op9_lang_id, op10_near_dups, op11_merkle, op12_spelling,
+        op7_token_counts, op8_packing, op9_lang_id, op10_near_dups, op11_merkle, op12_spelling, op13_jaccard_join,
     )
 }
