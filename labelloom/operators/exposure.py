@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from labelloom import dims
 from labelloom.functions.text import quoted
-from labelloom.operators import skew
+from labelloom.operators import ranges
 
 COUNTS = [f"n_{biz}" for biz in dims.EXPOSED_BIZ]
 _NEWEST_FIRST = "PARTITION BY uid ORDER BY ts_ms DESC, event_id DESC"
@@ -101,31 +101,25 @@ def gap_groups(exposures: DataFrame, gap_ms: int = dims.IDLE_GAP_MS) -> DataFram
     return starts.groupBy("uid").agg(F.sum("starts").alias("groups"))
 
 
+_ORDER = ["uid", "ts_ms", "event_id"]
+
+
 def queue_trace(
-    exposures: DataFrame,
-    length: int = dims.QUEUE_LENGTH,
-    gap_ms: int = dims.IDLE_GAP_MS,
-    rows_per_task: int = skew.ROWS_PER_TASK,
+    exposures: DataFrame, length: int = dims.QUEUE_LENGTH, gap_ms: int = dims.IDLE_GAP_MS, parts: int | None = None
 ) -> DataFrame:
     """``uid, ts_ms, event_id, queue``: the queue (oldest first) after every exposure.
 
-    One shuffle and one sort on the user. Users too large for one task are cut into time slices.
+    The exposures are cut into ``parts`` slices of about equal length along ``(uid, ts_ms, event_id)``, whoever
+    they belong to, and move once. A slice that opens within a user is given that user's ``length - 1``
+    exposures before it, which is all that a queue can hold of them, pauses included.
     """
-    rows = exposures.select("uid", "biz", "ts_ms", "event_id")
-    heavy = skew.heavy_users(rows, rows_per_task)
-    if heavy is None:
-        return _queues(rows, ["uid"], length, gap_ms)
-    small = _queues(skew.without(rows, heavy), ["uid"], length, gap_ms)
-    large = skew.sliced(rows, heavy).withColumn("lead_in", F.lit(False))
-    large = large.unionByName(_lead_in(large, length))
-    traced = _queues(large, ["uid", "slice"], length, gap_ms, carry=("lead_in",))
-    return small.unionByName(traced.where(~F.col("lead_in")).drop("lead_in"))
-
-
-def _queues(
-    rows: DataFrame, keys: list[str], length: int, gap_ms: int, carry: tuple[str, ...] = ()
-) -> DataFrame:
-    in_time = f"PARTITION BY {', '.join(keys)} ORDER BY ts_ms, event_id"
+    rows = ranges.sliced(exposures.select("uid", "biz", "ts_ms", "event_id"), _ORDER, parts)
+    led = rows.selectExpr("uid", "biz", "ts_ms", "event_id", "slice", "false AS lead_in").unionByName(_lead_in(rows, length))
+    return _queues(ranges.dealt(led, parts), length, gap_ms)
+
+
+def _queues(rows: DataFrame, length: int, gap_ms: int) -> DataFrame:
+    in_time = "PARTITION BY uid, slice ORDER BY ts_ms, event_id"
     numbered = rows.selectExpr(
         "*",
         f"row_number() OVER ({in_time}) AS place",
@@ -137,19 +131,26 @@ def _queues(
         f"collect_list(biz) OVER ({in_time} ROWS {length - 1} PRECEDING) AS recent",
     )
     size = "least(place - coalesce(start, 1) + 1, size(recent))"
-    return framed.selectExpr("uid", "ts_ms", "event_id", *carry, f"slice(recent, -{size}, {size}) AS queue")
+    return framed.where("NOT lead_in").selectExpr("uid", "ts_ms", "event_id", f"slice(recent, -{size}, {size}) AS queue")
 
 
 def _lead_in(rows: DataFrame, length: int) -> DataFrame:
-    """The ``length - 1`` exposures before each slice, as extra rows of that slice."""
+    """For the user in whom a slice opens, the last ``length - 1`` exposures before it, as extra rows of that slice.
+
+    Of each user at a bound every slice gives its newest ``length - 1`` exposures; those of two neighbours merge into
+    the newest of both, whatever comes first, so the windows below see a few rows for each slice. Input tasks keep
+    no more than these either, a rank filter that Spark applies before the shuffle.
+    """
     newest_first = "PARTITION BY uid, slice ORDER BY ts_ms DESC, event_id DESC"
-    tails = rows.selectExpr("*", f"row_number() OVER ({newest_first}) AS age").where(f"age < {length}")
+    tails = rows.where("opens OR goes_on").selectExpr("*", f"row_number() OVER ({newest_first}) AS age").where(f"age < {length}")
     in_time = "PARTITION BY uid ORDER BY ts_ms, event_id"
     marked = tails.selectExpr(
         "uid",
         "slice",
-        f"coalesce(lag(slice) OVER ({in_time}), -1) <> slice AS opens",
+        f"opens AND coalesce(lag(slice) OVER ({in_time}), slice) <> slice AS first",
         f"collect_list(struct(biz, ts_ms, event_id)) OVER ({in_time} ROWS BETWEEN {length - 1} PRECEDING"
         " AND 1 PRECEDING) AS before",
     )
-    return marked.where("opens").selectExpr("uid", "slice", "inline(before)", "true AS lead_in")
+    return marked.where("first").selectExpr("uid", "inline(before)", "slice", "true AS lead_in").select(
+        "uid", "biz", "ts_ms", "event_id", "slice", "lead_in"
+    )

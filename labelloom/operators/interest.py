@@ -11,7 +11,7 @@ from labelloom import dims
 from labelloom.functions.calendar import day_number
 from labelloom.functions.scoring import weighted, with_softmax
 from labelloom.functions.text import quoted
-from labelloom.operators import skew
+from labelloom.operators import ranges
 
 COUNTS = [f"{channel}_{biz}" for channel in dims.CHANNELS for biz in dims.SCORED_BIZ]
 CLICK_COUNTS = COUNTS[: len(dims.SCORED_BIZ)]
@@ -75,51 +75,52 @@ def latest_counts(actions: DataFrame, offset_ms: int = dims.DAY_OFFSET_MS) -> Da
     ]))
 
 
-def counts_trace(
-    actions: DataFrame,
-    offset_ms: int = dims.DAY_OFFSET_MS,
-    rows_per_task: int = skew.ROWS_PER_TASK,
-) -> DataFrame:
-    """The ten two-day counts after every event, next to ``uid, channel, ts_ms, event_id``.
-
-    One shuffle on the user. Users too large for one task are cut into time slices.
-    """
-    rows = with_day(actions, offset_ms)
-    heavy = skew.heavy_users(rows, rows_per_task)
-    if heavy is None:
-        return _trace_by_user(rows)
-    small = _trace_by_user(skew.without(rows, heavy))
-    return small.unionByName(_trace_by_slice(skew.sliced(rows, heavy)))
-
-
 _TRACE_KEYS = ["uid", "channel", "ts_ms", "event_id"]
+_ORDER = ["uid", "ts_ms", "event_id"]
 # Everything up to two days ago has dropped out of the two-day counts.
-_TOO_OLD = "PARTITION BY uid ORDER BY day RANGE BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING"
+_TOO_OLD = "PARTITION BY uid, slice ORDER BY day RANGE BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING"
 
 
-def _trace_by_user(rows: DataFrame) -> DataFrame:
-    # Both windows are keyed by the user and ordered by day first: one shuffle, one sort.
-    so_far = "PARTITION BY uid ORDER BY day, ts_ms, event_id ROWS UNBOUNDED PRECEDING"
-    running = rows.selectExpr(*_TRACE_KEYS, "day", *[f"sum({h}) OVER ({so_far}) AS {c}" for c, h in HITS.items()])
-    # Running counts only grow, so the highest one up to two days ago is what has dropped out.
-    return running.selectExpr(*_TRACE_KEYS, *[f"{c} - coalesce(max({c}) OVER ({_TOO_OLD}), 0) AS {c}" for c in COUNTS])
-
+def counts_trace(actions: DataFrame, offset_ms: int = dims.DAY_OFFSET_MS, parts: int | None = None) -> DataFrame:
+    """The ten two-day counts after every event, next to ``uid, channel, ts_ms, event_id``.
 
-def _trace_by_slice(rows: DataFrame) -> DataFrame:
-    keys = ["uid", "day", "slice"]
-    totals = rows.groupBy(*keys).agg(*aggregates(HIT_SUMS))
-    # The same two windows as above, over one row per slice: what the slice starts from.
-    so_far = "PARTITION BY uid ORDER BY day, slice ROWS UNBOUNDED PRECEDING"
-    summed = totals.selectExpr("*", *[f"sum({c}) OVER ({so_far}) AS {c}_sum" for c in COUNTS])
-    carried = summed.selectExpr(
-        *keys, *[f"{c}_sum - {c} - coalesce(max({c}_sum) OVER ({_TOO_OLD}), 0) AS {c}_before" for c in COUNTS]
+    The events are cut into ``parts`` slices of about equal length along ``(uid, ts_ms, event_id)``, whoever they
+    belong to, and move once. Within a slice the counts run as a window; what the user in whom a slice
+    opens did before is carried over. Events that agree in user, time and id stay in one slice.
+    """
+    rows = ranges.sliced(with_day(actions, offset_ms), _ORDER, parts)
+    so_far = "PARTITION BY uid, slice ORDER BY day, ts_ms, event_id ROWS UNBOUNDED PRECEDING"
+    # Both windows are keyed by user and slice and ordered by day first: one shuffle, one sort.
+    running = ranges.dealt(rows.drop("goes_on"), parts).selectExpr(
+        *_TRACE_KEYS, "day", "slice", "opens", *[f"sum({h}) OVER ({so_far}) AS {c}" for c, h in HITS.items()]
+    )
+    # Running counts only grow, so the highest one up to two days ago is what has dropped out.
+    own = running.selectExpr(
+        *_TRACE_KEYS, "day", "slice", "opens", *[f"{c} - coalesce(max({c}) OVER ({_TOO_OLD}), 0) AS {c}" for c in COUNTS]
     )
-    # The events keep the partitioning of their window for the join below.
-    within = "PARTITION BY uid, day, slice ORDER BY ts_ms, event_id ROWS UNBOUNDED PRECEDING"
-    running = rows.selectExpr(
-        *_TRACE_KEYS, "day", "slice", *[f"sum({h}) OVER ({within}) AS {c}" for c, h in HITS.items()]
+    # A slice has one opening user at most, so this is a row for each slice at most.
+    traced = own.join(F.broadcast(_carried(rows)), F.expr("opens AND slice = _slice AND uid = _uid"), "left")
+    return traced.selectExpr(*_TRACE_KEYS, *[
+        f"{c} + CASE WHEN day = _day THEN _today_{c} + _yesterday_{c} WHEN day = _day + 1 THEN _today_{c} ELSE 0 END AS {c}"
+        for c in COUNTS
+    ])
+
+
+def _carried(rows: DataFrame) -> DataFrame:
+    """For the user in whom a slice opens: the first day there, and what earlier slices counted on that day and on
+    the day before. Only users at a bound are summed up, by slice and day, before anything moves."""
+    totals = rows.where("opens OR goes_on").groupBy("uid", "slice", "day").agg(
+        *aggregates(HIT_SUMS), F.bool_or("opens").alias("opens")
+    ).repartition("uid")  # which serves all three windows
+    earlier = "PARTITION BY uid, day ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    yesterday = "PARTITION BY uid ORDER BY day RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING"
+    carried = totals.selectExpr(
+        "uid AS _uid", "slice AS _slice", "day AS _day", "opens",
+        "min(day) OVER (PARTITION BY uid, slice) AS first_day",
+        *[f"coalesce(sum({c}) OVER ({earlier}), 0) AS _today_{c}" for c in COUNTS],
+        *[f"coalesce(sum({c}) OVER ({yesterday}), 0) AS _yesterday_{c}" for c in COUNTS],
     )
-    return running.join(carried, keys).selectExpr(*_TRACE_KEYS, *[f"{c} + {c}_before AS {c}" for c in COUNTS])
+    return carried.where("opens AND _day = first_day").drop("opens", "first_day")
 
 
 def own_channel_counts() -> list[str]:

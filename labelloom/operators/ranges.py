@@ -41,21 +41,26 @@ def sliced(rows: DataFrame, order: list[str], parts: int | None = None) -> DataF
     first column, the group: ``opens``, if the bound below the slice is of this group (only then may rows of
     the group lie in earlier slices), and ``goes_on``, if the bound above is (only then in later ones).
 
-    The search goes by halves, in as many steps as ``parts`` has bits, all of them generated code.
+    The search goes by halves, in as many steps as ``parts`` has bits.
     """
     parts = parts or parts_of(rows)
-    # The array is read where it is, by reference; as a column every row would carry it along.
     at = bounds(rows, order, parts).scalar()
-    key = F.struct(*order)
-    found = rows.withColumn("slice", F.lit(0))
-    for step in (1 << b for b in reversed(range(max(1, (parts - 1).bit_length())))):
-        up = F.col("slice") + step
-        found = found.withColumn("slice", F.when(F.get(at, up - 1) <= key, up).otherwise(F.col("slice")))
-    group = order[0]
-    return found.withColumns({
-        "opens": F.coalesce(F.get(at, F.col("slice") - 1)[group].eqNullSafe(F.col(group)) & (F.col("slice") > 0), F.lit(False)),
-        "goes_on": F.coalesce(F.get(at, F.col("slice"))[group].eqNullSafe(F.col(group)) & (F.col("slice") < F.size(at)), F.lit(False)),
-    })
+    keys, group = ", ".join(f"`{c}`" for c in order), order[0]
+    steps = ", ".join(str(1 << b) for b in reversed(range(max(1, (parts - 1).bit_length()))))
+    # Spark takes no subquery within a lambda, but its optimizer moves one there: _bounds is named once, and a generator
+    # keeps the columns below apart. So the array is read where it is, and rows do not carry it along.
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    rows = rows.select("*", F.explode(F.array(F.lit(0))).alias("_apart")).select(*columns, at.alias("_bounds"))
+    search = f"aggregate(array({steps}), 0, (low, step) -> low + if(get(_bounds, low + step - 1) <= struct({keys}), step, 0))"
+    found = rows.select(*columns, F.expr(search).alias("slice"))
+
+    def bound_is_of_group(place) -> F.Column:
+        return F.coalesce(F.get(at, place)[group].eqNullSafe(F.col(group)), F.lit(False))
+
+    return found.select(
+        "*", ((F.col("slice") > 0) & bound_is_of_group(F.col("slice") - 1)).alias("opens"),
+        ((F.col("slice") < F.size(at)) & bound_is_of_group(F.col("slice"))).alias("goes_on"),
+    )
 
 
 def dealt(rows: DataFrame, parts: int | None = None) -> DataFrame:

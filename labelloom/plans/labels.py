@@ -5,7 +5,7 @@
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelloom import dims
@@ -107,9 +107,11 @@ def all_labels(clicks: DataFrame, searches: DataFrame, exposures: DataFrame, zon
     )
 
 
-def visible(labels: DataFrame, as_of_ms: int) -> DataFrame:
-    """What a reader sees at ``as_of_ms``: expired cells are gone."""
-    return labels.where(f"expire_ts IS NULL OR expire_ts > {as_of_ms}L")
+def visible(labels: DataFrame, as_of_ms: int | Column) -> DataFrame:
+    """What a reader sees at ``as_of_ms``: expired cells are gone. The time may be a scalar subquery, which then is part
+    of the plan."""
+    now = as_of_ms if isinstance(as_of_ms, Column) else F.lit(as_of_ms)
+    return labels.where(F.col("expire_ts").isNull() | (F.col("expire_ts") > now))
 
 
 def living_from(labels: DataFrame, now_ms: int) -> DataFrame:

@@ -330,7 +330,7 @@ def label_table_long(spark, sf_dir):
 
 
 def labels_as_of(spark, sf_dir):
-    newest = _exposures(spark, sf_dir).agg(F.max("ts_ms").alias("ts")).first()["ts"]
+    newest = _exposures(spark, sf_dir).agg(F.max("ts_ms")).scalar()
     return _never_as_minus_one(labels.visible(_all_labels(spark, sf_dir), newest))
 
 

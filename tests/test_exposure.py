@@ -4,7 +4,7 @@ from itertools import combinations, permutations
 import pytest
 from model import DAY, SIX, exposure_texts, queues
 
-from labelloom.operators import exposure, skew
+from labelloom.operators import exposure
 from labelloom.plans import labels
 
 T0 = 1_700_000_000_000
@@ -113,17 +113,29 @@ def test_trace_latest_and_gap_groups_against_the_model(spark, seed, gap):
     assert batch_texts(spark, df, gap_ms=gap) == newest
 
 
-@pytest.mark.parametrize("seed, rows_per_task, gap", [(21, 30, DAY), (22, 100, DAY // 4), (23, 5, 2 * DAY)])
-def test_sliced_users_give_the_same_trace(spark, seed, rows_per_task, gap):
+@pytest.mark.parametrize("seed, parts, gap", [(21, 4, DAY), (22, 16, DAY // 4), (23, 60, 2 * DAY)])
+def test_slices_do_not_show(spark, seed, parts, gap):
     rows = random_shown(seed, hot_share=0.5)
-    df = shown(spark, rows)
-    assert "hot" in {r["uid"] for r in skew.heavy_users(df, rows_per_task).collect()}
-    got = exposure.queue_trace(df, gap_ms=gap, rows_per_task=rows_per_task).collect()
+    got = exposure.queue_trace(shown(spark, rows), gap_ms=gap, parts=parts).collect()
     want, _ = queues(rows, gap)
     assert len(got) == len(rows)
     assert {r["event_id"]: r["queue"] for r in got} == want
 
 
+@pytest.mark.parametrize("parts", [2, 9, 50])
+def test_a_queue_longer_than_a_slice(spark, parts):
+    """Slices shorter than a queue: the entries before one come from several others, across pauses."""
+    rng = random.Random(parts)
+    times, t = [], T0
+    for _ in range(200):
+        t += rng.choice([0, 0, 1, 1_000, DAY // 3, DAY])
+        times.append(t)
+    rows = [("u", rng.choice(SIX), t, i) for i, t in enumerate(times)] + [("t", "family", T0, 500), ("v", "number", T0, 501)]
+    got = exposure.queue_trace(shown(spark, rows), gap_ms=DAY, parts=parts).collect()
+    assert {r["event_id"]: r["queue"] for r in got} == queues(rows, DAY)[0] and len(got) == len(rows)
+    assert exposure.queue_trace(shown(spark, [])).count() == 0
+
+
 def test_exposure_labels(spark):
     rows = [("u1", "familyModel", "首页-专享", T0, 0), ("u1", "otherModel", "首页-专享", T0 + 9, 1)]
     log = spark.createDataFrame(rows, "uid string, biz_type string, storey string, ts_ms bigint, event_id bigint")

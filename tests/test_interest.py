@@ -4,7 +4,7 @@ import random
 import pytest
 from model import DAY, FIVE, HOUR, two_day_counts
 
-from labelloom.operators import interest, skew
+from labelloom.operators import interest
 from labelloom.plans import labels
 
 T0 = 1_700_000_000_000
@@ -40,34 +40,24 @@ def test_counts_trace_against_the_model(spark, seed):
     assert_trace(trace_of(spark, rows), rows)
 
 
-@pytest.mark.parametrize("seed, rows_per_task", [(11, 40), (12, 100), (13, 7)])
-def test_sliced_users_give_the_same_trace(spark, seed, rows_per_task):
-    rows = random_actions(seed, hot_share=0.5)
-    df = spark.createDataFrame(rows, ACTION_DDL)
-    heavy = {r["uid"] for r in skew.heavy_users(df, rows_per_task).collect()}
-    sizes = {u: sum(r[0] == u for r in rows) for u in {r[0] for r in rows}}
-    assert heavy == {u for u, n in sizes.items() if n > rows_per_task} and "hot" in heavy
-    assert_trace(trace_of(spark, rows, rows_per_task=rows_per_task), rows)
-
+@pytest.mark.parametrize("seed, parts, days", [(11, 2, 5), (12, 7, 5), (13, 40, 9), (14, 90, 2)])
+def test_slices_do_not_show(spark, seed, parts, days):
+    rows = random_actions(seed, hot_share=0.5, days=days)
+    assert_trace(trace_of(spark, rows, parts=parts), rows)
 
-def test_no_heavy_users_below_the_limit(spark):
-    df = spark.createDataFrame(random_actions(1), ACTION_DDL)
-    assert skew.heavy_users(df, 600) is None
-    assert skew.heavy_users(df.where("uid = 'nobody'"), 1) is None
 
+@pytest.mark.parametrize("parts", [3, 40])
+def test_days_across_many_slices(spark, parts):
+    """One user, three days of which one is nearly empty and one holds nearly everything within a second."""
+    rng = random.Random(parts)
+    times = [T0 - DAY + rng.randrange(DAY // 2) for _ in range(20)] + [T0] * 300 + [T0 + DAY + i for i in range(60)] + [T0 + 2 * DAY] * 9
+    rows = [("u", rng.choice(["click", "search"]), rng.choice(FIVE), t, i) for i, t in enumerate(times)]
+    rows += [("v", "click", "family", T0 + DAY, 1_000), ("a", "click", "family", T0, 1_001)]
+    assert_trace(trace_of(spark, rows, parts=parts), rows)
 
-def test_any_number_of_users_can_be_heavy(spark):
-    rows = [(f"u{i % 1200}", "click", "family", T0 + i, i) for i in range(12_000)]
-    heavy = skew.heavy_users(spark.createDataFrame(rows, ACTION_DDL), 9)
-    assert heavy.count() == 1200
 
-
-def test_slices_bound_the_rows_of_a_task(spark):
-    rows = [("hot", "click", "family", T0 + i * 1000, i) for i in range(10_000)]
-    df = spark.createDataFrame(rows, ACTION_DDL)
-    cut = skew.sliced(df, skew.heavy_users(df, 1_000))
-    sizes = [r["count"] for r in cut.groupBy("slice").count().collect()]
-    assert sum(sizes) == 10_000 and max(sizes) <= 1_000
+def test_a_trace_of_nothing(spark):
+    assert interest.counts_trace(spark.createDataFrame([], ACTION_DDL)).count() == 0
 
 
 @pytest.mark.parametrize("seed", range(3))

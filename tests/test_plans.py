@@ -88,11 +88,30 @@ def test_exposure_filters_reach_the_scan(spark, tmp_path):
     assert "EqualTo(storey,首页-专享)" in pushed and "In(biz_type" in pushed
 
 
-def test_sliced_trace_shuffles_the_events_once(spark, sf_dir):
-    """Next to the events only slice totals move, and they are scanned and added up once."""
-    from labelloom.operators import interest
-
-    heavy = plan(interest.counts_trace(queries._scored(spark, sf_dir), rows_per_task=7))
-    sliced_part = heavy[heavy.index("SortMergeJoin [uid"):]
-    assert sliced_part.count("Exchange hashpartitioning(uid#") == 4
-    assert sliced_part.count("partial_sum") >= 1 and sliced_part.count("SortMergeJoin") == 1
+TRACES = ["biz_actions_trace", "biz_score_trace", "biz_label_trace", "expose_last12_trace", "expose_counts_trace", "expose_label_trace"]
+
+
+def exchanges(text):
+    """The keys of all shuffles of a plan, subqueries not counted."""
+    return re.findall(r"Exchange (\w+)", text)
+
+
+@pytest.mark.parametrize("name", TRACES)
+def test_traces_move_the_events_once(spark, sf_dir, name):
+    """To the partition of their slice; windows over the whole user see only a few rows for each slice."""
+    text = plan(queries.BATCH[name](spark, sf_dir))
+    assert exchanges(text).count("shufflepartitionidpassthrough") == 1
+    if name.startswith("biz"):
+        assert "partial_sum" in text and "BroadcastHashJoin" in text
+    else:
+        assert "WindowGroupLimit" in text
+
+
+@pytest.mark.parametrize("name", [*TRACES, "labels_as_of"])
+def test_no_job_runs_while_a_query_is_built(spark, sf_dir, name):
+    spark.sparkContext.setJobGroup(f"building {name}", "")
+    try:
+        queries.BATCH[name](spark, sf_dir)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"building {name}")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
