@@ -26,13 +26,13 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelloom.llm.components import components
 from labelloom.llm.words import mixed, only, shingle_set, texts
 from labelloom.operators.ranges import parts_of
-from labelloom.shared import cut, work_folder
+from labelloom.shared import cut
 
 WIDTH = 5
 # Link documents with 100 * intersection >= THRESHOLD * union.
@@ -40,6 +40,9 @@ THRESHOLD = 80
 # Sets compared with one pivot in one task.
 COMPARED = 256
 CENTRAL_ROUNDS = 2
+# Rows and bits a row of the bitmap of wanted ids.
+_BITMAPS, _BITS = 2048, 32_768
+_DOCS_PER_FILE = 5_000
 _SLICE = 256  # documents of a batch that are worked on at once
 
 
@@ -67,22 +70,28 @@ def _fingerprint(hashes: np.ndarray) -> tuple[int, int]:
 
 
 def _sized(width: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("fp0", pa.int64()), ("fp1", pa.int64())])
+    schema = pa.schema([
+        ("doc_id", pa.int64()), ("n", pa.int64()), ("fp0", pa.int64()), ("fp1", pa.int64()), ("prefix", pa.list_(pa.int64())),
+    ])
 
     def size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(at, _SLICE) for at in range(0, batch.num_rows, _SLICE)):
                 own = [shingle_set(text.lower().split(), width) for text in texts(part)]
-                prints = [_fingerprint(s) for s in own]
-                columns = [[len(s) for s in own], [p[0] for p in prints], [p[1] for p in prints]]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(c, pa.int64()) for c in columns]], schema=schema)
+                sizes, prints = [len(s) for s in own], [_fingerprint(s) for s in own]
+                # The sets are sorted by hash.
+                prefixes = [s[: prefix_length(n, matches(n))].view(np.int64) if n else [] for s, n in zip(own, sizes)]
+                columns = [sizes, [p[0] for p in prints], [p[1] for p in prints], prefixes]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), *[pa.array(c, t) for c, t in zip(columns, schema.types[1:])]], schema=schema
+                )
 
     return size
 
 
-def _sets(width: int, prefixes: bool):
-    """The set of every class, once in a task; or its prefix in the order of hashes."""
-    schema = pa.schema([("cls", pa.int64()), ("n", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+def _full_sets(width: int):
+    """The set of every class, once in a task."""
+    schema = pa.schema([("cls", pa.int64()), ("n", pa.int64()), ("signed", pa.list_(pa.int64()))])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
@@ -96,30 +105,45 @@ def _sets(width: int, prefixes: bool):
                     if _fingerprint(own) != (fp0, fp1):
                         continue  # another text of the same id
                     seen.add(cls)
-                    n = len(own)
                     names.append(cls)
-                    sizes.append(n)
-                    # The set is sorted by hash.
-                    chosen.append((own[: prefix_length(n, matches(n))] if prefixes else own).view(np.int64))
+                    sizes.append(len(own))
+                    chosen.append(own.view(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((names, sizes, chosen), schema.types)], schema=schema)
 
     return sets
 
 
-def _texts_of(docs: DataFrame, classes: DataFrame, folder: str) -> DataFrame:
-    """The texts that stand for ``classes``. As a table their size is known, so Spark joins them without moving the
-    texts while they are few, and by a shuffle otherwise."""
-    classes.select(F.col("least").alias("doc_id"), "cls", "fp0", "fp1").write.parquet(folder)
-    named = docs.sparkSession.read.schema("doc_id bigint, cls bigint, fp0 bigint, fp1 bigint").parquet(folder)
-    return docs.join(named, "doc_id").select("cls", "fp0", "fp1", "text")
+def _texts_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The texts that stand for ``classes``; only few others move with them.
 
+    A bitmap of fixed size marks the hashes of the ids that are wanted. It is broadcast, ``_BITMAPS`` rows of 4 KB whatever
+    the input; texts that it rules out stay where they are.
+    """
+    named = classes.select(F.col("least").alias("doc_id"), "cls", "fp0", "fp1")
+
+    def place(column: str) -> str:
+        return f"pmod(xxhash64({column}), {_BITMAPS * _BITS}L)"
+
+    marks = named.selectExpr(f"{place('doc_id')} AS place").groupBy(F.expr(f"int(place div {_BITS}) AS bucket")).agg(
+        F.expr(f"bitmap_construct_agg(place % {_BITS}) AS bits")
+    )
+    wanted = f"bit_get(bigint(conv(hex(substring(bits, int(place % {_BITS} div 8) + 1, 1)), 16, 10)), int(place % 8)) = 1"
+    likely = docs.withColumn("place", F.expr(place("doc_id"))).withColumn("bucket", F.expr(f"int(place div {_BITS})"))
+    likely = likely.join(F.broadcast(marks), "bucket").where(wanted).select("doc_id", "text")
+    return likely.join(named, "doc_id").select("cls", "fp0", "fp1", "text")
 
-_SETS = "cls bigint, n bigint, shingles array<bigint>"
 
+def _sifted(classes: DataFrame) -> DataFrame:
+    """``cls`` of the sets whose prefixes hold enough shingles of others. A partner may be smaller, down to the threshold.
 
-def _sifted(prefixes: DataFrame) -> DataFrame:
-    """``cls`` of the sets whose prefixes hold enough shingles of others. A partner may be smaller, down to the threshold."""
-    spread = prefixes.select("cls", "n", F.explode("shingles").alias("shingle"))
+    Hashes are cut to as many bits as tell this many shingles apart in most cases: a false match only lets a set
+    through to the exact steps.
+    """
+    total = classes.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    bits = min(64, total.bit_length() + 6)
+    spread = classes.select("cls", "n", F.explode("prefix").alias("shingle")).withColumn(
+        "shingle", F.shiftrightunsigned("shingle", 64 - bits)
+    )
     shared = spread.groupBy("shingle").agg(F.count("*").alias("held")).where("held > 1").select("shingle")
     found = spread.join(shared, "shingle").groupBy("cls", "n").agg(F.count("*").alias("found"))
     return found.where(f"found >= 1 + {_needed('n')} div 20").select("cls")
@@ -165,12 +189,12 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """
     salts = pairs.groupBy("pivot").agg(F.expr(f"bigint(count(*) div {COMPARED} + 1) AS salts"))
     own = salts.join(sets, salts["pivot"] == sets["cls"]).select(
-        "pivot", F.explode(F.expr("sequence(0L, salts - 1)")).alias("salt"), F.lit(None).cast("bigint").alias("member"), "signed"
+        "pivot", F.explode(F.expr("sequence(0L, salts - 1)")).alias("salt"), F.lit(None).cast("bigint").alias("member"), F.col("signed").alias("shingles")
     )
     others = pairs.join(salts, "pivot").join(sets, F.col("member") == F.col("cls")).selectExpr(
-        "pivot", "pmod(xxhash64(member), salts) AS salt", "member", "signed"
+        "pivot", "pmod(xxhash64(member), salts) AS salt", "member", "signed AS shingles"
     )
-    met = own.unionByName(others).withColumnRenamed("signed", "shingles").repartition(parts_of(sets), "pivot", "salt")
+    met = own.unionByName(others).repartition(parts_of(sets), "pivot", "salt")
     met = met.sortWithinPartitions("pivot", "salt", F.col("member").asc_nulls_first())
     return met.mapInArrow(_compared, "a bigint, b bigint")
 
@@ -221,13 +245,13 @@ def adapted(placed: DataFrame) -> DataFrame:
     return chosen.where("first <= 1").drop("first")
 
 
-def _multi_match_pairs(placed: DataFrame, component_of: DataFrame) -> DataFrame:
+def _multi_match_pairs(placed: DataFrame, component_of: DataFrame, files: int) -> DataFrame:
     """``pivot, member``: the pairs of different components that agree in as many prefix shingles as the smaller l says."""
     named = placed.join(component_of, "cls")
     by_component = named.groupBy("shingle", "component").agg(F.count("*").alias("own"))
     totals = by_component.groupBy("shingle").agg(F.sum("own").alias("all"), F.count("*").alias("components")).where("components > 1")
     crossing = by_component.join(totals, "shingle").selectExpr("shingle", "component", "all - own AS others")
-    named = cut(named.join(crossing, ["shingle", "component"]))
+    named = cut(named.join(crossing, ["shingle", "component"]), files)
     chosen = named.join(adapted(named), "cls").where(f"place <= n - {_needed('n')} + l").select(
         "shingle", "cls", "component", "n", "l"
     )
@@ -239,24 +263,25 @@ def _multi_match_pairs(placed: DataFrame, component_of: DataFrame) -> DataFrame:
     return agreeing.selectExpr("cls AS pivot", "cls_b AS member")
 
 
-def _component_of(sets: DataFrame, links: DataFrame | None) -> DataFrame:
+def _component_of(sets: DataFrame, links: DataFrame | None, files: int) -> DataFrame:
     if links is None:
         return sets.selectExpr("cls", "cls AS component")
-    found = components(links).withColumnRenamed("node", "cls")
-    return cut(sets.select("cls").join(found, "cls", "left").selectExpr("cls", "coalesce(component, cls) AS component"))
+    found = components(links, files).withColumnRenamed("node", "cls")
+    return cut(sets.select("cls").join(found, "cls", "left").selectExpr("cls", "coalesce(component, cls) AS component"), files)
 
 
-def class_links(sets: DataFrame) -> DataFrame:
-    """Links ``a, b`` that join all classes that any path of links joins; not all links within a component."""
-    placed = cut(_placed(sets))
-    links, component_of = None, _component_of(sets, None)
+def class_links(sets: DataFrame, files: int) -> DataFrame:
+    """Links ``a, b`` that join all classes that any path of links joins; not all links within a component. ``files`` is
+    how many files an intermediate result may have."""
+    placed = cut(_placed(sets), files)
+    links, component_of = None, _component_of(sets, None, files)
     for _ in range(CENTRAL_ROUNDS):
-        found = cut(confirmed(cut(_central_pairs(placed, component_of)), sets))
+        found = cut(confirmed(cut(_central_pairs(placed, component_of), files), sets), files)
         if found.isEmpty():
             break
         links = found if links is None else links.unionByName(found)
-        component_of = _component_of(sets, links)
-    found = cut(confirmed(cut(_multi_match_pairs(placed, component_of)), sets))
+        component_of = _component_of(sets, links, files)
+    found = cut(confirmed(cut(_multi_match_pairs(placed, component_of, files), files), sets), files)
     return found if links is None else links.unionByName(found)
 
 
@@ -270,27 +295,31 @@ def join_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     row with the size of its own set. Repeated rows come out as often as they went in. A row without an id links
     with nothing, its ``component_id`` is null. Further columns play no part.
     """
-    spark: SparkSession = docs.sparkSession
     docs = only(docs, "doc_id", "text")
-    rows = cut(docs.mapInArrow(_sized(width), "doc_id bigint, n bigint, fp0 bigint, fp1 bigint"))
+    rows = cut(docs.mapInArrow(_sized(width), "doc_id bigint, n bigint, fp0 bigint, fp1 bigint, prefix array<bigint>"))
     linkable = rows.where("n > 0 AND doc_id IS NOT NULL")
-    classes = cut(linkable.groupBy("fp0", "fp1").agg(F.min("doc_id").alias("least"))).withColumn("cls", F.monotonically_increasing_id())
-    folder = work_folder(spark)
-    prefixes = cut(_texts_of(docs, classes, f"{folder}/classes").mapInArrow(_sets(width, prefixes=True), _SETS))
-    left = cut(_sifted(prefixes))
+    files = rows.count() // _DOCS_PER_FILE
+    # Equal sets have equal prefixes; copies meet in the task that made them before any moves.
+    classes = cut(
+        linkable.groupBy("fp0", "fp1").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("prefix").alias("prefix")),
+        files,
+    ).withColumn("cls", F.monotonically_increasing_id())
+    left = cut(_sifted(classes), files)
+    classes = classes.select("fp0", "fp1", "least", "cls")
     sets = cut(
-        _texts_of(docs, classes.join(left, "cls"), f"{folder}/left").mapInArrow(_sets(width, prefixes=False), _SETS)
-        .withColumnRenamed("shingles", "signed").dropDuplicates(["cls"])
+        _texts_of(docs, classes.join(left, "cls")).mapInArrow(_full_sets(width), "cls bigint, n bigint, signed array<bigint>")
+        .dropDuplicates(["cls"]),
+        files,
     )
-    links = class_links(sets)
+    links = class_links(sets, files)
     of_rows = linkable.join(classes, ["fp0", "fp1"]).select("doc_id", "n", "cls")
     # An id with several texts joins their classes.
     twice = of_rows.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where("a < z")
     same = of_rows.join(twice, "doc_id").select(F.col("cls").alias("a"), F.col("a").alias("b")).where("a != b").distinct()
-    joined = components(links.unionByName(same)).withColumnRenamed("node", "cls")
+    joined = components(links.unionByName(same), files).withColumnRenamed("node", "cls")
     grouped = classes.join(joined, "cls", "left").selectExpr("fp0", "fp1", "least", "coalesce(component, cls) AS component")
     ids = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = cut(grouped.join(ids, "component").select("fp0", "fp1", "component_id"))
+    named = cut(grouped.join(ids, "component").select("fp0", "fp1", "component_id"), files)
     of_docs = linkable.join(named, ["fp0", "fp1"]).selectExpr("doc_id", "n AS n_shingles", "component_id")
     alone = rows.where("n = 0 OR doc_id IS NULL").selectExpr("doc_id", "n AS n_shingles")
     # An empty text may share its id with another.
