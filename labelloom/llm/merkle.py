@@ -34,6 +34,7 @@ PROOF = "array<struct<before: string, after: string>>"
 _STEP = pa.struct([("before", pa.string()), ("after", pa.string())])
 _TOPS = "tree binary, block bigint, n bigint, early string, top string"
 _ROWS_A_BATCH = 4096
+_LEAVES_A_FILE = 20_000
 _PLACED = ["tree", "place", "digest", "subroot", "steps"]
 
 
@@ -215,7 +216,7 @@ def _forest(nodes: DataFrame, fan: int, height: int) -> tuple[DataFrame, list[Da
         rounds.append(blocks)
         tops = cut(
             _by_block(blocks.select("tree", "block", "place", "digest")).mapInArrow(_climbed(fan, height), _TOPS),
-            files=ranges.parts_of(nodes),
+            files=nodes.count() // size // _LEAVES_A_FILE,
         )
         # A tree ends in the round in which it is one block.
         single = tops.groupBy("tree").agg(F.max("block").alias("last"), F.min(F.when(F.col("block") == 0, F.col("early"))).alias("early"))
@@ -277,8 +278,9 @@ def prove(
     tree = F.expr(f"if(`{group}` IS NULL, X'00', concat(X'01', encode(`{group}`, 'UTF-8')))")
     columns = list(dict.fromkeys([*order, *carry, "leaf"]))
     # Written once: the leaves are read for the sample, the counts and the rows, but hashed only here.
-    placed = ranges.numbered(cut(leaves.select(tree.alias("tree"), *columns)), "tree", [*order, "leaf"])
-    nodes = cut(placed.select("tree", "place", F.col("leaf").alias("digest"), *carry))
+    given = cut(leaves.select(tree.alias("tree"), *columns))
+    placed = ranges.numbered(given, "tree", [*order, "leaf"])
+    nodes = cut(placed.select("tree", "place", F.col("leaf").alias("digest"), *carry), files=given.count() // _LEAVES_A_FILE)
     tops, rounds = _forest(nodes, fan, height)
     tops = cut(tops, files=1)
     named = tops.selectExpr("X'' AS all", "tree AS of", "digest")
