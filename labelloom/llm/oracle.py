@@ -205,6 +205,25 @@ SELECT doc_id, leaf, subroot, t.digest AS root, sha256(proof) AS proof_sha256, n
 FROM over JOIN upper_nodes t ON t.n = 1 AND t.lvl = over.lvl
 """
 
+# Base 32 of a digest in hex: five hex digits are four letters.
+_BASE32 = """array_to_string(list_transform(range(32),
+           lambda i: alphabet[((digits[i // 4 + 1] >> (15 - 5 * (i % 4))) & 31) + 1]), '')"""
+
+WARC = f"""
+WITH hashed AS (
+    SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567' AS alphabet FROM pages
+),
+spelt AS (
+    SELECT *, list_transform(range(8), lambda i: CAST('0x' || hex[5 * i + 1:5 * i + 5] AS INTEGER)) AS digits,
+           min(page_id) OVER (PARTITION BY html) AS least
+    FROM hashed
+)
+SELECT page_id, strlen(html) AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id != least THEN least END AS refers_to, true AS intact
+FROM spelt
+"""
+
 _LETTERS = "[A-Za-z" + chr(0xC0) + "-" + chr(0xFF) + "]+"
 
 SPELLING = f"""
@@ -249,6 +268,7 @@ JOIN led l ON w.word = l.word AND l.root NOT IN (SELECT word FROM forms)
 """
 
 SQL = {
+    "op6_warc": WARC,
     "op13_jaccard_join": JACCARD_JOIN,
     "op12_spelling": SPELLING,
     "op11_merkle": MERKLE,

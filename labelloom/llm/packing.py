@@ -7,16 +7,18 @@ opened, going by the words that are still to come. All permitted lengths are opt
 also tried as the least size of new bins, every bin is finally downsized to the smallest length that
 holds its contents, and the cheapest outcome stands.
 
-Pieces are dealt by a hash into shards of about ``SHARD`` pieces, each packed by itself. The price is at
-most a few half-empty bins per shard; no task ever holds more, and the outcome does not depend on the
-machines.
+Pieces are dealt by a hash into shards of about ``SHARD`` pieces, each packed by itself. Pieces that are equal in
+all they show are numbered and dealt by their number too, so however many rows are alike, a shard stays
+a shard. The price is at most a few half-empty bins per shard; no task ever holds more, and the outcome
+does not depend on the machines.
 """
 
 from bisect import bisect_left
 from collections.abc import Callable, Iterable
 from typing import NamedTuple
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,9 +27,11 @@ from labelloom.shared import cut
 
 LENGTHS = (512, 1024, 2048, 4096)
 SHARD = 5_000
+_COPIES = 1_000  # equal pieces that one task spells out at a time
 PACKED = (
     "doc_id bigint, piece bigint, start bigint, length bigint, bin_id string, capacity bigint, offset bigint"
 )
+_PIECE = ["doc_id", "piece", "start", "length"]
 
 
 def cost(capacity: int) -> float:
@@ -111,20 +115,33 @@ def pack(lengths: list[int], permitted: tuple[int, ...] = LENGTHS) -> list[tuple
 
 
 def _shard_packer(permitted: tuple[int, ...]):
-    def packed(key: tuple[int, ...], rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
+    # Arrow keeps ids whole that a float could not hold, whether or not a null is among them.
+    def packed(rows: pa.Table) -> pa.Table:
+        keys = [("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("copy", "ascending")]
+        rows = rows.take(pc.sort_indices(rows, sort_keys=keys))
+        shard = rows["shard"][0].as_py()
         bin_ids, capacities, offsets = [None] * len(rows), [0] * len(rows), [0] * len(rows)
-        lengths = rows["length"].tolist()
+        lengths = rows["length"].to_pylist()
         for number, (capacity, b) in enumerate(pack(lengths, permitted)):
             at = 0
             for i in b.items:
-                bin_ids[i], capacities[i], offsets[i] = f"{key[0]}-{number}", capacity, at
+                bin_ids[i], capacities[i], offsets[i] = f"{shard}-{number}", capacity, at
                 at += lengths[i]
-        return rows[["doc_id", "piece", "start", "length"]].assign(bin_id=bin_ids, capacity=capacities, offset=offsets)
+        of_bins = [pa.array(bin_ids, pa.string()), pa.array(capacities, pa.int64()), pa.array(offsets, pa.int64())]
+        return pa.table([*rows.select(_PIECE).columns, *of_bins], names=[*_PIECE, "bin_id", "capacity", "offset"])
 
     return packed
 
 
+def _numbered(cuts: DataFrame) -> DataFrame:
+    """The pieces with ``copy``, which numbers equal ones. Equal rows are counted before anything moves and spelt out
+    again ``_COPIES`` at a time, so no task ever holds all rows of a key."""
+    counted = cuts.groupBy(*_PIECE).agg(F.count("*").alias("n"))
+    parted = counted.withColumn("part", F.explode(F.expr(f"sequence(0L, (n - 1) div {_COPIES})"))).repartition(*_PIECE, "part")
+    copies = f"sequence(part * {_COPIES}, least(n, (part + 1) * {_COPIES}) - 1)"
+    return parted.select(*_PIECE, F.explode(F.expr(copies)).alias("copy"))
+
+
 def pieces(lengths: DataFrame, longest: int) -> DataFrame:
     """``doc_id, piece, start, length`` of every document of ``doc_id, n``; one empty piece where n is 0."""
     last = F.expr(f"greatest((n - 1) div {longest}, 0L)")
@@ -147,14 +164,14 @@ def pack_documents(docs: DataFrame, permitted: Iterable[int] = LENGTHS, shard: i
     permitted = tuple(sorted(set(permitted)))
     longest = permitted[-1]
     n = word_count(docs["text"]) if length is None else F.greatest(F.coalesce(length, F.lit(0)), F.lit(0)).cast("bigint")
-    cuts = cut(pieces(docs.select(docs["doc_id"], n.alias("n")), longest))
+    cuts = cut(_numbered(pieces(docs.select(docs["doc_id"], n.alias("n")), longest)))
     loose = cuts.where(f"length > 0 AND length < {longest}")
     shards = max(1, -(-loose.count() // shard))
-    dealt = loose.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "length"), F.lit(shards)))
-    fit = dealt.groupBy("shard").applyInPandas(_shard_packer(permitted), PACKED)
+    dealt = loose.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "length", "copy"), F.lit(shards)))
+    fit = dealt.groupBy("shard").applyInArrow(_shard_packer(permitted), PACKED)
     full = cuts.where(f"length = {longest}").selectExpr(
         "doc_id", "piece", "start", "length",
-        "concat('full-', coalesce(string(doc_id), 'null'), '-', piece, '-', monotonically_increasing_id()) AS bin_id",
+        "concat('full-', coalesce(string(doc_id), 'null'), '-', piece, '-', start, '-', copy) AS bin_id",
         f"{longest}L AS capacity", "0L AS offset",
     )
     empty = cuts.where("length = 0").selectExpr(

@@ -19,7 +19,6 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -224,10 +223,10 @@ def write(
     shards = max(1, -(-(total[1] or 0) // shard_bytes))
     bounds = _bounds(pages, shards, max(1, total[0]))
 
-    @F.pandas_udf("bigint")
-    def shard_of(page_id: pd.Series) -> pd.Series:
-        placed = np.searchsorted(bounds, page_id.fillna(-(2**63)).to_numpy(np.int64), side="right")
-        return pd.Series(placed, page_id.index)
+    # Over Arrow, where a null does not turn the ids of its batch into floats.
+    @F.arrow_udf("bigint")
+    def shard_of(page_id: pa.Array) -> pa.Array:
+        return pa.array(np.searchsorted(bounds, page_id.fill_null(-(2**63)).to_numpy(), side="right"), pa.int64())
 
     keyed = pages.select("page_id", F.sha1("html").alias("sha1"), F.octet_length("html").alias("size"))
     shared = keyed.where(F.col("size") >= min_revisit_bytes)
@@ -240,9 +239,9 @@ def write(
         "page_id", F.sha1("html").alias("sha1"), F.lit(True).alias("is_page"), F.lit(None).cast("bigint").alias("leader"),
         "url", "html",
     )
-    # Notes of what a page revisits travel along and sort before the page, so payloads move once.
+    # Notes of what a page revisits travel along and sort before the page, so payloads move once. Shard i is partition i.
     sorted_ = (
-        rows.unionByName(notes).withColumn("shard", shard_of("page_id")).repartition(shards, "shard")
+        rows.unionByName(notes).withColumn("shard", shard_of("page_id")).repartitionById(shards, F.col("shard").cast("int"))
         .sortWithinPartitions("shard", "page_id", "sha1", "is_page", "url")
     )
     fs, path = pafs.FileSystem.from_uri(folder)

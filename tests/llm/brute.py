@@ -19,7 +19,7 @@ def shingles(ws: list[bytes], width: int) -> set[tuple[bytes, ...]]:
     return {tuple(ws[i : i + width]) for i in range(len(ws) - width + 1)}
 
 
-def near_duplicates(docs: list[tuple[int, str | None]], width: int = 4) -> dict[int, int]:
+def near_duplicates(docs: list[tuple[int, str | None]], width: int) -> dict[int, int]:
     """Component of every document, by comparing all pairs that share a shingle."""
     sets = {i: shingles(lower_words(t), width) for i, t in docs}
     parent = {i: i for i in sets}

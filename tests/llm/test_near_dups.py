@@ -13,7 +13,7 @@ def result(frame):
 
 
 def expected(docs):
-    found = brute.near_duplicates(docs)
+    found = brute.near_duplicates(docs, width=4)
     return {i: (len(brute.shingles(brute.lower_words(t), 4)), found[i], found[i] == i) for i, t in docs}
 
 

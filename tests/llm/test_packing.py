@@ -95,3 +95,27 @@ def test_given_lengths_and_cheaper_bins(docs_of):
     assert len({r.bin_id for r in rows}) == 14  # three to a bin of 1024: cheaper than forty of 512
     assert {r.length for r in k.pack_documents(docs, length=F.lit(None).cast("int")).collect()} == {0}
     assert k.cost(1024) < 2 * k.cost(512) and pytest.approx(k.cost(512)) == 592
+
+
+def test_large_ids_next_to_null_ones(docs_of):
+    """Ids that a float cannot tell apart, in one shard with a null id."""
+    ids = [2**60 + 1, 2**60 + 3, -(2**60) - 1, -(2**60) - 3, None, None]
+    rows = k.pack_documents(docs_of([(i, "w " * (n + 1)) for n, i in enumerate(ids)]), LENGTHS).collect()
+    assert sorted((str(r.doc_id), r.length) for r in rows) == sorted((str(i), n + 1) for n, i in enumerate(ids))
+
+
+def test_equal_pieces_are_dealt_to_all_shards(spark):
+    """Rows without an id that are all alike: a third and more of everything, in no shard more than in others."""
+    docs = spark.range(30_000).selectExpr("if(id < 24000, NULL, id) AS doc_id", "'a b c' AS text")
+    rows = k.pack_documents(docs, (32, 64), shard=5_000)
+    shards = {}
+    for r in rows.collect():
+        shards[r.bin_id.split("-")[0]] = shards.get(r.bin_id.split("-")[0], 0) + 1
+    sizes = sorted(shards.values())
+    assert sum(sizes) == 30_000 and len(sizes) == 6 and sizes[-1] < 1.2 * sizes[0]
+
+
+def test_bins_do_not_depend_on_the_partitioning(docs_of):
+    docs = docs_of([(i % 50, "w " * (i * 7 % 90)) for i in range(400)] + [(None, "w " * 40)] * 5)
+    one, two = (sorted(map(str, k.pack_documents(docs.repartition(n), LENGTHS, shard=40).collect())) for n in (1, 9))
+    assert one == two

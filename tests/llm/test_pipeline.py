@@ -8,7 +8,7 @@ from labelloom.llm.words import WORD
 def test_run_against_brute_force(spark, sf_dir, documents):
     packed = pipeline.run(spark, sf_dir).collect()
     rows = {r.doc_id: r.text for r in documents.collect() if lang_id.has_letter(r.text or "")}
-    groups = brute.near_duplicates(list(rows.items()))
+    groups = brute.near_duplicates(list(rows.items()), width=pipeline.SHINGLE_WORDS)
     kept = [(i, t) for i, t in rows.items() if groups[i] == i]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     leaked = {i for i, _ in brute.contained(kept, items)}
@@ -45,7 +45,7 @@ def test_near_duplicates_are_judged_by_five_words(spark, sf_dir, docs_of):
 
 
 def test_near_duplicate_stage_against_brute_force(spark, sf_dir, documents):
-    groups = brute.near_duplicates([(r.doc_id, r.text) for r in documents.collect()], width=5)
+    groups = brute.near_duplicates([(r.doc_id, r.text) for r in documents.collect()], width=pipeline.SHINGLE_WORDS)
     kept = [r.doc_id for r in pipeline.near_duplicates(spark, documents, sf_dir).select("doc_id").collect()]
     assert sorted(kept) == sorted(i for i, group in groups.items() if group == i)
 

@@ -75,6 +75,21 @@ def test_all_ids_null_and_empty_table(spark, pages_of):
     assert w.read(spark, written(spark, pages_of([]))).count() == 0
 
 
+@pytest.mark.parametrize("shard_bytes", [60, 400, 1 << 20])
+def test_large_ids_next_to_null_ones(spark, pages_of, shard_bytes):
+    """Ids that a float cannot tell apart, negative ones and a null in one batch."""
+    ids = [2**60 + i for i in range(30)] + [-(2**60) - i for i in range(30)]
+    pages = [(i, f"u{i}", f"page {k % 20} " + "x" * (k % 7)) for k, i in enumerate(ids)] + [(None, "n", "alone")]
+    rows = w.read(spark, written(spark, pages_of(pages).coalesce(1), shard_bytes=shard_bytes)).collect()
+    least = {}
+    for i, _, html in pages[:-1]:
+        least[html] = min(i, least.get(html, i))
+    want = {i: ("response", None) if least[html] == i else ("revisit", least[html]) for i, _, html in pages[:-1]} | {None: ("response", None)}
+    assert {r.page_id: (r.record_type, r.refers_to) for r in rows} == want and len(rows) == len(pages)
+    one, two = (files(written(spark, pages_of(rows).repartition(n), shard_bytes=shard_bytes)) for rows, n in ((pages, 1), (pages[::-1], 7)))
+    assert one == two
+
+
 def test_cut_archive_is_an_error():
     import io
 
