@@ -1,6 +1,7 @@
 """What every job needs on a cluster: a folder all machines see, checkpoints in it, and this package
 on the executors."""
 
+import gc
 import tempfile
 import uuid
 
@@ -48,3 +49,10 @@ def cut(df: DataFrame, files: int | None = None) -> DataFrame:
     if files is not None:
         df = df.coalesce(max(files, 2 * context.defaultParallelism))
     return df.checkpoint(eager=True)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner remove the shuffles (and, where it may, the checkpoints) of frames that nothing refers to any
+    more. It goes by the collection of objects on the driver, which has no reason to run while only disks fill up."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
