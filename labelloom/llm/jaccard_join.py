@@ -7,8 +7,8 @@ the prefixes, the more must agree before a pair is worth a look (Wang, Li, Feng,
 in l: the smaller of two binds.
 
 1. Rows with equal sets make a class; nothing below handles a class more than once. A class has a number.
-2. A first sieve needs no statistics: in the order of hashes, a set whose prefix of l = 1 + n / 20 holds too few
-   shingles that any other set's prefix holds is linked with nothing. It moves a quarter of the shingles.
+2. A first sieve needs no statistics: in the order of hashes, a set whose prefix of l = 1 + n / 10 holds too few
+   shingles that any other set's prefix holds is linked with nothing. It moves three tenths of the shingles.
 3. The sets left are put in the order of rarity, counted exactly. Shingles of one set alone come first and match
    nothing; they only take up places.
 4. Groups of near copies would make pairs without end. Each set is first compared with the most central
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from labelloom.llm.components import components
 from labelloom.llm.words import mixed, only, shingle_set, texts
 from labelloom.operators.ranges import parts_of
-from labelloom.shared import cut
+from labelloom.shared import cut, release
 
 WIDTH = 5
 # Link documents with 100 * intersection >= THRESHOLD * union.
@@ -57,7 +57,7 @@ def needed(n: int) -> int:
 
 def matches(n: int) -> int:
     """How many agreeing shingles the first sieve asks for at a set of ``n``; it grows with ``n``."""
-    return 1 + n // 20
+    return 1 + n // 10
 
 
 def prefix_length(n: int, least: int) -> int:
@@ -146,7 +146,7 @@ def _sifted(classes: DataFrame) -> DataFrame:
     )
     shared = spread.groupBy("shingle").agg(F.count("*").alias("held")).where("held > 1").select("shingle")
     found = spread.join(shared, "shingle").groupBy("cls", "n").agg(F.count("*").alias("found"))
-    return found.where(f"found >= 1 + {_needed('n')} div 20").select("cls")
+    return found.where(f"found >= 1 + {_needed('n')} div 10").select("cls")
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +189,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """
     salts = pairs.groupBy("pivot").agg(F.expr(f"bigint(count(*) div {COMPARED} + 1) AS salts"))
     own = salts.join(sets, salts["pivot"] == sets["cls"]).select(
-        "pivot", F.explode(F.expr("sequence(0L, salts - 1)")).alias("salt"), F.lit(None).cast("bigint").alias("member"), F.col("signed").alias("shingles")
+        "pivot", F.explode(F.expr("sequence(0L, salts - 1)")).alias("salt"), F.lit(None).cast("bigint").alias("member"),
+        F.col("signed").alias("shingles"),
     )
     others = pairs.join(salts, "pivot").join(sets, F.col("member") == F.col("cls")).selectExpr(
         "pivot", "pmod(xxhash64(member), salts) AS salt", "member", "signed AS shingles"
@@ -274,6 +275,7 @@ def class_links(sets: DataFrame, files: int) -> DataFrame:
     """Links ``a, b`` that join all classes that any path of links joins; not all links within a component. ``files`` is
     how many files an intermediate result may have."""
     placed = cut(_placed(sets), files)
+    release(sets.sparkSession)
     links, component_of = None, _component_of(sets, None, files)
     for _ in range(CENTRAL_ROUNDS):
         found = cut(confirmed(cut(_central_pairs(placed, component_of), files), sets), files)
@@ -285,6 +287,23 @@ def class_links(sets: DataFrame, files: int) -> DataFrame:
     return found if links is None else links.unionByName(found)
 
 
+def _classes(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Narrow rows (``doc_id, n, fp0, fp1``), the classes (``fp0, fp1, least, cls``), and the ``cls`` that the sieve leaves. The prefixes
+    are not needed after that."""
+    rows = cut(docs.mapInArrow(_sized(width), "doc_id bigint, n bigint, fp0 bigint, fp1 bigint, prefix array<bigint>"))
+    narrow = cut(rows.drop("prefix"))
+    files = narrow.count() // _DOCS_PER_FILE
+    # Equal sets have equal prefixes; copies meet in the task that made them before any moves.
+    classes = cut(
+        rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("fp0", "fp1").agg(
+            F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
+        ),
+        files,
+    ).withColumn("cls", F.monotonically_increasing_id())
+    left = cut(_sifted(classes), files)
+    return narrow, cut(classes.select("fp0", "fp1", "least", "cls")), left
+
+
 def join_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``.
 
@@ -296,21 +315,16 @@ def join_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     with nothing, its ``component_id`` is null. Further columns play no part.
     """
     docs = only(docs, "doc_id", "text")
-    rows = cut(docs.mapInArrow(_sized(width), "doc_id bigint, n bigint, fp0 bigint, fp1 bigint, prefix array<bigint>"))
-    linkable = rows.where("n > 0 AND doc_id IS NOT NULL")
+    rows, classes, left = _classes(docs, width)
     files = rows.count() // _DOCS_PER_FILE
-    # Equal sets have equal prefixes; copies meet in the task that made them before any moves.
-    classes = cut(
-        linkable.groupBy("fp0", "fp1").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("prefix").alias("prefix")),
-        files,
-    ).withColumn("cls", F.monotonically_increasing_id())
-    left = cut(_sifted(classes), files)
-    classes = classes.select("fp0", "fp1", "least", "cls")
+    release(docs.sparkSession)
+    linkable = rows.where("n > 0 AND doc_id IS NOT NULL")
     sets = cut(
-        _texts_of(docs, classes.join(left, "cls")).mapInArrow(_full_sets(width), "cls bigint, n bigint, signed array<bigint>")
-        .dropDuplicates(["cls"]),
-        files,
+        _texts_of(docs, classes.join(left, "cls")).mapInArrow(_full_sets(width), "cls bigint, n bigint, signed array<bigint>"), files
     )
+    names = sets.select("cls")
+    if names.count() > names.distinct().count():  # repeated rows, met in several tasks
+        sets = cut(sets.dropDuplicates(["cls"]), files)
     links = class_links(sets, files)
     of_rows = linkable.join(classes, ["fp0", "fp1"]).select("doc_id", "n", "cls")
     # An id with several texts joins their classes.
@@ -323,6 +337,8 @@ def join_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     of_docs = linkable.join(named, ["fp0", "fp1"]).selectExpr("doc_id", "n AS n_shingles", "component_id")
     alone = rows.where("n = 0 OR doc_id IS NULL").selectExpr("doc_id", "n AS n_shingles")
     # An empty text may share its id with another.
-    other = of_docs.join(alone.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component_id").alias("of_id"))
+    other = of_docs.join(alone.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(
+        F.min("component_id").alias("of_id")
+    )
     alone = alone.join(other, "doc_id", "left").selectExpr("doc_id", "n_shingles", "coalesce(of_id, doc_id) AS component_id")
     return of_docs.unionByName(alone)
