@@ -52,7 +52,11 @@ def latest_counts(actions: DataFrame, offset_ms: int = dims.DAY_OFFSET_MS) -> Da
     Columns: uid, last_click_ts, last_search_ts, ``at_click`` and ``at_search`` (own-channel counts
     or NULL), ``at_last`` (all ten counts).
     """
-    days = with_day(actions, offset_ms).groupBy("uid", "day").agg(*aggregates(HIT_SUMS + LAST_SEEN))
+    return latest_of_days(with_day(actions, offset_ms).groupBy("uid", "day").agg(*aggregates(HIT_SUMS + LAST_SEEN)))
+
+
+def latest_of_days(days: DataFrame) -> DataFrame:
+    """The same from ``uid, day``, the ten counts of each day, ``last_click_ts`` and ``last_search_ts``."""
     before = days.selectExpr(
         "*", f"lag(struct(day, {', '.join(COUNTS)})) OVER (PARTITION BY uid ORDER BY day) AS before"
     )

@@ -69,11 +69,20 @@ def scored_actions(clicks: DataFrame, searches: DataFrame) -> DataFrame:
 
 def latest_scores(actions: DataFrame, on_flat: str = "nan") -> DataFrame:
     """Per user the scores at the last event and the count texts at the last click and search."""
+    return _scored(interest.latest_counts(actions), on_flat)
+
+
+def scores_of_days(days: DataFrame, on_flat: str = "nan") -> DataFrame:
+    """The same from day totals (see ``interest.latest_of_days``)."""
+    return _scored(interest.latest_of_days(days), on_flat)
+
+
+def _scored(latest: DataFrame, on_flat: str) -> DataFrame:
     own = [
         f"if(at_{ch} IS NULL, NULL, {counts_text([f'at_{ch}.{c}' for c in names])}) AS biz_{ch}"
         for ch, names in zip(dims.CHANNELS, (interest.CLICK_COUNTS, interest.SEARCH_COUNTS))
     ]
-    latest = interest.latest_counts(actions).selectExpr(
+    latest = latest.selectExpr(
         f"{row_key()} AS row_key", "last_click_ts", "last_search_ts", *own, "at_last.*"
     )
     return interest.with_scores(interest.with_raw_scores(latest), on_flat)

@@ -262,6 +262,7 @@ def build() -> dict[str, str]:
         "stream_last_biz": _sql(_actions(_BIZ), _last("actions", "last_action"),
                                 select=f"SELECT md5(uid) AS row_key, {_LAST_TEXT} AS user_last_biz FROM last_action"),
         "stream_daily_counts": _sql(scored, select="SELECT uid, day, channel, biz, count(*) AS n FROM actions GROUP BY ALL"),
+        "stream_daily_counts_late": _sql(scored, select="SELECT uid, day, channel, biz, count(*) AS n FROM actions GROUP BY ALL"),
         "stream_biz_score": _sql(*_all_labels(), select="""SELECT * FROM label_rows
   WHERE label IN ('biz_score', 'biz_click', 'biz_search')"""),
         "stream_exposure": _sql(_SHOWN, _queues(), _LAST_QUEUE, _queue_texts(),

@@ -1,5 +1,6 @@
 """The registered queries: one per operator, over the whole ``events`` table."""
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,7 @@ from labelloom.sources import events_table as ev
 from labelloom.sources.ingest import ingest, read_ingested
 from labelloom.sources.logs import file_backfill
 from labelloom.sources.parse import parse, read_log, rejects, with_event_time
-from labelloom.streaming import jobs
+from labelloom.streaming import bounded, jobs
 from labelloom.streaming.store import ChangeTable, label_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -395,31 +396,62 @@ def stream_biz_score(spark, sf_dir):
     return _never_as_minus_one(_to_end(jobs.score_labels(clicks, searches), table, "biz_score"))
 
 
-def _arriving_late(spark: SparkSession, sf_dir: str) -> str:
-    """The events in four parts in the order of arrival: every fifth event comes two days late. One
-    micro-batch reads one part."""
+LATENESS_MS = 10 * dims.DAY_MS
+_PARTS = 4
+
+
+def _arriving_late(spark: SparkSession, sf_dir: str, start: Callable) -> None:
+    """The events in four parts in the order of arrival: every fifth event comes two days late. After each part the
+    job that ``start(events, behind_ms)`` begins runs to its end, by a clock that shows the part's last arrival; two
+    thirds of a part are on time then, the rest is late."""
     folder = work_folder(spark)
     arrival = F.unix_millis("ts") + F.when(F.col("event_id") % 5 == 0, 2 * dims.DAY_MS).otherwise(0)
     events = ev.read_events(spark, sf_dir).withColumn("arrival", arrival)
     first, last = events.agg(F.min("arrival"), F.max("arrival")).first()
-    for part in range(4):
-        rows = events.where(F.expr(f"(arrival - {first}L) * 4 div {last - first + 1}L = {part}")).drop("arrival")
-        rows.coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
-    return folder
+    for part in range(_PARTS):
+        rows = events.where(F.expr(f"(arrival - {first}L) * {_PARTS} div {last - first + 1}L = {part}")).drop("arrival")
+        rows.write.mode("append").parquet(f"{folder}/events.parquet")
+        clock = first + (last - first + 1) * (part + 1) // _PARTS
+        start(ev.stream_events(spark, folder), int(time.time() * 1000) - clock).awaitTermination()
+
+
+def stream_daily_counts_late(spark, sf_dir):
+    ledger = table = None
+
+    def start(events, behind_ms):
+        nonlocal ledger, table
+        rows = bounded.count_rows(ev.click_log(events), ev.search_log(events), LATENESS_MS, behind_ms)
+        if table is None:
+            ledger = bounded.Ledger(spark, f"{work_folder(spark)}/ledger", rows.schema)
+            table = ChangeTable(spark, work_folder(spark), rows.drop("late").schema, ["uid", "day", "channel", "biz"])
+        return jobs.run(rows, table, "daily_counts", cells=bounded.count_cells(ledger), availableNow=True)
+
+    _arriving_late(spark, sf_dir, start)
+    return table.current()
 
 
 def stream_biz_score_late(spark, sf_dir):
-    late = _arriving_late(spark, sf_dir)
-    sources = [_ADAPTERS[log.name](ev.stream_events(spark, late, maxFilesPerTrigger="1")) for log in LOGS]
-    table = label_table(spark, work_folder(spark))
-    return _never_as_minus_one(_to_end(jobs.score_labels(*sources[:2]), table, "biz_score"))
+    table, folder = label_table(spark, work_folder(spark)), work_folder(spark)
+
+    def start(events, behind_ms):
+        rows = bounded.score_rows(ev.click_log(events), ev.search_log(events), LATENESS_MS, behind_ms)
+        ledger = bounded.Ledger(spark, folder, rows.schema)
+        return jobs.run(rows, table, "biz_score", cells=bounded.score_cells(ledger), availableNow=True)
+
+    _arriving_late(spark, sf_dir, start)
+    return _never_as_minus_one(table.current())
 
 
 def stream_exposure_late(spark, sf_dir):
-    late = _arriving_late(spark, sf_dir)
-    source = ev.exposure_log(ev.stream_events(spark, late, maxFilesPerTrigger="1"))
-    rows = _to_end(jobs.exposure_labels(source), label_table(spark, work_folder(spark)), "exposure")
-    return labels.wide(rows, ["expose_least_biz_7d", "expose_biz_his"], rest=None)
+    table, folder = label_table(spark, work_folder(spark)), work_folder(spark)
+
+    def start(events, behind_ms):
+        rows = bounded.exposure_rows(ev.exposure_log(events), LATENESS_MS, behind_ms)
+        ledger = bounded.Ledger(spark, folder, rows.schema)
+        return jobs.run(rows, table, "exposure", cells=bounded.exposure_cells(ledger), availableNow=True)
+
+    _arriving_late(spark, sf_dir, start)
+    return labels.wide(table.current(), ["expose_least_biz_7d", "expose_biz_his"], rest=None)
 
 
 def stream_exposure(spark, sf_dir):
@@ -432,6 +464,6 @@ STREAM: dict[str, Query] = {
     f.__name__: f
     for f in (
         stream_number_counts, stream_last_biz, stream_daily_counts, stream_biz_score, stream_exposure, stream_biz_score_late,
-        stream_exposure_late,
+        stream_exposure_late, stream_daily_counts_late,
     )
 }

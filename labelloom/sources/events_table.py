@@ -28,8 +28,8 @@ def stream_events(spark: SparkSession, sf_dir: str, **options: str) -> DataFrame
     """The table as a stream, whether it is one file or a folder of part files."""
     path = f"{sf_dir}/events.parquet"
     reader = spark.readStream.schema(EVENTS_DDL).options(**options)
-    files = read_events(spark, sf_dir).inputFiles()
-    if len(files) == 1 and files[0].endswith("/events.parquet"):
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if location.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(location).isFile():
         # A stream reads folders: the one the file lies in, and there nothing else.
         return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     return reader.parquet(path)

@@ -2,9 +2,14 @@
 
 Each job is a streaming DataFrame of label rows in update mode: one row per touched key and
 micro-batch, with the value that key has now. ``run`` writes them to the label table.
+
+The state of these jobs waits for late events for ever, or, with a ``lateness``, drops what comes later than that
+against the newest event of the log; only Spark's numRowsDroppedByWatermark tells. Jobs that bound their
+state and lose nothing are in ``streaming.bounded``; ``run`` takes their rows with ``cells``.
 """
 
 import time
+from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,13 +25,6 @@ from labelloom.sources.parse import with_event_time
 from labelloom.streaming import queue_state
 from labelloom.streaming.store import ChangeTable
 
-# How long state waits for late events, against the newest event of the log. By default for ever: no row is
-# late and no state leaves, as for the counters. A live job may bound its state by a delay, e.g. "3 days" for
-# scores and "7 days" for exposures; rows later than that are then dropped, and only Spark's
-# numRowsDroppedByWatermark tells.
-DAILY_LATENESS: str | None = None
-SCORE_LATENESS: str | None = None
-EXPOSURE_LATENESS: str | None = None
 _STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -60,7 +58,7 @@ def _logged_time(timed: DataFrame) -> Column:
 
 
 def daily_counts(
-    clicks: DataFrame, searches: DataFrame, lateness: str | None = DAILY_LATENESS, offset_ms: int = dims.DAY_OFFSET_MS
+    clicks: DataFrame, searches: DataFrame, lateness: str | None = None, offset_ms: int = dims.DAY_OFFSET_MS
 ) -> DataFrame:
     """``uid, day, channel, biz, n`` per calendar day; with a ``lateness`` a day's state goes when the day is closed."""
     actions = _timed_actions(clicks, searches, lateness)
@@ -74,7 +72,7 @@ def daily_counts(
 def score_labels(
     clicks: DataFrame,
     searches: DataFrame,
-    lateness: str | None = SCORE_LATENESS,
+    lateness: str | None = None,
     offset_ms: int = dims.DAY_OFFSET_MS,
     on_flat: str = "nan",
 ) -> DataFrame:
@@ -99,7 +97,7 @@ def score_labels(
 
 def exposure_labels(
     exposures: DataFrame,
-    lateness: str | None = EXPOSURE_LATENESS,
+    lateness: str | None = None,
     length: int = dims.QUEUE_LENGTH,
     gap_ms: int = dims.IDLE_GAP_MS,
     pad_below: int = dims.PAD_BELOW,
@@ -110,7 +108,7 @@ def exposure_labels(
     whatever the timestamps say; then there is no watermark and no event is ever late. Such a query
     keeps checking its clock: it runs until it is stopped, ``availableNow`` does not end it."""
     shown = classify.exclusive_exposures(exposures.drop("event_time"))
-    trimmed = shown.select("uid", "biz", "ts_ms", "event_id").mapInPandas(
+    trimmed = shown.select("uid", "biz", "ts_ms", "event_id").mapInArrow(
         queue_state.keep_newest(length), queue_state.TRIMMED
     )
     bounded = lateness is not None and not wall_clock
@@ -138,17 +136,24 @@ def _state_store(spark: SparkSession):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def run(changed: DataFrame, table: ChangeTable, job: str, ttl_from_clock: bool = False, **trigger) -> StreamingQuery:
+def run(
+    changed: DataFrame, table: ChangeTable, job: str, ttl_from_clock: bool = False,
+    cells: Callable[[DataFrame, int], DataFrame] | None = None, **trigger,
+) -> StreamingQuery:
     """Starts a job. A sink error fails the micro-batch, which is then replayed into its folder.
 
     With ``ttl_from_clock`` labels live from the moment they are written, so those of a stream that lags
     behind can be read; else they live from their event, as in a backfill.
 
+    ``cells`` makes label rows of a micro-batch, for streams that do not hold them yet (see ``bounded``).
+
     ``trigger`` is passed to Spark, e.g. ``processingTime="10 seconds"`` or ``availableNow=True``.
     The number of state partitions is ``spark.sql.shuffle.partitions`` of the first start.
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
+        if cells is not None:
+            rows = cells(rows, batch_id)
         table.write(job, labels.living_from(rows, int(time.time() * 1000)) if ttl_from_clock else rows, batch_id)
 
     writer = (

@@ -4,7 +4,9 @@ import heapq
 from collections.abc import Iterator
 from itertools import chain
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -18,21 +20,36 @@ OUTPUT = T.StructType([
     T.StructField("uid", T.StringType()),
     T.StructField("last_ts", T.LongType()),
     T.StructField("queue", T.ArrayType(T.StringType())),
+    T.StructField("entries", T.ArrayType(ENTRY)),
 ])
 TRIMMED = "uid string, biz string, ts_ms bigint, event_id bigint"
 
 
 def keep_newest(length: int):
     """Map-side trim: of each Arrow batch only the newest ``length`` rows of a user go on, so a
-    very active user cannot flood one state task. No newer row is lost by it."""
-
-    def trim(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            yield rows.sort_values(["ts_ms", "event_id"]).groupby("uid", sort=False).tail(length)
+    very active user cannot flood one state task. No newer row is lost by it. Ids stay whole numbers, a
+    missing one is older than all others of its time."""
+
+    def trim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = [("uid", "ascending"), ("ts_ms", "descending"), ("event_id", "descending")]
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = batch.take(pc.sort_indices(pa.table(batch), sort_keys=keys, null_placement="at_end"))
+            users = rows.column("uid").dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            first = np.flatnonzero(np.r_[True, users[1:] != users[:-1]])
+            age = np.arange(len(users)) - np.repeat(first, np.diff(np.r_[first, len(users)]))
+            yield rows.filter(pa.array(age < length))
 
     return trim
 
 
+def _in_order(entry: tuple) -> tuple:
+    """Sorts entries by time, then id, a missing one first."""
+    ts_ms, event_id, biz = entry
+    return ts_ms, event_id is not None, event_id or 0, biz
+
+
 class LastExposures(StatefulProcessor):
     """Keeps the newest ``length`` exposures of a user and emits the queue after every micro-batch.
 
@@ -56,7 +73,7 @@ class LastExposures(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         known = [tuple(e) for e in self._entries.get()]
         arrived = ((r["ts_ms"], r["event_id"], r["biz"]) for r in rows)
-        newest = sorted(heapq.nlargest(self._length, chain(known, arrived)))
+        newest = heapq.nlargest(self._length, chain(known, arrived), key=_in_order)[::-1]
         self._entries.put(newest)
         last_ts, start = newest[-1][0], 0
         if not self._wall_clock:
@@ -64,7 +81,7 @@ class LastExposures(StatefulProcessor):
                 self._move_timer(known[-1][0] if known else None, last_ts)
             pauses = (i for i in range(1, len(newest)) if newest[i][0] - newest[i - 1][0] >= self._gap_ms)
             start = max(pauses, default=0)
-        yield Row(uid=key[0], last_ts=last_ts, queue=[e[2] for e in newest[start:]])
+        yield Row(uid=key[0], last_ts=last_ts, queue=[e[2] for e in newest[start:]], entries=newest)
 
     def _move_timer(self, before: int | None, last_ts: int) -> None:
         if before == last_ts:
