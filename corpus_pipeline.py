@@ -21,15 +21,17 @@ SHINGLE_WORDS = 5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a letter: those whose text is null or holds none go. A text in a language that no label
-    knows stays. Without a single labelled row no language is known and every document goes."""
+    """Documents with a letter: those whose text is null, empty or holds none go. A text in a language that no label
+    knows stays, and so does every text with a letter where no row is labelled. Very long texts are judged whole,
+    repeated rows each by itself."""
     docs = only(docs, *COLUMNS)
-    return lang_id.recognised(docs, lang_id.fit(docs))
+    model = lang_id.fit(docs)
+    return lang_id.recognised(docs, model) if model.languages else docs.where(F.col("text").rlike(r"\p{L}"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group, the one of the smallest id. Of rows that share an id the first in the
-    order of their columns stays; rows without an id stay all."""
+    """One document of each group, the one of the smallest id. A document is its id: of its rows each different text stays
+    once, with the first of its other columns. Rows without an id, and null and empty texts, are in no group."""
     docs = only(docs, *COLUMNS)
     rows = near_dups.near_duplicates(docs, SHINGLE_WORDS)
     verdicts = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
@@ -40,25 +42,28 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     verdicts.write.parquet(noted)
     verdicts = spark.read.schema("doc_id bigint, kept boolean, repeated boolean").parquet(noted)
     single = docs.join(verdicts, "doc_id", "left_anti")
-    repeated = docs.join(verdicts.where("kept AND repeated"), "doc_id", "left_semi").groupBy("doc_id").agg(
-        F.min(F.struct(*COLUMNS[1:])).alias("row")
+    repeated = docs.join(verdicts.where("kept AND repeated"), "doc_id", "left_semi").groupBy("doc_id", "text").agg(
+        F.min(F.struct(*COLUMNS[2:])).alias("row")
     )
-    return single.select(*COLUMNS).unionByName(repeated.select("doc_id", "row.*"))
+    return single.select(*COLUMNS).unionByName(repeated.select("doc_id", "text", "row.*"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item. Null and empty texts hold none; every row is judged by itself, a very long text
+    as a whole."""
     return decontaminate.clean(only(docs, *COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pseudonymised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal numbers and addresses replaced by pseudonyms; ``n_chars`` follows the text."""
+    """All documents, personal numbers and addresses replaced by pseudonyms; ``n_chars`` follows the text, null for a null one.
+    Repeated rows get the same pseudonyms."""
     done = pseudonyms.with_pseudonyms(only(docs, *COLUMNS), KEY)
     return done.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of the permitted lengths."""
+    """The pieces of all documents in sequences of the permitted lengths. A null or empty text is one piece of length 0 in no
+    sequence; repeated rows and rows without an id are packed like all others, long texts in several pieces."""
     return packing.pack_documents(docs)
 
 
