@@ -138,13 +138,15 @@ def _state_store(spark: SparkSession):
 
 def run(
     changed: DataFrame, table: ChangeTable, job: str, ttl_from_clock: bool = False,
-    cells: Callable[[DataFrame, int], DataFrame] | None = None, **trigger,
+    cells: Callable[[DataFrame, int], DataFrame] | None = None, compact_every: int | None = None, **trigger,
 ) -> StreamingQuery:
     """Starts a job. A sink error fails the micro-batch, which is then replayed into its folder.
 
     With ``ttl_from_clock`` labels live from the moment they are written, so those of a stream that lags
     behind can be read; else they live from their event, as in a backfill.
 
+    With ``compact_every`` the table is folded after every so many batches; only one job of a table may do that.
+
     ``cells`` makes label rows of a micro-batch, for streams that do not hold them yet (see ``bounded``).
 
     ``trigger`` is passed to Spark, e.g. ``processingTime="10 seconds"`` or ``availableNow=True``.
@@ -155,6 +157,8 @@ def run(
         if cells is not None:
             rows = cells(rows, batch_id)
         table.write(job, labels.living_from(rows, int(time.time() * 1000)) if ttl_from_clock else rows, batch_id)
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            table.compact(int(time.time() * 1000))
 
     writer = (
         changed.writeStream.queryName(job)

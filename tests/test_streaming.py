@@ -81,6 +81,8 @@ def test_all_jobs_share_one_table_and_compaction_keeps_it(spark, events_in_files
     assert rows_of(table.current()) == want
     version, upto = table._folded()
     assert version == 1 and set(upto) == set(JOBS)
+    table.compact()
+    assert table._folded() == (version, upto)
     # A newer change wins over the snapshot, a replay of a folded batch does not come back.
     cell = table.current().where("label = 'user_last_biz'").limit(1)
     newer = cell.withColumn("value", F.lit("new")).withColumn("write_ts", F.col("write_ts") + 1)
@@ -263,18 +265,87 @@ def test_table_before_the_first_batch(spark):
     assert table.current().count() == 0
 
 
-def test_a_batch_on_its_way_is_not_folded(spark):
+def cells_of(spark, *keys, value="v", write_ts=1, expire_ts=None):
+    return spark.createDataFrame([(k, "l", value, write_ts, expire_ts) for k in keys], LABELS)
+
+
+def unfinish(table, job, batch):
+    """Leaves a batch as a failed job does: some of its files, and no mark."""
+    folder = Path(table.path) / "changes" / f"job={job}" / f"batch={batch}"
+    for mark in folder.glob("*SUCCESS*"):
+        mark.unlink()
+
+
+def test_a_half_written_batch_in_the_middle_is_not_folded(spark):
     table = label_table(spark, work_folder(spark))
-    cells = lambda *keys: spark.createDataFrame([(k, "l", "v", 1, None) for k in keys], LABELS)
-    table.write("job", cells("a"), 0)
-    table.write("job", cells("b"), 1)  # as seen while only some of its files are there
+    table.write("job", cells_of(spark, "a"), 0)
+    table.write("job", cells_of(spark, "b"), 1)
+    unfinish(table, "job", 1)
+    table.write("job", cells_of(spark, "c"), 2)
+    table.write("other", cells_of(spark, "d"), 7)
+    table.compact()
+    # Batch 2 waits for batch 1; a job may begin at any number.
+    assert table._folded() == (0, {"job": 0, "other": 7})
+    table.write("job", cells_of(spark, "b", "e"), 1)
+    assert sorted(r.row_key for r in table.current().collect()) == ["a", "b", "c", "d", "e"]
+    table.compact()
+    assert table._folded() == (1, {"job": 2, "other": 7})
+    assert sorted(r.row_key for r in table.current().collect()) == ["a", "b", "c", "d", "e"]
     table.compact()
-    table.write("job", cells("b", "c"), 1)
-    assert sorted(r.row_key for r in table.current().collect()) == ["a", "b", "c"]
-    for batch in range(2, 6):
-        table.write("job", cells(f"k{batch}"), batch)
-        table.compact()
-    assert table.current().count() == 7
+    assert table._folded()[0] == 1  # nothing new, nothing done
+
+
+def test_an_unfinished_first_batch_holds_back_the_others(spark):
+    table = label_table(spark, work_folder(spark))
+    for batch, key in enumerate("abc"):
+        table.write("job", cells_of(spark, key), batch)
+    unfinish(table, "job", 0)
+    table.compact()
+    assert table._folded() == (None, {}) and table.current().count() == 3
+
+
+def test_two_hundred_batches_leave_few_files(spark):
+    table = ChangeTable(spark, work_folder(spark), LABELS, ["row_key", "label"], order=("write_ts",), buckets=2)
+    counts = []
+    for batch in range(200):
+        table.write("job", cells_of(spark, f"k{batch % 30}", f"n{batch}", value=str(batch), write_ts=batch, expire_ts=batch + 40), batch)
+        if batch % 10 == 9:
+            table.compact(now_ms=batch)
+            counts.append(sum(1 for _ in Path(table.path).rglob("*.parquet")))
+    assert max(counts[3:]) <= 40 and counts[-1] <= counts[4] + 5
+    rows = {r.row_key: r.value for r in table.current().collect()}
+    # Expired cells are gone from the disk, not only hidden.
+    assert set(rows) == {f"n{b}" for b in range(160, 200)} | {f"k{b % 30}" for b in range(160, 200)}
+    assert all(rows[f"k{b % 30}"] == str(b) for b in range(170, 200))
+
+
+def test_a_reader_that_began_before_compact_finishes(spark):
+    table = label_table(spark, work_folder(spark))
+    for batch in range(6):
+        table.write("job", cells_of(spark, f"k{batch}", "same", value=str(batch), write_ts=batch), batch)
+        if batch % 2:
+            table.compact()
+    reader = table.current()
+    table.write("job", cells_of(spark, "later"), 6)
+    table.compact()
+    assert sorted(r.row_key for r in reader.collect()) == ["k0", "k1", "k2", "k3", "k4", "k5", "same"]
+    assert table.current().count() == 8
+    assert {r.value for r in table.current().where("row_key = 'same'").collect()} == {"5"}
+
+
+def test_a_batch_is_a_few_files_whatever_the_shuffle(spark):
+    table = label_table(spark, work_folder(spark))
+    table.write("job", spark.range(1_000).selectExpr("string(id) AS row_key", "'l' AS label", "'v' AS value", "1L AS write_ts", "CAST(NULL AS bigint) AS expire_ts").repartition(60), 0)
+    assert len(list(Path(table.path).glob("changes/job=job/batch=0/*.parquet"))) <= 2
+    assert table.current().count() == 1_000
+
+
+def test_a_job_may_fold_its_table(spark, events_in_files):
+    table = label_table(spark, work_folder(spark))
+    source = ev.stream_events(spark, events_in_files, maxFilesPerTrigger="1")
+    jobs.run(jobs.number_labels(*logs(source)[:2]), table, "number", compact_every=2, availableNow=True).awaitTermination(120)
+    assert table._folded()[0] >= 1
+    assert rows_of(table.current()) == rows_of(labels.number_labels(*logs(ev.read_events(spark, "/root/testdata/sf0.001"))[:2]))
 
 
 def exposed(spark, folder, batches):
