@@ -201,14 +201,15 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _placed(sets: DataFrame) -> DataFrame:
-    """``cls, n, shingle, held, place`` of the shingles that several sets hold, in the order of rarity, from 1."""
+    """``cls, n, shared, shingle, held, place`` of the shingles that several sets hold, in the order of rarity, from 1;
+    ``shared`` is how many of them the set has, which no overlap exceeds."""
     spread = sets.select("cls", "n", F.explode("signed").alias("shingle"))
     held = spread.groupBy("shingle").agg(F.count("*").alias("held")).where("held > 1")
     ranked = spread.join(held, "shingle").selectExpr(
         "*", "row_number() OVER (PARTITION BY cls ORDER BY held, shingle) AS at", "count(*) OVER (PARTITION BY cls) AS shared"
     )
     longest = f"n - {_needed('n')} + 1 + n div 10"
-    return ranked.selectExpr("cls", "n", "shingle", "held", "n - shared + at AS place").where(f"place <= {longest}")
+    return ranked.selectExpr("cls", "n", "shared", "shingle", "held", "n - shared + at AS place").where(f"place <= {longest}")
 
 
 def _central_pairs(placed: DataFrame, component_of: DataFrame) -> DataFrame:
@@ -254,11 +255,19 @@ def _multi_match_pairs(placed: DataFrame, component_of: DataFrame, files: int) -
     crossing = by_component.join(totals, "shingle").selectExpr("shingle", "component", "all - own AS others")
     named = cut(named.join(crossing, ["shingle", "component"]), files)
     chosen = named.join(adapted(named), "cls").where(f"place <= n - {_needed('n')} + l").select(
-        "shingle", "cls", "component", "n", "l"
+        "shingle", "cls", "component", "n", "shared", "place", "l"
     )
-    other = chosen.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("cls", "component", "n", "l")])
+    t = THRESHOLD
+    # The smaller of two sets overlaps by more of its own: its prefix is shorter.
+    other = chosen.where(f"place <= n - ({2 * t} * n + {99 + t}) div {100 + t} + l").select(
+        "shingle", *[F.col(c).alias(f"{c}_b") for c in ("cls", "component", "n", "shared", "place", "l")]
+    )
+    # Of the common shingles up to this one there are no more than either set shares with others there, and behind it no
+    # more than either has left.
+    most = "least(place - n + shared, place_b - n_b + shared_b) + least(n - place, n_b - place_b)"
     met = chosen.join(other, "shingle").where(
-        f"component != component_b AND (n > n_b OR (n = n_b AND cls > cls_b)) AND 100 * n_b >= {THRESHOLD} * n"
+        f"component != component_b AND (n > n_b OR (n = n_b AND cls > cls_b)) AND 100 * n_b >= {t} * n"
+        f" AND {100 + t} * ({most}) >= {t} * (n + n_b)"
     )
     agreeing = met.groupBy("cls", "cls_b", "l", "l_b").agg(F.count("*").alias("agree")).where("agree >= least(l, l_b)")
     return agreeing.selectExpr("cls AS pivot", "cls_b AS member")
