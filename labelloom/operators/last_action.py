@@ -9,11 +9,24 @@ from labelloom.functions.text import last_action_text, row_key
 def last_action(actions: DataFrame, zone: str | None = None) -> DataFrame:
     """``row_key, user_last_biz, last_ts`` from ``uid, channel, biz, ts_ms, event_id``.
 
-    One mergeable aggregate per user: each input task sends one row per user it saw. The text is
-    built afterwards, once per user. Works on a stream too (update mode).
+    Aggregates that combine before the shuffle: each input task sends one row per user, channel and business it
+    saw. The text is built afterwards, once per user. Works on a stream too (update mode), which takes one aggregate.
     """
-    last = actions.groupBy("uid").agg(
+    newest = actions if actions.isStreaming else _newest_of_each(actions)
+    last = newest.groupBy("uid").agg(
         F.expr("max_by(struct(channel, biz, ts_ms), struct(ts_ms, event_id, channel))").alias("last")
     )
     text = last_action_text("last.channel", "last.biz", "last.ts_ms", zone)
     return last.selectExpr(f"{row_key()} AS row_key", f"{text} AS user_last_biz", "last.ts_ms AS last_ts")
+
+
+def _newest_of_each(actions: DataFrame) -> DataFrame:
+    """The newest action of each user, channel and business. Time and id make one number of fixed width, so this is a hash
+    aggregate, where a maximum over structs would sort all actions first."""
+    # Both are shifted to be no less than 0; a timestamp has 15 digits at most (see sources.parse).
+    stamp, number, width = "1000000000000000BD", "9223372036854775808BD", "18446744073709551616BD"
+    key = f"(CAST(ts_ms AS decimal(19, 0)) + {stamp}) * {width} + (CAST(event_id AS decimal(19, 0)) + {number})"
+    newest = actions.groupBy("uid", "channel", "biz").agg(F.max(F.expr(key)).alias("key"))
+    return newest.selectExpr(
+        "uid", "channel", "biz", f"CAST(key div {width} - {stamp} AS bigint) AS ts_ms", f"CAST(key % {width} - {number} AS bigint) AS event_id"
+    )

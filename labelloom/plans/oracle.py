@@ -262,6 +262,14 @@ def build() -> dict[str, str]:
         "stream_last_biz": _sql(_actions(_BIZ), _last("actions", "last_action"),
                                 select=f"SELECT md5(uid) AS row_key, {_LAST_TEXT} AS user_last_biz FROM last_action"),
         "stream_daily_counts": _sql(scored, select="SELECT uid, day, channel, biz, count(*) AS n FROM actions GROUP BY ALL"),
+        # Late is what is not above the newest time of the parts that arrived before, less 3 seconds.
+        "stream_watermark": _sql("""
+arrivals AS (SELECT event_id, ts_ms, ts_ms + CASE WHEN event_id % 5 = 0 THEN 172800000 ELSE 0 END AS arrival FROM ev)""", """
+parts AS (SELECT event_id, ts_ms, (arrival - (SELECT min(arrival) FROM arrivals)) * 4
+                 // ((SELECT max(arrival) FROM arrivals) - (SELECT min(arrival) FROM arrivals) + 1) AS part FROM arrivals)""", """
+marks AS (SELECT part, max(max(ts_ms)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 3000 AS mark
+          FROM parts GROUP BY part)""", select="""
+SELECT event_id, ts_ms AS event_ms, CASE WHEN ts_ms <= mark THEN 1 ELSE 0 END AS late FROM parts JOIN marks USING (part)"""),
         "stream_daily_counts_late": _sql(scored, select="SELECT uid, day, channel, biz, count(*) AS n FROM actions GROUP BY ALL"),
         "stream_biz_score": _sql(*_all_labels(), select="""SELECT * FROM label_rows
   WHERE label IN ('biz_score', 'biz_click', 'biz_search')"""),

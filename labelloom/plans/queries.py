@@ -16,7 +16,7 @@ from labelloom.sources import events_table as ev
 from labelloom.sources.ingest import ingest, read_ingested
 from labelloom.sources.logs import file_backfill
 from labelloom.sources.parse import parse, read_log, rejects, with_event_time
-from labelloom.streaming import bounded, jobs
+from labelloom.streaming import bounded, jobs, watermark
 from labelloom.streaming.store import ChangeTable, label_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -415,6 +415,21 @@ def _arriving_late(spark: SparkSession, sf_dir: str, start: Callable) -> None:
         start(ev.stream_events(spark, folder), int(time.time() * 1000) - clock).awaitTermination()
 
 
+def stream_watermark(spark, sf_dir):
+    """All events in order of arrival, told apart by the reference's delay of 3 seconds; none is lost."""
+    folder = work_folder(spark)
+
+    def start(events, _):
+        rows = watermark.marked(ev.exposure_log(events))
+        ledger = bounded.Ledger(spark, f"{folder}/marked", rows.schema)
+        writer = rows.writeStream.outputMode("append").option("checkpointLocation", f"{folder}/checkpoint")
+        return jobs.started(writer.foreachBatch(ledger.store).trigger(availableNow=True), spark)
+
+    _arriving_late(spark, sf_dir, start)
+    kept = bounded.Ledger(spark, f"{folder}/marked", watermark.MARKED).rows()
+    return kept.selectExpr("event_id", "ts_ms AS event_ms", "int(late) AS late")
+
+
 def stream_daily_counts_late(spark, sf_dir):
     ledger = table = None
 
@@ -464,6 +479,6 @@ STREAM: dict[str, Query] = {
     f.__name__: f
     for f in (
         stream_number_counts, stream_last_biz, stream_daily_counts, stream_biz_score, stream_exposure, stream_biz_score_late,
-        stream_exposure_late, stream_daily_counts_late,
+        stream_exposure_late, stream_daily_counts_late, stream_watermark,
     )
 }

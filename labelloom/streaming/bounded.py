@@ -40,11 +40,12 @@ class Ledger:
         """One action, so the micro-batch and its state are worked out once; all else reads what is stored."""
         rows.write.mode("overwrite").partitionBy("late").parquet(f"{self.path}/batch={batch_id}")
 
-    def rows(self, upto: int) -> DataFrame:
+    def rows(self, upto: int | None = None) -> DataFrame:
         """All rows with ``batch`` and ``late``. Batches behind ``upto`` are of an earlier try and not read."""
         located = self.schema.add("batch", T.LongType()).add("late", T.BooleanType())
         try:
-            return self.spark.read.schema(located).parquet(self.path).where(F.col("batch") <= upto)
+            rows = self.spark.read.schema(located).parquet(self.path)
+            return rows if upto is None else rows.where(F.col("batch") <= upto)
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise

@@ -14,7 +14,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from labelloom import dims
 from labelloom.functions.calendar import day_number, day_window
@@ -168,5 +168,10 @@ def run(
     )
     if trigger:
         writer = writer.trigger(**trigger)
-    with _state_store(changed.sparkSession):
+    return started(writer, changed.sparkSession)
+
+
+def started(writer: DataStreamWriter, spark: SparkSession) -> StreamingQuery:
+    """Starts a query with the state store of all jobs here."""
+    with _state_store(spark):
         return writer.start()

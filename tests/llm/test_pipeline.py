@@ -65,3 +65,30 @@ def test_word_pattern_is_the_byte_split(spark):
     import re
 
     assert [w.encode() for w in re.findall(WORD, text)] == text.encode().split()
+
+
+def frame(docs_of, rows, lang="'en'"):
+    return docs_of(rows).selectExpr("doc_id", "text", f"{lang} AS lang", "'s' AS source", "0L AS n_chars")
+
+
+def test_texts_that_share_an_id_stay_both(spark, sf_dir, docs_of):
+    rows = [(1, "alpha beta gamma"), (1, "quite another text here"), (1, "alpha beta gamma"), (2, None), (2, "real words"), (None, "real words")]
+    kept = pipeline.near_duplicates(spark, frame(docs_of, rows), sf_dir).collect()
+    assert sorted(map(str, [(r.doc_id, r.text) for r in kept])) == sorted(map(str, [*rows[:2], *rows[3:]]))
+
+
+def test_language_without_labels_keeps_what_has_a_letter(spark, sf_dir, docs_of):
+    rows = [(1, "words"), (2, "12 34"), (3, None), (4, ""), (5, "\u4e2d\u6587"), (6, "7 \u0660 \u00aa")]
+    kept = pipeline.language(spark, frame(docs_of, rows, "CAST(NULL AS string)"), sf_dir).collect()
+    assert sorted(r.doc_id for r in kept) == [i for i, t in rows if lang_id.has_letter(t or "")] == [1, 5, 6]
+
+
+def test_large_ids_next_to_null_ones_through_all_stages(spark, sf_dir, docs_of):
+    ids = [2**60 + 1, 2**60 + 3, -(2**60) - 1, None]
+    docs = frame(docs_of, [(i, f"text number {n} of words " + "long " * n * 3000) for n, i in enumerate(ids)])
+    for _, stage in pipeline.STAGES:
+        docs = stage(spark, docs, sf_dir)
+    lengths = {}
+    for r in docs.collect():
+        lengths[r.doc_id] = lengths.get(r.doc_id, 0) + r.length
+    assert lengths == {i: 5 + n * 3000 for n, i in enumerate(ids)}

@@ -22,7 +22,6 @@ def shuffles(text):
     ("exclusive_exposures", 0),
     ("number_click_counts", 1),
     ("number_search_counts", 1),
-    ("last_biz", 1),
     ("daily_biz_counts", 1),
     ("biz_actions_trace", 1),
     ("biz_score_trace", 1),
@@ -34,6 +33,8 @@ def shuffles(text):
     ("biz_score_latest", 2),
     ("biz_click_label", 2),
     ("expose_gap_groups", 2),
+    # The newest action of each business first, then of each user.
+    ("last_biz", 2),
 ])
 def test_shuffles(spark, sf_dir, name, n):
     assert shuffles(plan(queries.BATCH[name](spark, sf_dir))) == n
@@ -56,6 +57,13 @@ def test_counters_combine_before_the_shuffle(spark, sf_dir):
     assert "partial_count" in text and "SortAggregate" not in text
 
 
+def test_last_actions_are_not_sorted_before_the_shuffle(spark, sf_dir):
+    """Read from the bottom: everything below the first shuffle is a hash aggregate."""
+    text = plan(queries.last_biz(spark, sf_dir))
+    below = text[text.rindex("Exchange hashpartitioning"):]
+    assert "HashAggregate" in below and "Sort" not in below
+
+
 def test_score_days_combine_before_the_shuffle(spark, sf_dir):
     text = plan(queries.biz_score_latest(spark, sf_dir))
     assert re.search(r"HashAggregate\(keys=\[uid#\d+, day#\d+L?\], functions=\[partial_sum", text)
