@@ -58,7 +58,7 @@ def result(rows):
 
 def varied(rng, n):
     """Words of few letters, so that many are near, with counts that double along chains of edits."""
-    words = ["".join(rng.choice("abéÿ÷z") for _ in range(rng.randrange(4, 8))) for _ in range(n)]
+    words = ["".join(rng.choice("aé÷") for _ in range(rng.randrange(4, 8))) for _ in range(n)]
     return [w for w in words for _ in range(rng.choice([1, 2, 3, 6, 13, 30]))]
 
 
@@ -76,13 +76,14 @@ def test_against_all_pairs(spark, docs_of, monkeypatch, seed, cell, slip):
 
 
 def test_edges(docs_of):
-    chain = ["aaaaa"] * 3 + ["aaaab"] * 6 + ["aaabb"] * 12 + ["aabbb"] * 12 + ["x" * 40_000] * 3 + ["x" * 39_999 + "y"] * 9
+    chain = ["aaaaa"] * 3 + ["aaaab"] * 6 + ["aaabb"] * 12 + ["aaaac"] * 12 + ["x" * 40_000] * 3 + ["x" * 39_999 + "y"] * 9
     text = "1".join(chain) + " AAAAA0AAAAA,ÀÀÀÀÀ·ààààà ΑΒΓΔΕ ab"
     docs = [(None, None), (1, ""), (2, "\n"), (2**60 + 1, text), (2**60 + 1, text), (None, "ŻŻŻŻŻ wörld Wörld WÖrld")]
     got = result(spelling.variants(docs_of(docs)))
     assert got == expected(counted(docs))
-    # Ties go to the smaller word; a-grave in two cases is two letters, as only A-Z are lower-cased.
-    assert got["aaaaa"][4] in ("aaabb", "aabbb") and got["x" * 40_000][2] == "x" * 39_999 + "y"
+    # Of two neighbours with equal counts the smaller word is the form; a-grave in two cases is two letters, as only A-Z
+    # are lower-cased.
+    assert got["aaaab"][2:] == ("aaaac", 24, "aaaac") and got["x" * 40_000][2] == "x" * 39_999 + "y"
     assert spelling.variants(docs_of([])).count() == 0 and spelling.variants(docs_of([(1, "too few words")])).count() == 0
 
 
