@@ -69,10 +69,13 @@ def _fingerprint(hashes: np.ndarray) -> tuple[int, int]:
     return int(hashes.sum(dtype=np.uint64).view(np.int64)), int(again.sum(dtype=np.uint64).view(np.int64))
 
 
-def _sized(width: int):
-    schema = pa.schema([
-        ("doc_id", pa.int64()), ("n", pa.int64()), ("fp0", pa.int64()), ("fp1", pa.int64()), ("prefix", pa.list_(pa.int64())),
-    ])
+def _sized(width: int, bits: int):
+    kind = pa.int32() if bits <= 32 else pa.int64()
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("fp0", pa.int64()), ("fp1", pa.int64()), ("prefix", pa.list_(kind))])
+
+    def short(hashes: np.ndarray) -> np.ndarray:
+        cut_off = hashes >> np.uint64(64 - bits)
+        return cut_off.astype(np.uint32).view(np.int32) if bits <= 32 else cut_off.view(np.int64)
 
     def size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -80,7 +83,7 @@ def _sized(width: int):
                 own = [shingle_set(text.lower().split(), width) for text in texts(part)]
                 sizes, prints = [len(s) for s in own], [_fingerprint(s) for s in own]
                 # The sets are sorted by hash.
-                prefixes = [s[: prefix_length(n, matches(n))].view(np.int64) if n else [] for s, n in zip(own, sizes)]
+                prefixes = [short(s[: prefix_length(n, matches(n))]) if n else [] for s, n in zip(own, sizes)]
                 columns = [sizes, [p[0] for p in prints], [p[1] for p in prints], prefixes]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), *[pa.array(c, t) for c, t in zip(columns, schema.types[1:])]], schema=schema
@@ -134,16 +137,8 @@ def _texts_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _sifted(classes: DataFrame) -> DataFrame:
-    """``cls`` of the sets whose prefixes hold enough shingles of others. A partner may be smaller, down to the threshold.
-
-    Hashes are cut to as many bits as tell this many shingles apart in most cases: a false match only lets a set
-    through to the exact steps.
-    """
-    total = classes.agg(F.sum(F.size("prefix"))).first()[0] or 0
-    bits = min(64, total.bit_length() + 6)
-    spread = classes.select("cls", "n", F.explode("prefix").alias("shingle")).withColumn(
-        "shingle", F.shiftrightunsigned("shingle", 64 - bits)
-    )
+    """``cls`` of the sets whose prefixes hold enough shingles of others. A partner may be smaller, down to the threshold."""
+    spread = classes.select("cls", "n", F.explode("prefix").alias("shingle"))
     shared = spread.groupBy("shingle").agg(F.count("*").alias("held")).where("held > 1").select("shingle")
     found = spread.join(shared, "shingle").groupBy("cls", "n").agg(F.count("*").alias("found"))
     return found.where(f"found >= 1 + {_needed('n')} div 10").select("cls")
@@ -299,7 +294,12 @@ def class_links(sets: DataFrame, files: int) -> DataFrame:
 def _classes(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Narrow rows (``doc_id, n, fp0, fp1``), the classes (``fp0, fp1, least, cls``), and the ``cls`` that the sieve leaves. The prefixes
     are not needed after that."""
-    rows = cut(docs.mapInArrow(_sized(width), "doc_id bigint, n bigint, fp0 bigint, fp1 bigint, prefix array<bigint>"))
+    # Prefixes hold hashes cut to as many bits as tell that many shingles apart in most cases: a false match only lets
+    # a set through to the exact steps. A document has about a prefix shingle for every 16 characters.
+    characters = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    bits = min(64, (characters // 16).bit_length() + 6)
+    kind = "int" if bits <= 32 else "bigint"
+    rows = cut(docs.mapInArrow(_sized(width, bits), f"doc_id bigint, n bigint, fp0 bigint, fp1 bigint, prefix array<{kind}>"))
     narrow = cut(rows.drop("prefix"))
     files = narrow.count() // _DOCS_PER_FILE
     # Equal sets have equal prefixes; copies meet in the task that made them before any moves.
