@@ -28,21 +28,36 @@ def both_channels(clicks: DataFrame, searches: DataFrame, names: dict[str, str]
     return left.unionByName(right)
 
 
+_CARD = f"biz_type = {quoted(dims.CARD_MODEL)} AND pb_name IN ({quoted_list(dims.BUTTON_SUFFIX)})"
+_CARD_LABEL = (
+    f"concat({null_text(lookup(dims.NUMBER_TYPE_OF_CODE, 'num_type'))}, {lookup(dims.BUTTON_SUFFIX, 'pb_name')})"
+)
+_NUMBER = f"biz_type = {quoted(dims.NUMBER_BIZ)}"
+_NUMBER_LABEL = f"concat({null_text('number_type')}, {quoted(dims.SEARCH_SUFFIX)})"
+
+
 def card_click_labels(clicks: DataFrame) -> DataFrame:
     """Card clicks on the two counted buttons, as ``uid, label``."""
-    cards = clicks.where(
-        f"biz_type = {quoted(dims.CARD_MODEL)} AND pb_name IN ({quoted_list(dims.BUTTON_SUFFIX)})"
-    )
-    kind = null_text(lookup(dims.NUMBER_TYPE_OF_CODE, "num_type"))
-    label = f"concat({kind}, {lookup(dims.BUTTON_SUFFIX, 'pb_name')})"
-    return cards.selectExpr("uid", f"{label} AS label", *_order_columns(clicks))
+    return clicks.where(_CARD).selectExpr("uid", f"{_CARD_LABEL} AS label", *_order_columns(clicks))
 
 
 def number_search_labels(searches: DataFrame) -> DataFrame:
     """Number searches as ``uid, label``; the number type is used as logged."""
-    numbers = searches.where(f"biz_type = {quoted(dims.NUMBER_BIZ)}")
-    label = f"concat({null_text('number_type')}, {quoted(dims.SEARCH_SUFFIX)})"
-    return numbers.selectExpr("search_mob AS uid", f"{label} AS label", *_order_columns(searches))
+    return searches.where(_NUMBER).selectExpr("search_mob AS uid", f"{_NUMBER_LABEL} AS label", *_order_columns(searches))
+
+
+def labelled_actions(clicks: DataFrame, searches: DataFrame) -> DataFrame:
+    """``uid, channel, biz, label, ts_ms, event_id`` of every click and search, each log read once; ``label`` is the
+    counter that a row moves, NULL for most."""
+    left = clicks.selectExpr(
+        "uid", f"{quoted(dims.CLICK_CHANNEL)} AS channel", f"{lookup(dims.BIZ_OF_MODEL, 'biz_type')} AS biz",
+        f"CASE WHEN {_CARD} THEN {_CARD_LABEL} END AS label", "ts_ms", "event_id",
+    )
+    right = searches.selectExpr(
+        "search_mob AS uid", f"{quoted(dims.SEARCH_CHANNEL)} AS channel", "biz_type AS biz",
+        f"CASE WHEN {_NUMBER} THEN {_NUMBER_LABEL} END AS label", "ts_ms", "event_id",
+    )
+    return left.unionByName(right)
 
 
 def exclusive_exposures(

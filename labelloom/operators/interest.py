@@ -55,8 +55,10 @@ def latest_counts(actions: DataFrame, offset_ms: int = dims.DAY_OFFSET_MS) -> Da
     return latest_of_days(with_day(actions, offset_ms).groupBy("uid", "day").agg(*aggregates(HIT_SUMS + LAST_SEEN)))
 
 
-def latest_of_days(days: DataFrame) -> DataFrame:
-    """The same from ``uid, day``, the ten counts of each day, ``last_click_ts`` and ``last_search_ts``."""
+def latest_of_days(days: DataFrame, also: dict[str, str] | None = None) -> DataFrame:
+    """The same from ``uid, day``, the ten counts of each day, ``last_click_ts`` and ``last_search_ts``. ``also`` names further
+    columns of ``days`` and how those of a user become one."""
+    also = also or {}
     before = days.selectExpr(
         "*", f"lag(struct(day, {', '.join(COUNTS)})) OVER (PARTITION BY uid ORDER BY day) AS before"
     )
@@ -65,6 +67,7 @@ def latest_of_days(days: DataFrame) -> DataFrame:
         "day",
         "last_click_ts",
         "last_search_ts",
+        *also,
         *[f"{c} + CASE WHEN before.day = day - 1 THEN before.{c} ELSE 0 END AS {c}" for c in COUNTS],
     )
     own = [
@@ -76,6 +79,7 @@ def latest_of_days(days: DataFrame) -> DataFrame:
         "max(last_search_ts) AS last_search_ts",
         *own,
         f"max_by(struct({', '.join(COUNTS)}), day) AS at_last",
+        *[f"{joined} AS {name}" for name, joined in also.items()],
     ]))
 
 

@@ -20,13 +20,19 @@ def last_action(actions: DataFrame, zone: str | None = None) -> DataFrame:
     return last.selectExpr(f"{row_key()} AS row_key", f"{text} AS user_last_biz", "last.ts_ms AS last_ts")
 
 
+# Time and id as one number of fixed width, so that a maximum is a hash aggregate, where one over structs would sort all
+# actions first. Both are shifted to be no less than 0; a timestamp has 15 digits at most (see sources.parse).
+_STAMP, _NUMBER, _WIDTH = "1000000000000000BD", "9223372036854775808BD", "18446744073709551616BD"
+ORDER_KEY = f"(CAST(ts_ms AS decimal(19, 0)) + {_STAMP}) * {_WIDTH} + (CAST(event_id AS decimal(19, 0)) + {_NUMBER})"
+
+
+def time_of(key: str) -> str:
+    return f"CAST({key} div {_WIDTH} - {_STAMP} AS bigint)"
+
+
 def _newest_of_each(actions: DataFrame) -> DataFrame:
-    """The newest action of each user, channel and business. Time and id make one number of fixed width, so this is a hash
-    aggregate, where a maximum over structs would sort all actions first."""
-    # Both are shifted to be no less than 0; a timestamp has 15 digits at most (see sources.parse).
-    stamp, number, width = "1000000000000000BD", "9223372036854775808BD", "18446744073709551616BD"
-    key = f"(CAST(ts_ms AS decimal(19, 0)) + {stamp}) * {width} + (CAST(event_id AS decimal(19, 0)) + {number})"
-    newest = actions.groupBy("uid", "channel", "biz").agg(F.max(F.expr(key)).alias("key"))
+    """The newest action of each user, channel and business."""
+    newest = actions.groupBy("uid", "channel", "biz").agg(F.max(F.expr(ORDER_KEY)).alias("key"))
     return newest.selectExpr(
-        "uid", "channel", "biz", f"CAST(key div {width} - {stamp} AS bigint) AS ts_ms", f"CAST(key % {width} - {number} AS bigint) AS event_id"
+        "uid", "channel", "biz", f"{time_of('key')} AS ts_ms", f"CAST(key % {_WIDTH} - {_NUMBER} AS bigint) AS event_id"
     )

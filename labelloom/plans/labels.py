@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelloom import dims
-from labelloom.functions.text import counts_text, quoted, quoted_list, row_key, scores_text
+from labelloom.functions.text import counts_text, last_action_text, quoted, quoted_list, row_key, scores_text
 from labelloom.operators import classify, counters, exposure, interest, last_action
 from labelloom.schemas import LABEL_COLUMNS
 
@@ -22,9 +22,10 @@ def cell(label: str, value: str, write_ts: str, ttl_ms: int) -> str:
     )
 
 
-def unfold(rows: DataFrame, cells: list[str]) -> DataFrame:
-    """One output row for every cell a row writes; no shuffle, the input is read once."""
-    exploded = rows.selectExpr("row_key", f"inline(array({', '.join(cells)}))")
+def unfold(rows: DataFrame, cells: list[str], more: str = "array()") -> DataFrame:
+    """One output row for every cell a row writes; no shuffle, the input is read once. ``more`` is an array of cells."""
+    all_cells = f"array({', '.join(cells)})" if more == "array()" else f"concat(array({', '.join(cells)}), {more})"
+    exploded = rows.selectExpr("row_key", f"inline({all_cells})")
     return exploded.where("value IS NOT NULL AND write_ts IS NOT NULL").select(*LABEL_COLUMNS)
 
 
@@ -34,17 +35,20 @@ def counter_cells(counts: DataFrame) -> DataFrame:
     )
 
 
+_LAST_BIZ_CELLS = [cell("user_last_biz", "user_last_biz", "last_ts", dims.LAST_BIZ_TTL_MS)]
+_SCORE_CELLS = [
+    cell("biz_score", scores_text(interest.SCORES), "greatest(last_click_ts, last_search_ts)", dims.SCORE_TTL_MS),
+    *[cell(f"biz_{ch}", f"biz_{ch}", f"last_{ch}_ts", dims.SCORE_TTL_MS) for ch in dims.CHANNELS],
+]
+
+
 def last_biz_cells(last: DataFrame) -> DataFrame:
-    return unfold(last, [cell("user_last_biz", "user_last_biz", "last_ts", dims.LAST_BIZ_TTL_MS)])
+    return unfold(last, _LAST_BIZ_CELLS)
 
 
 def score_cells(scored: DataFrame) -> DataFrame:
     """From ``row_key``, the scores, ``biz_click``, ``biz_search`` and the two last-seen times."""
-    last_ts = "greatest(last_click_ts, last_search_ts)"
-    return unfold(scored, [
-        cell("biz_score", scores_text(interest.SCORES), last_ts, dims.SCORE_TTL_MS),
-        *[cell(f"biz_{ch}", f"biz_{ch}", f"last_{ch}_ts", dims.SCORE_TTL_MS) for ch in dims.CHANNELS],
-    ])
+    return unfold(scored, _SCORE_CELLS)
 
 
 def exposure_cells(texts: DataFrame) -> DataFrame:
@@ -77,13 +81,13 @@ def scores_of_days(days: DataFrame, on_flat: str = "nan") -> DataFrame:
     return _scored(interest.latest_of_days(days), on_flat)
 
 
-def _scored(latest: DataFrame, on_flat: str) -> DataFrame:
+def _scored(latest: DataFrame, on_flat: str, *also: str) -> DataFrame:
     own = [
         f"if(at_{ch} IS NULL, NULL, {counts_text([f'at_{ch}.{c}' for c in names])}) AS biz_{ch}"
         for ch, names in zip(dims.CHANNELS, (interest.CLICK_COUNTS, interest.SEARCH_COUNTS))
     ]
     latest = latest.selectExpr(
-        f"{row_key()} AS row_key", "last_click_ts", "last_search_ts", *own, "at_last.*"
+        f"{row_key()} AS row_key", "last_click_ts", "last_search_ts", *own, *also, "at_last.*"
     )
     return interest.with_scores(interest.with_raw_scores(latest), on_flat)
 
@@ -108,12 +112,37 @@ def exposure_labels(exposures: DataFrame, pad_below: int = dims.PAD_BELOW) -> Da
 
 def all_labels(clicks: DataFrame, searches: DataFrame, exposures: DataFrame, zone: str | None = None) -> DataFrame:
     """The shared label table: every job writes its own labels, so a union is enough."""
-    return (
-        number_labels(clicks, searches)
-        .unionByName(last_biz_labels(clicks, searches, zone))
-        .unionByName(score_labels(clicks, searches))
-        .unionByName(exposure_labels(exposures))
+    return action_labels(clicks, searches, zone).unionByName(exposure_labels(exposures))
+
+
+def action_labels(clicks: DataFrame, searches: DataFrame, zone: str | None = None) -> DataFrame:
+    """Number, last-action and score labels at once, each log read once.
+
+    Totals by user, day, channel, business and counter combine before the first shuffle. Of a user they are few, and
+    all else is worked out from them where the user is: what the counters add up to, the newest action, and the
+    counts of the last two days.
+    """
+    totals = interest.with_day(classify.labelled_actions(clicks, searches)).groupBy("uid", "day", "channel", "biz", "label").agg(
+        F.count("*").alias("n"), F.max(F.expr(last_action.ORDER_KEY)).alias("key")
+    ).repartition("uid").selectExpr("*", f"{last_action.time_of('key')} AS ts_ms")
+    of_label = "OVER (PARTITION BY uid, label)"
+    counted = totals.selectExpr("*", f"named_struct('label', label, 'n', sum(n) {of_label}, 'ts', max(ts_ms) {of_label}) AS number")
+    days = counted.groupBy("uid", "day").agg(
+        *[F.expr(f"sum(({hit}) * n) AS {c}") for c, hit in interest.HITS.items()],
+        *interest.aggregates(interest.LAST_SEEN),
+        F.expr("max(struct(key, channel, biz, ts_ms)) AS newest"),
+        F.expr("collect_set(CASE WHEN label IS NOT NULL THEN number END) AS numbers"),
+    )
+    latest = interest.latest_of_days(
+        days, {"newest": "max(newest)", "numbers": "array_distinct(flatten(collect_list(numbers)))"}
+    )
+    text = last_action_text("newest.channel", "newest.biz", "newest.ts_ms", zone)
+    rows = _scored(latest, "nan", f"{text} AS user_last_biz", "newest.ts_ms AS last_ts", "numbers")
+    numbers = (
+        "transform(numbers, x -> named_struct('label', x.label, 'value', string(x.n), 'write_ts', x.ts,"
+        " 'expire_ts', CAST(NULL AS bigint)))"
     )
+    return unfold(rows, [*_LAST_BIZ_CELLS, *_SCORE_CELLS], numbers)
 
 
 def visible(labels: DataFrame, as_of_ms: int | Column) -> DataFrame:

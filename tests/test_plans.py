@@ -23,10 +23,6 @@ def shuffles(text):
     ("number_click_counts", 1),
     ("number_search_counts", 1),
     ("daily_biz_counts", 1),
-    ("biz_actions_trace", 1),
-    ("biz_score_trace", 1),
-    ("expose_last12_trace", 1),
-    ("expose_counts_trace", 1),
     ("expose_least_label", 1),
     ("expose_history_label", 1),
     # Day totals first, so that a busy user is one row per day when the days of a user meet.
@@ -47,11 +43,6 @@ def test_no_python_and_no_pair_joins(spark, sf_dir, name):
         assert node not in text
 
 
-@pytest.mark.parametrize("name", ["biz_actions_trace", "expose_last12_trace", "expose_counts_trace"])
-def test_traces_sort_once(spark, sf_dir, name):
-    assert plan(queries.BATCH[name](spark, sf_dir)).count("Sort [") == 1
-
-
 def test_counters_combine_before_the_shuffle(spark, sf_dir):
     text = plan(queries.number_click_counts(spark, sf_dir))
     assert "partial_count" in text and "SortAggregate" not in text
@@ -109,6 +100,8 @@ def test_traces_move_the_events_once(spark, sf_dir, name):
     """To the partition of their slice; windows over the whole user see only a few rows for each slice."""
     text = plan(queries.BATCH[name](spark, sf_dir))
     assert exchanges(text).count("shufflepartitionidpassthrough") == 1
+    # Above that shuffle the events are sorted once, for all windows.
+    assert text[:text.index("shufflepartitionidpassthrough")].count("Sort [") == 1
     if name.startswith("biz"):
         assert "partial_sum" in text and "BroadcastHashJoin" in text
     else:
@@ -123,3 +116,9 @@ def test_no_job_runs_while_a_query_is_built(spark, sf_dir, name):
         assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"building {name}")) == 0
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("name, n", [("label_table_long", 3), ("label_table_wide", 4)])
+def test_label_tables_read_each_log_once(spark, sf_dir, name, n):
+    text = plan(queries.BATCH[name](spark, sf_dir))
+    assert text.count("FileScan") == 3 and len(exchanges(text)) == n
