@@ -40,6 +40,7 @@ THRESHOLD = 80
 # Sets compared with one pivot in one task.
 COMPARED = 256
 CENTRAL_ROUNDS = 2
+READ = 512
 # Rows and bits a row of the bitmap of wanted ids.
 _BITMAPS, _BITS = 2048, 32_768
 _DOCS_PER_FILE = 5_000
@@ -226,7 +227,8 @@ def adapted(placed: DataFrame) -> DataFrame:
     """``cls, l``: for each set the number of agreeing shingles that costs least, from ``cls, n, shingle, place, others``,
     ``others`` being how many sets of other components hold the shingle.
 
-    With S postings in the prefix of l, reading them costs S and comparing at most S / l candidates n each.
+    With S postings in the prefix of l, reading them costs S, and comparing at most S / l candidates n / ``READ`` each: sets
+    are compared as arrays, ``READ`` shingles in the time that one posting takes through the join.
     """
     base = f"(n - {_needed('n')})"
     costs = placed.selectExpr(
@@ -236,7 +238,7 @@ def adapted(placed: DataFrame) -> DataFrame:
         f"coalesce(lead(place) OVER (PARTITION BY cls ORDER BY place) - 1, {base} + 1 + n div 10) - {base} AS l",
     ).where("l >= 1")
     chosen = costs.groupBy("cls").agg(
-        F.expr("min_by(l, struct(postings * (1 + n / l), l)) AS l"), F.min(F.expr(f"place - {base}")).alias("first")
+        F.expr(f"min_by(l, struct(postings * (1 + n / ({READ} * l)), l)) AS l"), F.min(F.expr(f"place - {base}")).alias("first")
     )
     # Who shares nothing within the prefix of l = 1 is linked with nobody else.
     return chosen.where("first <= 1").drop("first")
@@ -257,9 +259,9 @@ def _multi_match_pairs(placed: DataFrame, component_of: DataFrame, files: int) -
     other = chosen.where(f"place <= n - ({2 * t} * n + {99 + t}) div {100 + t} + l").select(
         "shingle", *[F.col(c).alias(f"{c}_b") for c in ("cls", "component", "n", "shared", "place", "l")]
     )
-    # Of the common shingles up to this one there are no more than either set shares with others there, and behind it no
-    # more than either has left.
-    most = "least(place - n + shared, place_b - n_b + shared_b) + least(n - place, n_b - place_b)"
+    # The first l common shingles are enough. Up to one of them there are no more than l, nor than either set shares with
+    # others up to there, and behind it no more than either has left.
+    most = "least(l, l_b, place - n + shared, place_b - n_b + shared_b) + least(n - place, n_b - place_b)"
     met = chosen.join(other, "shingle").where(
         f"component != component_b AND (n > n_b OR (n = n_b AND cls > cls_b)) AND 100 * n_b >= {t} * n"
         f" AND {100 + t} * ({most}) >= {t} * (n + n_b)"

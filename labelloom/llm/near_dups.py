@@ -197,8 +197,10 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     Words are lower-cased (A-Z); a document's set holds its distinct shingles of ``width`` words, or
     the whole sequence as one when it has fewer words. ``component_id`` is the smallest document id
     that links reach, ``kept`` whether it is the document's own. A document without words has an empty set
-    and is linked with nothing. Repeated rows come out as often as they went in; rows that share an
-    id are one document. A row without an id links with nothing and is kept, ``component_id`` null.
+    and is linked with nothing. Repeated rows come out as often as they went in. Rows that share an id but not
+    their text are each placed by their own text, so one id may come out in several components, and two such
+    texts join if the id is the smallest of both; ``jaccard_join`` makes one document of them. A row without an id
+    links with nothing and is kept, ``component_id`` null.
     """
     signed = cut(signatures(docs, width))
     files = signed.count() // DOCS_PER_FILE
